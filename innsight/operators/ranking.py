@@ -25,6 +25,8 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 _BKT = "_bkt"
 
 
@@ -74,7 +76,7 @@ def value_counts_with_cum(df: DataFrame, value_col: str, by: list[str] | tuple =
     by = list(by)
     aggs = [F.count(F.lit(1)).alias("_n")] + [c.alias(n) for n, c in (weight_cols or {}).items()]
     v = df.where(F.col(value_col).isNotNull() & ~F.isnan(F.col(value_col).cast("double")))
-    cnt = v.groupBy(*by, value_col).agg(*aggs)
+    cnt = materialize(v.groupBy(*by, value_col).agg(*aggs))
     return running_sums(cnt, value_col, ["_n"], by, buckets)
 
 
@@ -92,7 +94,7 @@ def exact_quantiles(df: DataFrame, value_col: str, probs: list[float], by: list[
     if dropg:  # a constant key keeps every join an equi-join
         df, by = df.withColumn("_g", F.lit(0)), ["_g"]
     cum = value_counts_with_cum(df, value_col, by, buckets=buckets)
-    cum = cum.withColumn("_lo", F.col("cum__n") - F.col("_n"))  # exclusive start rank (0-based)
+    cum = materialize(cum.withColumn("_lo", F.col("cum__n") - F.col("_n")))  # exclusive start rank (0-based)
 
     totals = cum.groupBy(*by).agg(F.sum("_n").alias("_N"))
     plist = F.array(*[F.struct(F.lit(i).alias("_pi"), F.lit(float(p)).alias("_p")) for i, p in enumerate(probs)])

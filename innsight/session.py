@@ -55,3 +55,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder for written intermediate
     tables (never a machine-local temp folder on a cluster)."""
     return os.path.join(ensure_checkpoint_dir(spark), name)
+
+
+def materialize(df):
+    """Cut lineage: reliable checkpoint into the shared checkpoint folder.
+
+    Used where one intermediate feeds several branches (value-count tables,
+    Silver/Gold layers) so the branches read files instead of recomputing the
+    whole upstream plan; survives executor loss (never a local checkpoint)."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

@@ -111,7 +111,7 @@ CALENDAR_COLUMNS: list[tuple[str, str]] = [
     ("price", "cast(NULL AS string)"),
     ("adjusted_price", "cast(NULL AS string)"),
     ("minimum_nights", "cast(l_linenumber AS double)"),
-    ("maximum_nights", "CASE WHEN l_partkey % 500 = 0 THEN 0.0 ELSE 365.0 END"),
+    ("maximum_nights", "cast(CASE WHEN l_partkey % 500 = 0 THEN 0 ELSE 365 END AS double)"),
 ]
 
 REVIEWS_COLUMNS: list[tuple[str, str]] = [
