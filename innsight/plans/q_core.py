@@ -183,14 +183,14 @@ def _scalar_specs():
            "CASE host_is_superhost WHEN 't' THEN true WHEN 'f' THEN false END", False)
     yield ("scl05_date_or_null", C.to_date_or_null("last_review"), "TRY_CAST(last_review AS DATE)", False)
     yield ("scl06_json_list_length", C.list_length(C.json_string_list("amenities")),
-           "CASE WHEN json_valid(amenities) AND json_type(amenities) = 'ARRAY' THEN json_array_length(amenities) "
+           "CASE WHEN (CASE WHEN json_valid(amenities) THEN json_type(amenities) END) = 'ARRAY' THEN json_array_length(amenities) "
            "ELSE 0 END", False)
     yield ("scl07_literal_list_length", C.list_length(C.literal_string_list("host_verifications")),
            "CASE WHEN json_valid(replace(regexp_replace(host_verifications, '\\bNone\\b', 'null', 'g'), '''', '\"')) "
            "THEN json_array_length(replace(regexp_replace(host_verifications, '\\bNone\\b', 'null', 'g'), '''', '\"')) "
            "ELSE 0 END", False)
     yield ("scl08_amenities_first", F.get(C.json_string_list("amenities"), 0),
-           "CASE WHEN json_valid(amenities) AND json_type(amenities) = 'ARRAY' THEN amenities->>0 END", False)
+           "CASE WHEN (CASE WHEN json_valid(amenities) THEN json_type(amenities) END) = 'ARRAY' THEN amenities->>0 END", False)
     yield ("scl09_title_trim", C.title_trim("neighbourhood_cleansed"),
            "concat(upper(substr(trim(neighbourhood_cleansed), 1, 1)), lower(substr(trim(neighbourhood_cleansed), 2)))",
            False)
