@@ -1 +1,379 @@
-"""Registered queries (filled in below)."""
+"""Registered queries: statistics (STA1-STA22).
+
+Hypotheses on the fixture (roles as in ``sources/fixtures``):
+H1 price, room type '1-URGENT' vs '2-HIGH' (the reference: entire home vs
+private room); H2 rating, superhost vs not (whole Gold); H3 price, more than
+10 reviews vs 10 or fewer; H4 price across neighbourhoods with n >= 20.
+Statistic, df and effect columns have DuckDB oracles; p-values, critical
+values and model fits are checked by unit tests (DuckDB has no t/F tails).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..functions import derived as D
+from ..operators import stats as S
+from . import oracle as O
+from .registry import register
+
+H1 = ("price_capped", "room_type", "1-URGENT", "2-HIGH")
+CORR_FEATURES = ["price_capped", "accommodates", "bedrooms", "bathrooms_final", "minimum_nights", "availability_365",
+                 "number_of_reviews", "review_scores_rating", "amenities_count", "host_tenure_years",
+                 "calculated_host_listings_count"]
+OLS_X = ["accommodates", "bedrooms", "bathrooms_final", "review_scores_rating", "amenities_count"]
+ROOM_LEVELS = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
+
+
+def _h1(lk):
+    return S.welch_test(lk.eda, "price_capped", F.col("room_type"), "1-URGENT", "2-HIGH")
+
+
+def _h2(lk):
+    g = lk.gold.where(F.col("host_is_superhost").isNotNull() & F.col("review_scores_rating").isNotNull())
+    return S.welch_test(g, "review_scores_rating", F.col("host_is_superhost").cast("string"), "true", "false")
+
+
+def _h3_group():
+    return D.two_way_label("number_of_reviews", 10, "More than 10 reviews", "10 or fewer reviews")
+
+
+def _h3(lk):
+    return S.welch_test(lk.eda, "price_capped", _h3_group(), "More than 10 reviews", "10 or fewer reviews")
+
+
+_H3_SQL = "CASE WHEN number_of_reviews > 10 THEN 'More than 10 reviews' ELSE '10 or fewer reviews' END"
+_H2_SRC = "(SELECT * FROM gold WHERE host_is_superhost IS NOT NULL AND review_scores_rating IS NOT NULL) h2"
+
+
+def _moments_sql(src, value, gexpr, a, b):
+    return (f"SELECT count(*) FILTER (WHERE g = {a}) AS n1, avg(v) FILTER (WHERE g = {a}) AS mean1, "
+            f"var_samp(v) FILTER (WHERE g = {a}) AS var1, count(*) FILTER (WHERE g = {b}) AS n2, "
+            f"avg(v) FILTER (WHERE g = {b}) AS mean2, var_samp(v) FILTER (WHERE g = {b}) AS var2 "
+            f"FROM (SELECT {gexpr} AS g, CAST({value} AS DOUBLE) AS v FROM {src}) x "
+            f"WHERE v IS NOT NULL AND g IN ({a}, {b})")
+
+
+def _welch_sql(src, value, gexpr, a, b):
+    return (f"SELECT *, (mean1 - mean2) / sqrt(var1 / n1 + var2 / n2) AS t_stat, "
+            f"pow(var1 / n1 + var2 / n2, 2) / (pow(var1 / n1, 2) / (n1 - 1) + pow(var2 / n2, 2) / (n2 - 1)) AS welch_df, "
+            f"(mean1 - mean2) / sqrt((var1 + var2) / 2) AS cohens_d FROM ({_moments_sql(src, value, gexpr, a, b)}) m")
+
+
+_WELCH_DOUBLES = ["mean1", "var1", "mean2", "var2", "t_stat", "welch_df", "cohens_d"]
+_H1_SQL = _welch_sql("eda", "price_capped", "room_type", "'1-URGENT'", "'2-HIGH'")
+_H2_SQL = _welch_sql(_H2_SRC, "review_scores_rating", "CAST(host_is_superhost AS VARCHAR)", "'true'", "'false'")
+_H3_SQL_FULL = _welch_sql("eda", "price_capped", _H3_SQL, "'More than 10 reviews'", "'10 or fewer reviews'")
+
+
+@register("sta1_welch_h1", O.rounded(_H1_SQL, _WELCH_DOUBLES))
+def sta1_welch_h1(lk):
+    """STA1 + STA5 (H1): Welch t, df and Cohen's d."""
+    return _h1(lk).drop("p_value")
+
+
+@register("sta1_welch_h2", O.rounded(_H2_SQL, _WELCH_DOUBLES))
+def sta1_welch_h2(lk):
+    """STA1 + STA5 (H2): superhost vs not, review score."""
+    return _h2(lk).drop("p_value")
+
+
+@register("sta1_welch_h3", O.rounded(_H3_SQL_FULL, _WELCH_DOUBLES))
+def sta1_welch_h3(lk):
+    """STA1 + STA5 (H3, SCL28 grouping)."""
+    return _h3(lk).drop("p_value")
+
+
+def _mw_sql(src, value, gexpr, a, b):
+    x = f"(SELECT {gexpr} AS g, CAST({value} AS DOUBLE) AS v FROM {src}) x0 WHERE v IS NOT NULL AND g IN ({a}, {b})"
+    return f"""
+SELECT CAST(n1 AS BIGINT) AS n1, CAST(n2 AS BIGINT) AS n2, u_stat,
+       (greatest(u_stat, n1 * n2 - u_stat) - n1 * n2 / 2.0 - 0.5)
+         / sqrt(n1 * n2 / 12.0 * ((n1 + n2 + 1) - ties / ((n1 + n2) * (n1 + n2 - 1)))) AS z
+FROM (SELECT n1, n2, r1 - n1 * (n1 + 1) / 2.0 AS u_stat, ties FROM (
+        SELECT count(*) FILTER (WHERE g = {a}) AS n1, count(*) FILTER (WHERE g = {b}) AS n2,
+               sum(rk) FILTER (WHERE g = {a}) AS r1,
+               (SELECT sum(pow(CAST(t AS DOUBLE), 3) - t) FROM (SELECT count(*) AS t FROM {x} GROUP BY v) tt) AS ties
+        FROM (SELECT g, v, rank() OVER (ORDER BY v) + (count(*) OVER (PARTITION BY v) - 1) / 2.0 AS rk
+              FROM {x}) r) s) u"""
+
+
+@register("sta4_mann_whitney_h1", O.rounded(_mw_sql("eda", "price_capped", "room_type", "'1-URGENT'", "'2-HIGH'"),
+                                            ["u_stat", "z"]))
+def sta4_mann_whitney_h1(lk):
+    """STA4 + WIN7 (H1): U of the first group and z."""
+    return S.mann_whitney(lk.eda, "price_capped", F.col("room_type"), "1-URGENT", "2-HIGH").drop("p_value")
+
+
+@register("sta4_mann_whitney_h2", O.rounded(_mw_sql(_H2_SRC, "review_scores_rating",
+                                                    "CAST(host_is_superhost AS VARCHAR)", "'true'", "'false'"),
+                                            ["u_stat", "z"]))
+def sta4_mann_whitney_h2(lk):
+    """STA4 (H2)."""
+    g = lk.gold.where(F.col("host_is_superhost").isNotNull() & F.col("review_scores_rating").isNotNull())
+    return S.mann_whitney(g, "review_scores_rating", F.col("host_is_superhost").cast("string"), "true",
+                          "false").drop("p_value")
+
+
+def _anova_sql(src):
+    """ANOVA over a subquery with columns g, v."""
+    return f"""
+SELECT ssb, ssw, k, df_between, df_within, (ssb / df_between) / (ssw / df_within) AS f_stat,
+       ssb / (ssb + ssw) AS eta_squared
+FROM (SELECT sum(n * pow(mean - grand, 2)) AS ssb, sum((n - 1) * coalesce(var, 0.0)) AS ssw, count(*) AS k,
+             CAST(count(*) - 1 AS BIGINT) AS df_between, CAST(sum(n) - count(*) AS BIGINT) AS df_within
+      FROM (SELECT n, mean, var, sum(n * mean) OVER () / sum(n) OVER () AS grand
+            FROM (SELECT g, count(*) AS n, avg(v) AS mean, var_samp(v) AS var FROM {src} GROUP BY g) gm) j) s"""
+
+
+_H4_SRC = ("(SELECT neighbourhood_cleansed AS g, price_capped AS v FROM eda WHERE price_capped IS NOT NULL "
+           "AND neighbourhood_cleansed IN (SELECT neighbourhood_cleansed FROM eda WHERE price_capped IS NOT NULL "
+           "AND neighbourhood_cleansed IS NOT NULL GROUP BY 1 HAVING count(*) >= 20)) h4")
+
+
+@register("sta6_anova_h4", O.rounded(_anova_sql(_H4_SRC), ["ssb", "ssw", "f_stat", "eta_squared"]))
+def sta6_anova_h4(lk):
+    """STA6 + STA7 (H4): one-way ANOVA over neighbourhoods with n >= 20."""
+    return S.anova(lk.eda, "price_capped", "neighbourhood_cleansed", min_n=20).drop("p_value")
+
+
+_LEVENE_SRC = (f"(SELECT h4.g, abs(h4.v - m.med) AS v FROM {_H4_SRC} JOIN (SELECT g, quantile_cont(v, 0.5) AS med "
+               f"FROM {_H4_SRC.replace(') h4', ') h4b')} GROUP BY g) m ON m.g = h4.g) lev")
+
+
+@register("sta2_levene_h4", O.rounded(
+    f"SELECT f_stat AS levene_stat, df_between, df_within FROM ({_anova_sql(_LEVENE_SRC)}) a", ["levene_stat"]))
+def sta2_levene_h4(lk):
+    """STA2 (H4): Levene's test with median centre, k groups."""
+    return S.levene(lk.eda, "price_capped", "neighbourhood_cleansed", min_n=20).drop("levene_p")
+
+
+@register("sta2_levene_h1", O.rounded(
+    "SELECT f_stat AS levene_stat, df_between, df_within FROM (" + _anova_sql(
+        "(SELECT x.g, abs(x.v - m.med) AS v FROM (SELECT room_type AS g, price_capped AS v FROM eda "
+        "WHERE price_capped IS NOT NULL AND room_type IN ('1-URGENT', '2-HIGH')) x JOIN (SELECT room_type AS g, "
+        "quantile_cont(price_capped, 0.5) AS med FROM eda WHERE price_capped IS NOT NULL AND room_type IN "
+        "('1-URGENT', '2-HIGH') GROUP BY 1) m ON m.g = x.g) lev") + ") a", ["levene_stat"]))
+def sta2_levene_h1(lk):
+    """STA2 (H1): two-group Levene."""
+    src = lk.eda.where(F.col("room_type").isin("1-URGENT", "2-HIGH"))
+    return S.levene(src, "price_capped", "room_type").drop("levene_p")
+
+
+@register("sta3_normality_by_room_type", O.rounded("""
+SELECT g AS room_type, n, skewness, excess_kurtosis, n / 6.0 * (pow(skewness, 2) + pow(excess_kurtosis, 2) / 4.0)
+       AS jarque_bera, exp(-(n / 6.0 * (pow(skewness, 2) + pow(excess_kurtosis, 2) / 4.0)) / 2) AS jb_p_value
+FROM (SELECT g, n, m3 / pow(m2, 1.5) AS skewness, m4 / pow(m2, 2) - 3 AS excess_kurtosis
+      FROM (SELECT x.g, count(*) AS n, avg(pow(v - m, 2)) AS m2, avg(pow(v - m, 3)) AS m3, avg(pow(v - m, 4)) AS m4
+            FROM (SELECT room_type AS g, price_capped AS v FROM eda WHERE price_capped IS NOT NULL AND room_type IS NOT NULL) x
+            JOIN (SELECT room_type AS g, avg(price_capped) AS m FROM eda WHERE price_capped IS NOT NULL GROUP BY 1) mm
+              ON mm.g = x.g GROUP BY x.g) a) b""", ["skewness", "excess_kurtosis", "jarque_bera", "jb_p_value"]))
+def sta3_normality_by_room_type(lk):
+    """STA3 (re-aimed): whole-group skewness, kurtosis, Jarque-Bera."""
+    return S.normality_moments(lk.eda, "price_capped", "room_type")
+
+
+@register("sta9_ci_inputs", O.rounded(
+    "SELECT room_type, count(*) AS n, avg(price_capped) AS mean, sqrt(var_samp(price_capped) / count(*)) AS se "
+    "FROM eda WHERE price_capped IS NOT NULL AND room_type IS NOT NULL GROUP BY 1", ["mean", "se"]))
+def sta9_ci_inputs(lk):
+    """STA9 inputs: n, mean and standard error per room type."""
+    return S.t_intervals(lk.eda, "price_capped", "room_type").select("room_type", "n", "mean", "se")
+
+
+@register("sta9_t_intervals")
+def sta9_t_intervals(lk):
+    """STA9: 95 % t interval of the mean price per room type."""
+    return S.t_intervals(lk.eda, "price_capped", "room_type")
+
+
+@register("sta9_top_neighbourhood_intervals")
+def sta9_top_neighbourhood_intervals(lk):
+    """STA9: intervals for the 10 neighbourhoods with the most listings."""
+    from ..operators.analytics import in_key_set, top_k_counts
+    e = in_key_set(lk.eda, top_k_counts(lk.eda, "neighbourhood_cleansed", 10), "neighbourhood_cleansed")
+    return S.t_intervals(e, "price_capped", "neighbourhood_cleansed")
+
+
+_EFFECT_SQL = f"""
+SELECT hypothesis, effect_size, value,
+       CASE WHEN effect_size = 'Eta-squared' THEN
+              CASE WHEN value < 0.01 THEN 'Negligible' WHEN value < 0.06 THEN 'Small' WHEN value < 0.14 THEN 'Medium' ELSE 'Large' END
+            ELSE CASE WHEN abs(value) < 0.2 THEN 'Negligible' WHEN abs(value) < 0.5 THEN 'Small'
+                      WHEN abs(value) < 0.8 THEN 'Medium' ELSE 'Large' END END AS interpretation
+FROM (SELECT 'H1' AS hypothesis, 'Cohen''s d' AS effect_size, cohens_d AS value FROM ({_H1_SQL}) a
+      UNION ALL SELECT 'H2', 'Cohen''s d', cohens_d FROM ({_H2_SQL}) b
+      UNION ALL SELECT 'H3', 'Cohen''s d', cohens_d FROM ({_H3_SQL_FULL}) c
+      UNION ALL SELECT 'H4', 'Eta-squared', eta_squared FROM ({_anova_sql(_H4_SRC)}) d) u"""
+
+
+@register("sta10_effect_sizes", O.rounded(_EFFECT_SQL, ["value"]))
+def sta10_effect_sizes(lk):
+    """STA10 + SCL30: effect sizes of H1-H4 with wording."""
+    return S.effect_size_rows([("H1", _h1(lk)), ("H2", _h2(lk)), ("H3", _h3(lk))],
+                              ("H4", S.anova(lk.eda, "price_capped", "neighbourhood_cleansed", min_n=20)))
+
+
+@register("sta11_pearson", O.rounded(
+    "SELECT corr(number_of_reviews, price_capped) AS r_reviews_price, "
+    "corr(review_scores_rating, price_capped) AS r_rating_price, count(*) AS n FROM eda",
+    ["r_reviews_price", "r_rating_price"]))
+def sta11_pearson(lk):
+    """STA11: Pearson r, pairwise complete."""
+    return lk.eda.agg(F.corr("number_of_reviews", "price_capped").alias("r_reviews_price"),
+                      F.corr("review_scores_rating", "price_capped").alias("r_rating_price"),
+                      F.count(F.lit(1)).alias("n"))
+
+
+_PAIRS = [(a, b) for i, a in enumerate(CORR_FEATURES) for b in CORR_FEATURES[i + 1:]]
+_CORR_SQL = "\nUNION ALL\n".join(
+    [f"SELECT '{a}' AS col_a, '{b}' AS col_b, corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE)) AS r FROM eda" for a, b in _PAIRS] +
+    [f"SELECT '{b}', '{a}', corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE)) FROM eda" for a, b in _PAIRS] +
+    [f"SELECT '{c}', '{c}', 1.0" for c in CORR_FEATURES])
+
+
+@register("sta12_correlation_matrix", O.rounded(_CORR_SQL, ["r"]))
+def sta12_correlation_matrix(lk):
+    """STA12: pairwise-complete correlation matrix, long form."""
+    return S.correlation_pairs(lk.eda, CORR_FEATURES)
+
+
+_DRIVER_COLS = [c for c in CORR_FEATURES if c != "price_capped"]
+
+
+@register("sta13_price_drivers", O.rounded(
+    "SELECT feature, r, row_number() OVER (ORDER BY abs(r) DESC NULLS LAST, feature) AS rank_abs FROM (" +
+    "\nUNION ALL\n".join(f"SELECT '{c}' AS feature, corr(CAST({c} AS DOUBLE), price_capped) AS r FROM eda"
+                         for c in _DRIVER_COLS) + ") d", ["r"]))
+def sta13_price_drivers(lk):
+    """STA13 + SRT5: correlation with price, ordered by |r|."""
+    return S.drivers(lk.eda, "price_capped", _DRIVER_COLS).withColumn("rank_abs", F.col("rank_abs").cast("long"))
+
+
+_SUB = ["review_scores_accuracy", "review_scores_cleanliness", "review_scores_checkin",
+        "review_scores_communication", "review_scores_location", "review_scores_value"]
+
+
+@register("job9_subscore_drivers", O.rounded(
+    "SELECT feature, r, row_number() OVER (ORDER BY abs(r) DESC NULLS LAST, feature) AS rank_abs FROM (" +
+    "\nUNION ALL\n".join(f"SELECT '{c}' AS feature, corr({c}, review_scores_rating) AS r FROM "
+                         f"(SELECT * FROM eda WHERE review_scores_rating IS NOT NULL) s" for c in _SUB) + ") d", ["r"]))
+def job9_subscore_drivers(lk):
+    """JOB9 (FLT5, STA13): sub-score correlation with the overall rating."""
+    e = lk.eda.where(F.col("review_scores_rating").isNotNull())
+    return S.drivers(e, "review_scores_rating", _SUB).withColumn("rank_abs", F.col("rank_abs").cast("long"))
+
+
+@register("job9_subscore_means", O.rounded(
+    "\nUNION ALL\n".join(f"SELECT '{c}' AS score, avg({c}) AS mean FROM eda" for c in _SUB), ["mean"]))
+def job9_subscore_means(lk):
+    """JOB9 (AGG9): mean of each sub-score."""
+    row = lk.eda.agg(*[F.avg(c).alias(c) for c in _SUB])
+    arr = F.array(*[F.struct(F.lit(c).alias("score"), F.col(c).alias("mean")) for c in _SUB])
+    return row.select(F.explode(arr).alias("_s")).select("_s.score", "_s.mean")
+
+
+@register("sta19_reviews_price_trend", O.rounded(
+    "SELECT regr_slope(price_capped, number_of_reviews) AS slope, regr_intercept(price_capped, number_of_reviews) "
+    "AS intercept FROM eda", ["slope", "intercept"]))
+def sta19_reviews_price_trend(lk):
+    """STA19: straight-line trend (polyfit degree 1)."""
+    return lk.eda.agg(F.regr_slope("price_capped", "number_of_reviews").alias("slope"),
+                      F.regr_intercept("price_capped", "number_of_reviews").alias("intercept"))
+
+
+def _reg_frame(lk):
+    e = lk.eda.dropna(subset=["price_capped"] + OLS_X + ["room_type"])
+    return D.one_hot(e, "room_type", ROOM_LEVELS)
+
+
+def _reg_terms():
+    return OLS_X + [f"room_type_{lv}" for lv in ROOM_LEVELS[1:]]
+
+
+@register("sta14_ols_coefficients")
+def sta14_ols_coefficients(lk):
+    """STA14: OLS coefficients, std errors, t, p, 95 % interval."""
+    return S.ols(_reg_frame(lk), "price_capped", _reg_terms())[0]
+
+
+@register("sta14_ols_fit")
+def sta14_ols_fit(lk):
+    """STA14: R2, adjusted R2, F and p, log-likelihood, AIC, BIC,
+    Durbin-Watson (id order), Jarque-Bera, condition number."""
+    return S.ols(_reg_frame(lk), "price_capped", _reg_terms())[1]
+
+
+@register("sta15_fitted_residuals")
+def sta15_fitted_residuals(lk):
+    """STA15: fitted values and residuals of the OLS model."""
+    coefs = S.ols(_reg_frame(lk), "price_capped", _reg_terms())[0]
+    return S.fitted_residuals(_reg_frame(lk), "price_capped", coefs)
+
+
+@register("sta16_qq_points")
+def sta16_qq_points(lk):
+    """STA16: normal Q-Q points of the residuals."""
+    coefs = S.ols(_reg_frame(lk), "price_capped", _reg_terms())[0]
+    return S.qq_points(S.fitted_residuals(_reg_frame(lk), "price_capped", coefs))
+
+
+@register("sta17_vif")
+def sta17_vif(lk):
+    """STA17: VIF per predictor, uncentred (no constant), as the reference."""
+    return S.vif(_reg_frame(lk), _reg_terms())
+
+
+@register("sta18_binned_lowess")
+def sta18_binned_lowess(lk):
+    """STA18 (re-aimed): binned LOWESS of price on accommodates."""
+    return S.binned_lowess(lk.eda, "accommodates", "price_capped", bins=16)
+
+
+@register("sta20_kde_by_host_type")
+def sta20_kde_by_host_type(lk):
+    """STA20: KDE of log price per host type (Scott bandwidth)."""
+    e = lk.eda.withColumn("host_type", D.host_type("calculated_host_listings_count")).withColumn(
+        "log_price", F.log1p("price_capped"))
+    return S.kde_by_group(e, "log_price", "host_type")
+
+
+@register("sta21_seeded_sample")
+def sta21_seeded_sample(lk):
+    """STA21: at most 500 rows per room type by a seeded hash order."""
+    return S.seeded_sample(lk.eda.select("id", "room_type", "price_capped"), "room_type", 500)
+
+
+@register("sta8_tukey_hsd")
+def sta8_tukey_hsd(lk):
+    """STA8: Tukey HSD over neighbourhoods with n >= 20."""
+    return S.tukey_hsd(lk.eda, "price_capped", "neighbourhood_cleansed", min_n=20)
+
+
+@register("sta22_hypothesis_report")
+def sta22_hypothesis_report(lk):
+    """STA22: one row per test with statistic, p, effect and verdict,
+    including the explicit 'not testable' row (weekend price: no price in the
+    calendar; availability asked instead, STA23)."""
+    rows = []
+    for name, w in (("H1 Welch t", _h1(lk)), ("H2 Welch t", _h2(lk)), ("H3 Welch t", _h3(lk))):
+        rows.append(w.select(F.lit(name).alias("test"), F.col("t_stat").alias("statistic"), "p_value",
+                             F.col("cohens_d").alias("effect")))
+    mw = S.mann_whitney(lk.eda, "price_capped", F.col("room_type"), "1-URGENT", "2-HIGH")
+    rows.append(mw.select(F.lit("H1 Mann-Whitney U").alias("test"), F.col("u_stat").alias("statistic"), "p_value",
+                          F.lit(None).cast("double").alias("effect")))
+    an = S.anova(lk.eda, "price_capped", "neighbourhood_cleansed", min_n=20)
+    rows.append(an.select(F.lit("H4 ANOVA F").alias("test"), F.col("f_stat").alias("statistic"), "p_value",
+                          F.col("eta_squared").alias("effect")))
+    lv = S.levene(lk.eda, "price_capped", "neighbourhood_cleansed", min_n=20)
+    rows.append(lv.select(F.lit("H4 Levene").alias("test"), F.col("levene_stat").alias("statistic"),
+                          F.col("levene_p").alias("p_value"), F.lit(None).cast("double").alias("effect")))
+    out = rows[0]
+    for r in rows[1:]:
+        out = out.unionByName(r)
+    out = out.withColumn("verdict", F.when(F.col("p_value") < S.ALPHA, "Reject H0").otherwise("Fail to reject H0"))
+    nt = lk.calendar.agg(F.count(F.lit(1)).alias("_n")).select(
+        F.lit("H5 weekend vs weekday price").alias("test"), F.lit(None).cast("double").alias("statistic"),
+        F.lit(None).cast("double").alias("p_value"), F.lit(None).cast("double").alias("effect"),
+        F.lit("Not testable: calendar has no price").alias("verdict"))
+    return out.unionByName(nt)
