@@ -1 +1,163 @@
-"""Registered queries (filled in below)."""
+"""Registered queries: sources, sinks, pipeline run, incremental loading and
+the review stream (SRC1-SRC3, SRC9-SRC13, STR1-STR6)."""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import functions as F
+
+from ..operators import warehouse as W
+from ..session import scratch_path
+from ..sources import files as FS
+from ..streaming import incremental as INC
+from ..streaming.reviews_stream import weekly_review_counts
+from . import oracle as O
+from .registry import register
+
+MARK_CUTOFF = "2025-09-24"  # the stored table holds scrapes up to this day
+
+
+def _scratch(lk, name):
+    return scratch_path(lk.spark, f"{name}-{uuid.uuid4().hex}")
+
+
+@register("src1_csv_roundtrip", O.with_ctes("SELECT * FROM listings_raw"))
+def src1_csv_roundtrip(lk):
+    """SRC1: raw listings written as CSV and scanned back with an explicit
+    schema (header, multi-line, quote escape) -- no inference."""
+    path = _scratch(lk, "listings-csv")
+    FS.write_csv(lk.listings_raw, path)
+    return FS.read_csv(lk.spark, path, FS.raw_schema(lk.listings_raw))
+
+
+@register("src2_csv_projection", O.with_ctes(
+    "SELECT listing_id, TRY_CAST(date AS DATE) AS date, available FROM calendar_raw"))
+def src2_csv_projection(lk):
+    """SRC2: CSV scan of three columns with date parsing."""
+    path = _scratch(lk, "calendar-csv")
+    FS.write_csv(lk.calendar_raw, path)
+    return FS.read_csv(lk.spark, path, FS.raw_schema(lk.calendar_raw), ["listing_id", "date", "available"], ["date"])
+
+
+@register("src3_land_cities", O.with_ctes(
+    "SELECT CASE WHEN date < '1998-01-01' THEN 'Cape Town' ELSE 'Stellenbosch' END AS city, count(*) AS reviews "
+    "FROM reviews_raw GROUP BY 1"))
+def src3_land_cities(lk):
+    """SRC3: land gzip CSVs per city from a config table; a missing source is
+    isolated (reported, skipped) and the rest go on."""
+    root = _scratch(lk, "landing")
+    r = lk.reviews_raw
+    FS.write_csv(r.where(F.col("date") < "1998-01-01"), f"{root}/cape_town", compression="gzip")
+    FS.write_csv(r.where(F.col("date") >= "1998-01-01"), f"{root}/stellenbosch", compression="gzip")
+    config = [("Cape Town", f"{root}/cape_town"), ("Stellenbosch", f"{root}/stellenbosch"),
+              ("Paarl", f"{root}/paarl_not_landed")]
+    df, failures = FS.land_sources(lk.spark, config, FS.raw_schema(r))
+    assert [c for c, _ in failures] == ["Paarl"], failures
+    return df.groupBy("city").agg(F.count(F.lit(1)).alias("reviews"))
+
+
+@register("src10_named_sql_query", O.rounded(
+    "SELECT host_is_superhost, avg(review_scores_rating) AS avg_rating, count(*) AS listing_count "
+    "FROM gold GROUP BY host_is_superhost", ["avg_rating"]))
+def src10_named_sql_query(lk):
+    """SRC9 + SRC10: warehouse frames registered as views, a named SQL query
+    run by ``spark.sql`` (Q3 text)."""
+    return W.run_analysis(lk.spark, lk.warehouse())["q3_superhost_rating"]
+
+
+@register("src13_pipeline_run", O.with_ctes(
+    "SELECT 'silver' AS stage, 'success' AS status, "
+    "(SELECT count(*) FROM listings_raw) + (SELECT count(*) FROM calendar_raw) + (SELECT count(*) FROM reviews_raw) AS rows_in, "
+    "(SELECT count(*) FROM listings_silver) + (SELECT count(*) FROM calendar_silver) + (SELECT count(*) FROM reviews_silver) AS rows_out "
+    "UNION ALL SELECT 'gold', 'success', (SELECT count(*) FROM listings_silver), (SELECT count(*) FROM gold) "
+    "UNION ALL SELECT 'warehouse', 'success', NULL, (SELECT count(*) FROM gold) + (SELECT count(*) FROM calendar_silver) "
+    "+ (SELECT count(*) FROM reviews_silver) + (SELECT count(*) FROM dim_date)"))
+def src13_pipeline_run(lk):
+    """SRC11 + SRC13 (+ SRC7): full run into a fresh folder; the run log
+    without its wall-clock columns."""
+    from .medallion import run_pipeline
+    runs = run_pipeline(lk.spark, lk.sf_dir, _scratch(lk, "pipeline"))
+    return runs.select("stage", "status", "rows_in", "rows_out")
+
+
+@register("str1_high_water_mark", O.with_ctes(
+    "SELECT id, last_scraped FROM listings_raw WHERE last_scraped > "
+    f"(SELECT max(last_scraped) FROM listings_raw WHERE last_scraped <= '{MARK_CUTOFF}')"))
+def str1_high_water_mark(lk):
+    """STR1: only rows newer than the stored high-water mark."""
+    stored = lk.listings_raw.where(F.col("last_scraped") <= MARK_CUTOFF)
+    mark = INC.high_water_mark(stored, "last_scraped")
+    return INC.newer_than(lk.listings_raw, "last_scraped", mark).select("id", "last_scraped")
+
+
+@register("str2_upsert", O.with_ctes(
+    "SELECT id, last_scraped, availability_365 FROM listings_raw WHERE last_scraped <= '2025-09-26' "
+    "AND id NOT IN (SELECT id FROM listings_raw WHERE last_scraped >= '2025-09-24') "
+    "UNION ALL SELECT id, last_scraped, availability_365 + 1 FROM listings_raw WHERE last_scraped >= '2025-09-24'"))
+def str2_upsert(lk):
+    """STR2: upsert keyed on id (anti-join + union)."""
+    r = lk.listings_raw.select("id", "last_scraped", "availability_365")
+    current = r.where(F.col("last_scraped") <= "2025-09-26")
+    batch = r.where(F.col("last_scraped") >= "2025-09-24").withColumn("availability_365", F.col("availability_365") + 1)
+    return INC.upsert(current, batch)
+
+
+@register("str3_append_partitioned", O.with_ctes(
+    "SELECT CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month, count(*) AS days "
+    "FROM calendar_silver GROUP BY 1, 2"))
+def str3_append_partitioned(lk):
+    """STR3 + SRC12: append-only calendar facts partitioned by city, year,
+    month; read back with partition discovery."""
+    path = _scratch(lk, "calendar-facts")
+    facts = lk.calendar.withColumn("city", F.lit("Cape Town")).withColumn("year", F.year("date")).withColumn(
+        "month", F.month("date"))
+    INC.append_partitioned(facts, path, ["city", "year", "month"])
+    back = lk.spark.read.parquet(path)
+    return back.groupBy(F.col("year").cast("int").alias("year"), F.col("month").cast("int").alias("month")).agg(
+        F.count(F.lit(1)).alias("days"))
+
+
+_CDC_COLS = ["price", "availability_365", "room_type"]
+
+
+@register("str4_change_capture", O.with_ctes(
+    "SELECT coalesce(o.id, n.id) AS id, CASE WHEN o.id IS NULL THEN 'insert' WHEN n.id IS NULL THEN 'delete' "
+    "WHEN o.price IS NOT DISTINCT FROM n.price AND o.availability_365 IS NOT DISTINCT FROM n.availability_365 "
+    "AND o.room_type IS NOT DISTINCT FROM n.room_type THEN 'unchanged' ELSE 'update' END AS change "
+    "FROM (SELECT id, price, availability_365, room_type FROM listings_raw WHERE last_scraped <= '2025-09-26') o "
+    "FULL OUTER JOIN (SELECT id, price, CASE WHEN number_of_reviews > 30 THEN availability_365 + 1 "
+    "ELSE availability_365 END AS availability_365, room_type FROM listings_raw WHERE last_scraped >= '2025-09-22') n "
+    "ON o.id = n.id"))
+def str4_change_capture(lk):
+    """STR4: insert / update / unchanged / delete between two snapshots by an
+    MD5 row hash and a full outer join."""
+    r = lk.listings_raw
+    old = r.where(F.col("last_scraped") <= "2025-09-26").select("id", *_CDC_COLS)
+    new = (r.where(F.col("last_scraped") >= "2025-09-22")
+           .withColumn("availability_365", F.when(F.col("number_of_reviews") > 30, F.col("availability_365") + 1)
+                       .otherwise(F.col("availability_365"))).select("id", *_CDC_COLS))
+    return INC.change_capture(old, new, "id", _CDC_COLS)
+
+
+@register("str5_city_metrics", O.rounded(
+    "SELECT r_name AS city, count(*) AS listings, avg(price_clean) AS mean_price, "
+    "quantile_cont(price_clean, 0.5) AS median_price FROM listings_silver l "
+    "JOIN nation n ON lower(n.n_name) = lower(l.neighbourhood_cleansed) JOIN region ON r_regionkey = n_regionkey "
+    "GROUP BY r_name", ["mean_price", "median_price"]))
+def str5_city_metrics(lk):
+    """STR5: many markets through the same job (market = region of the
+    neighbourhood), grouped by the city column."""
+    from ..sources.fixtures import table
+    n = table(lk.spark, lk.sf_dir, "nation").select(F.lower("n_name").alias("_nb"), "n_regionkey")
+    r = table(lk.spark, lk.sf_dir, "region").select(F.col("r_regionkey").alias("n_regionkey"), F.col("r_name").alias("city"))
+    df = (lk.listings.drop("city").withColumn("_nb", F.lower("neighbourhood_cleansed")).join(n, "_nb").join(r, "n_regionkey"))
+    return INC.city_metrics(df)
+
+
+@register("str6_weekly_review_stream", O.with_ctes(
+    "SELECT CAST(date_trunc('week', date) AS DATE) AS week_start, CAST(date_trunc('week', date) AS DATE) + 6 AS week_end, "
+    "count(*) AS reviews FROM reviews_silver WHERE date IS NOT NULL GROUP BY 1, 2"))
+def str6_weekly_review_stream(lk):
+    """STR6: Structured Streaming weekly counts with a watermark."""
+    return weekly_review_counts(lk.reviews.where(F.col("date").isNotNull()))

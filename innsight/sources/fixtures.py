@@ -33,13 +33,14 @@ _PRICE = ("CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE concat('$', "
           "lpad(cast(cast(floor(round(o_totalprice * 100) / 100) AS bigint) % 1000 AS string), 3, '0'), '.', "
           "lpad(cast(cast(round(o_totalprice * 100) AS bigint) % 100 AS string), 2, '0')) END")
 
-_RATING = "CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE cast(3 + (o_orderkey % 201) / 100.0 AS double) END"
+# integer arithmetic first, then one double division: bit-identical on both engines
+_RATING = "CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE cast(300 + o_orderkey % 201 AS double) / 100 END"
 
 
 def _sub_score(k: int, m: int) -> str:
     # correlated with the overall rating, different noise per sub-score
     return (f"CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE "
-            f"cast(3 + (o_orderkey % 201) / 100.0 - ((o_orderkey * {k}) % {m}) / 100.0 AS double) END")
+            f"cast(300 + o_orderkey % 201 - (o_orderkey * {k}) % {m} AS double) / 100 END")
 
 
 # (column, SQL expression) in output order.  Same text on both engines.
