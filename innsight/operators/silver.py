@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import cleaning as C
+from ..session import materialize
 from ..sources.fixtures import CITY_NAME
 from .duplicates import DUPLICATE_DISTANCE_KM, duplicate_pairs, flag_duplicates
 from .ranking import exact_quantiles
@@ -64,8 +65,10 @@ def collapse_rare(df: DataFrame, col: str, out: str, min_pct: float = RARE_CATEG
 
 def clean_listings(raw: DataFrame, city: str = CITY_NAME,
                    duplicate_km: float = DUPLICATE_DISTANCE_KM) -> DataFrame:
-    """JOB1: Bronze listings -> Silver listings."""
-    df = valid_price(raw)
+    """JOB1: Bronze listings -> Silver listings.  The price-filtered rows feed
+    three branches (cap, pair search, main path), so they are checkpointed
+    once instead of recomputing the raw scan and joins per branch."""
+    df = materialize(valid_price(raw))
     cap = price_cap_value(df)
     df = cap_prices(df, cap)
     # the pair search runs on the price-filtered rows with unrounded coordinates

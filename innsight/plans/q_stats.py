@@ -131,10 +131,12 @@ _H4_SRC = ("(SELECT neighbourhood_cleansed AS g, price_capped AS v FROM eda WHER
            "AND neighbourhood_cleansed IS NOT NULL GROUP BY 1 HAVING count(*) >= 20)) h4")
 
 
-@register("sta6_anova_h4", O.rounded(_anova_sql(_H4_SRC), ["ssb", "ssw", "f_stat", "eta_squared"]))
+@register("sta6_anova_h4", O.rounded(
+    f"SELECT k, df_between, df_within, f_stat, eta_squared FROM ({_anova_sql(_H4_SRC)}) a", ["f_stat", "eta_squared"]))
 def sta6_anova_h4(lk):
-    """STA6 + STA7 (H4): one-way ANOVA over neighbourhoods with n >= 20."""
-    return S.anova(lk.eda, "price_capped", "neighbourhood_cleansed", min_n=20).drop("p_value")
+    """STA6 + STA7 (H4): one-way ANOVA over neighbourhoods with n >= 20
+    (scale-free columns; the sums of squares are in the report)."""
+    return S.anova(lk.eda, "price_capped", "neighbourhood_cleansed", min_n=20).drop("p_value", "ssb", "ssw")
 
 
 _LEVENE_SRC = (f"(SELECT h4.g, abs(h4.v - m.med) AS v FROM {_H4_SRC} JOIN (SELECT g, quantile_cont(v, 0.5) AS med "
