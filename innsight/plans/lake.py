@@ -103,7 +103,9 @@ class Lake:
 
 
 def lake(spark: SparkSession, sf_dir: str) -> Lake:
+    """Shared plans per (session, folder); rebuilt for a new or stopped session."""
     key = (id(spark), sf_dir)
-    if key not in _LAKES:
+    cur = _LAKES.get(key)
+    if cur is None or cur.spark is not spark:
         _LAKES[key] = Lake(spark, sf_dir)
     return _LAKES[key]
