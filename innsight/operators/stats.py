@@ -182,9 +182,13 @@ def tukey_hsd(df: DataFrame, value: str, group: str, min_n: int = 0, alpha: floa
     dfw = N - k
     msw = ssw / dfw if dfw > 0 else float("nan")
     qcrit = dists.qtukey(1 - alpha, k, dfw) if k >= 2 and dfw > 0 else float("nan")
-    a = gm.select(F.col(group).alias("group1"), F.col("n").alias("n1"), F.col("mean").alias("mean1"))
-    b = gm.select(F.col(group).alias("group2"), F.col("n").alias("n2"), F.col("mean").alias("mean2"))
-    pairs = a.join(b, F.col("group1") < F.col("group2"))
+    # k-row group summaries paired i < j (k(k-1)/2 rows, inherent to the
+    # test); an equi-join on a constant key over the aggregated table
+    a = gm.select(F.lit(1).alias("_one"), F.col(group).alias("group1"), F.col("n").alias("n1"),
+                  F.col("mean").alias("mean1"))
+    b = gm.select(F.lit(1).alias("_one"), F.col(group).alias("group2"), F.col("n").alias("n2"),
+                  F.col("mean").alias("mean2"))
+    pairs = a.join(b, "_one").where(F.col("group1") < F.col("group2")).drop("_one")
     se = F.sqrt(F.lit(msw) / 2 * (1 / F.col("n1") + 1 / F.col("n2")))
     out = (pairs.withColumn("meandiff", F.col("mean2") - F.col("mean1"))
            .withColumn("_q", F.abs(F.col("meandiff")) / se)

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import ship_package
 from .lake import lake
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +35,7 @@ def register(name: str, oracle: str | None = None):
     """Decorator: ``fn(lake) -> DataFrame`` becomes a registered query."""
     def deco(fn):
         def builder(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship_package(spark)
             return finish(fn(lake(spark, sf_dir)))
         builder.__name__ = f"q_{name}"
         builder.__doc__ = fn.__doc__

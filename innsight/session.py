@@ -65,3 +65,31 @@ def materialize(df):
     whole upstream plan; survives executor loss (never a local checkpoint)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+_SHIPPED: set[int] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``innsight`` importable in Python workers (pandas UDFs) however
+    the driver was started: zip the package once per SparkContext and
+    ``addPyFile`` it (Spark distributes it to every executor).  On a cluster
+    submitted with ``--py-files`` this is a no-op in effect."""
+    sc = spark.sparkContext
+    if id(sc) in _SHIPPED:
+        return
+    import zipfile
+
+    import innsight
+    pkg = os.path.dirname(os.path.abspath(innsight.__file__))
+    root = os.path.dirname(pkg)
+    fd, path = tempfile.mkstemp(prefix="innsight-", suffix=".zip")  # code package on the driver
+    os.close(fd)
+    with zipfile.ZipFile(path, "w") as z:
+        for dirpath, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(path)
+    _SHIPPED.add(id(sc))
