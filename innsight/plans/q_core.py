@@ -171,61 +171,61 @@ def dq15_dim_date_types(lk):
 # Scalar cleaning / derivation functions one by one over the raw listings:
 # (name, Spark column, DuckDB expression, is_double)
 def _scalar_specs():
-    yield ("scl01_money_to_double", C.money_to_double("price"),
+    yield ("scl01_money_to_double", lambda: C.money_to_double("price"),
            "CASE WHEN isnan(TRY_CAST(regexp_replace(price, '[$,]', '', 'g') AS DOUBLE)) THEN NULL "
            "ELSE TRY_CAST(regexp_replace(price, '[$,]', '', 'g') AS DOUBLE) END", True)
-    yield ("scl02_percent_to_double", C.percent_to_double("host_response_rate"),
+    yield ("scl02_percent_to_double", lambda: C.percent_to_double("host_response_rate"),
            "TRY_CAST(replace(host_response_rate, '%', '') AS DOUBLE)", True)
-    yield ("scl03_first_number", C.first_number_or("bathrooms_text", "bathrooms"),
+    yield ("scl03_first_number", lambda: C.first_number_or("bathrooms_text", "bathrooms"),
            "CASE WHEN bathrooms_text IS NULL THEN bathrooms ELSE "
            "TRY_CAST(regexp_extract(bathrooms_text, '(\\d+\\.?\\d*)', 1) AS DOUBLE) END", True)
-    yield ("scl04_tf_to_bool", C.tf_to_bool("host_is_superhost"),
+    yield ("scl04_tf_to_bool", lambda: C.tf_to_bool("host_is_superhost"),
            "CASE host_is_superhost WHEN 't' THEN true WHEN 'f' THEN false END", False)
-    yield ("scl05_date_or_null", C.to_date_or_null("last_review"), "TRY_CAST(last_review AS DATE)", False)
-    yield ("scl06_json_list_length", C.list_length(C.json_string_list("amenities")),
+    yield ("scl05_date_or_null", lambda: C.to_date_or_null("last_review"), "TRY_CAST(last_review AS DATE)", False)
+    yield ("scl06_json_list_length", lambda: C.list_length(C.json_string_list("amenities")),
            "CASE WHEN (CASE WHEN json_valid(amenities) THEN json_type(amenities) END) = 'ARRAY' THEN json_array_length(amenities) "
            "ELSE 0 END", False)
-    yield ("scl07_literal_list_length", C.list_length(C.literal_string_list("host_verifications")),
+    yield ("scl07_literal_list_length", lambda: C.list_length(C.literal_string_list("host_verifications")),
            "CASE WHEN json_valid(replace(regexp_replace(host_verifications, '\\bNone\\b', 'null', 'g'), '''', '\"')) "
            "THEN json_array_length(replace(regexp_replace(host_verifications, '\\bNone\\b', 'null', 'g'), '''', '\"')) "
            "ELSE 0 END", False)
-    yield ("scl08_amenities_first", F.get(C.json_string_list("amenities"), 0),
+    yield ("scl08_amenities_first", lambda: F.get(C.json_string_list("amenities"), 0),
            "CASE WHEN (CASE WHEN json_valid(amenities) THEN json_type(amenities) END) = 'ARRAY' THEN amenities->>0 END", False)
-    yield ("scl09_title_trim", C.title_trim("neighbourhood_cleansed"),
+    yield ("scl09_title_trim", lambda: C.title_trim("neighbourhood_cleansed"),
            "concat(upper(substr(trim(neighbourhood_cleansed), 1, 1)), lower(substr(trim(neighbourhood_cleansed), 2)))",
            False)
-    yield ("scl10_round_half_even", C.round_half_even("latitude", 3), "round_even(latitude, 3)", True)
-    yield ("scl11_cap_upper", C.cap_upper("bedrooms", 2.0),
+    yield ("scl10_round_half_even", lambda: C.round_half_even("latitude", 3), "round_even(latitude, 3)", True)
+    yield ("scl11_cap_upper", lambda: C.cap_upper("bedrooms", 2.0),
            "CASE WHEN bedrooms IS NULL THEN NULL ELSE least(bedrooms, 2.0) END", True)
-    yield ("scl12_floor_lower", C.floor_lower("bathrooms", 0.1),
+    yield ("scl12_floor_lower", lambda: C.floor_lower("bathrooms", 0.1),
            "CASE WHEN bathrooms IS NULL THEN NULL ELSE greatest(bathrooms, 0.1) END", True)
-    yield ("scl13_replace_value", C.replace_value("bedrooms", 0, 1.0),
+    yield ("scl13_replace_value", lambda: C.replace_value("bedrooms", 0, 1.0),
            "CASE WHEN bedrooms = 0 THEN 1.0 ELSE bedrooms END", True)
-    yield ("scl14_fill_text", C.fill_text("bathrooms_text"), "coalesce(bathrooms_text, '')", False)
-    yield ("scl15_short_text", C.is_short_text(C.fill_text("bathrooms_text"), 5),
+    yield ("scl14_fill_text", lambda: C.fill_text("bathrooms_text"), "coalesce(bathrooms_text, '')", False)
+    yield ("scl15_short_text", lambda: C.is_short_text(C.fill_text("bathrooms_text"), 5),
            "length(coalesce(bathrooms_text, '')) < 5", False)
-    yield ("scl16_flag_gt", C.flag_gt("minimum_nights", 365), "coalesce(minimum_nights > 365, false)", False)
-    yield ("scl19_tenure_years", D.tenure_years(C.to_date_or_null("host_since"), "2025-09-28", 365.0),
+    yield ("scl16_flag_gt", lambda: C.flag_gt("minimum_nights", 365), "coalesce(minimum_nights > 365, false)", False)
+    yield ("scl19_tenure_years", lambda: D.tenure_years(C.to_date_or_null("host_since"), "2025-09-28", 365.0),
            "date_diff('day', TRY_CAST(host_since AS DATE), DATE '2025-09-28') / 365.0", True)
-    yield ("scl23_day_of_week", D.day_of_week_sun0(C.to_date_or_null("last_review")),
+    yield ("scl23_day_of_week", lambda: D.day_of_week_sun0(C.to_date_or_null("last_review")),
            "CAST(dayofweek(TRY_CAST(last_review AS DATE)) AS INTEGER)", False)
-    yield ("scl24_month_name", D.month_short_name(F.month(C.to_date_or_null("last_review"))),
+    yield ("scl24_month_name", lambda: D.month_short_name(F.month(C.to_date_or_null("last_review"))),
            "strftime(TRY_CAST(last_review AS DATE), '%b')", False)
-    yield ("scl25_log1p", F.log1p(F.col("accommodates")), "ln(1 + accommodates)", True)
-    yield ("scl27_host_type", D.host_type("calculated_host_listings_count"),
+    yield ("scl25_log1p", lambda: F.log1p(F.col("accommodates")), "ln(1 + accommodates)", True)
+    yield ("scl27_host_type", lambda: D.host_type("calculated_host_listings_count"),
            "CASE WHEN calculated_host_listings_count = 1 THEN 'Casual (1 listing)' "
            "WHEN calculated_host_listings_count <= 5 THEN 'Semi-Pro (2–5)' ELSE 'Commercial (6+)' END", False)
-    yield ("scl28_two_way_label", D.two_way_label("number_of_reviews", 10, "High", "Low"),
+    yield ("scl28_two_way_label", lambda: D.two_way_label("number_of_reviews", 10, "High", "Low"),
            "CASE WHEN number_of_reviews > 10 THEN 'High' ELSE 'Low' END", False)
-    yield ("scl29_bool_label", D.bool_label(C.tf_to_bool("host_is_superhost"), "Superhost", "Not Superhost"),
+    yield ("scl29_bool_label", lambda: D.bool_label(C.tf_to_bool("host_is_superhost"), "Superhost", "Not Superhost"),
            "CASE host_is_superhost WHEN 't' THEN 'Superhost' WHEN 'f' THEN 'Not Superhost' END", False)
-    yield ("scl30_effect_words", D.effect_size_words((F.col("review_scores_rating") - 4.0) * 2),
+    yield ("scl30_effect_words", lambda: D.effect_size_words((F.col("review_scores_rating") - 4.0) * 2),
            "CASE WHEN abs((review_scores_rating - 4.0) * 2) < 0.2 THEN 'Negligible' "
            "WHEN abs((review_scores_rating - 4.0) * 2) < 0.5 THEN 'Small' "
            "WHEN abs((review_scores_rating - 4.0) * 2) < 0.8 THEN 'Medium' ELSE 'Large' END", False)
-    yield ("geo1_haversine_to_centre", GEO.haversine_km("latitude", "longitude", F.lit(-33.9249), F.lit(18.4241)),
+    yield ("geo1_haversine_to_centre", lambda: GEO.haversine_km("latitude", "longitude", F.lit(-33.9249), F.lit(18.4241)),
            O.HAVERSINE_SQL.format(lat1="latitude", lon1="longitude", lat2="-33.9249", lon2="18.4241"), True)
-    yield ("geo2_flat_distance", GEO.flat_distance_km("latitude", "longitude"),
+    yield ("geo2_flat_distance", lambda: GEO.flat_distance_km("latitude", "longitude"),
            "sqrt(pow((latitude - -33.9249) * 111.0, 2) + pow((longitude - 18.4241) * 111.0 * cos(radians(-33.9249)), 2))",
            True)
 
@@ -233,7 +233,7 @@ def _scalar_specs():
 def _register_scalar(name, col, sql, is_double):
     @register(name, O.rounded(f"SELECT id, {sql} AS value FROM listings_raw", ["value"] if is_double else []))
     def _q(lk):
-        return lk.listings_raw.select("id", col.alias("value"))
+        return lk.listings_raw.select("id", col().alias("value"))
     _q.__doc__ = f"{name.split('_')[0].upper()}: scalar function over every raw listing."
 
 
@@ -252,13 +252,13 @@ def _bucket_query(name, col, bins, labels, sql_col):
 
     @register(name, O.with_ctes(sql))
     def _q(lk):
-        lab, order = D.right_closed_bucket(col, bins, labels)
+        lab, order = D.right_closed_bucket(F.col(col), bins, labels)
         return (lk.listings_raw.select(lab.alias("label"), order.alias("bucket_order"))
                 .groupBy("label", "bucket_order").agg(F.count(F.lit(1)).alias("listing_count")))
     _q.__doc__ = "SCL26: right-closed buckets, outside -> null label."
 
 
-_bucket_query("scl26_min_night_buckets", F.col("minimum_nights"), D.MIN_NIGHT_BINS, D.MIN_NIGHT_LABELS,
+_bucket_query("scl26_min_night_buckets", "minimum_nights", D.MIN_NIGHT_BINS, D.MIN_NIGHT_LABELS,
               "minimum_nights")
-_bucket_query("scl26_demand_tiers", F.col("number_of_reviews_ltm"), D.DEMAND_TIER_BINS, D.DEMAND_TIER_LABELS,
+_bucket_query("scl26_demand_tiers", "number_of_reviews_ltm", D.DEMAND_TIER_BINS, D.DEMAND_TIER_LABELS,
               "number_of_reviews_ltm")
