@@ -47,7 +47,7 @@ def op4_maxent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_paragraph_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return substring.repeated(table(spark, sf_dir, "documents")).drop("k1", "k2")
+    return substring.repeated(table(spark, sf_dir, "documents"))
 
 
 def op6_golay_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
