@@ -13,8 +13,9 @@ ratio of its nearest (distance-ratio pruning), a share of all lists at most,
 and on until they hold enough vectors.
 
 Equal vectors are indexed once; their ids are a table beside, of which a
-result can need only the ``k`` + 1 smallest (ties go to the smaller id).  Long
-lists are cut into blocks, a list's queries too, and blocks meet blocks, so
+result can need only the ``k`` + 1 smallest (ties go to the smaller id).  There
+are about 0.6 * sqrt(n) lists of n distinct vectors.  Long lists are cut into
+blocks of bounded bytes, a list's queries too, and blocks meet blocks, so
 nothing grows without bound in one task.
 
 Edge cases: vectors that are null, zero, of another length than the longest,
@@ -34,7 +35,7 @@ from pyspark.sql import functions as F
 
 from .common import col, join_spread, map_batches, written
 
-FIT_ROWS, LIST_ROWS, REPLICAS = 16384, 128, 8
+FIT_ROWS, LISTS_BY_ROOT, REPLICAS = 16384, 0.6, 8
 #: Ratios of distances: for the lists of a vector, and for those a query reads; the share of all lists that it reads at most.
 BOUNDARY, REACH, SHARE = 1.15, 1.35, 0.1
 
@@ -126,8 +127,8 @@ def _augmented(packed: list[bytes], largest: float) -> np.ndarray:
     return np.hstack([x, np.sqrt(np.maximum(largest - (x ** 2).sum(1), 0))[:, None]])
 
 
-def search(table: DataFrame, k: int = 20, every: int = 20, fit_rows: int = FIT_ROWS, list_rows: int = LIST_ROWS, replicas: int = REPLICAS,
-           boundary: float = BOUNDARY, reach: float = REACH, share: float = SHARE, block: int = 1024) -> DataFrame:
+def search(table: DataFrame, k: int = 20, every: int = 20, fit_rows: int = FIT_ROWS, lists_by_root: float = LISTS_BY_ROOT, replicas: int = REPLICAS,
+           boundary: float = BOUNDARY, reach: float = REACH, share: float = SHARE, block_bytes: int = 1 << 21) -> DataFrame:
     """``(query_id, rank, vec_id, score)``: for each row whose id is divisible
     by ``every`` its ``k`` nearest found."""
     spark = table.sparkSession
@@ -148,8 +149,8 @@ def search(table: DataFrame, k: int = 20, every: int = 20, fit_rows: int = FIT_R
     distinct = written(distinct, "distinct")
     n, largest = distinct.agg(F.count(F.lit(1)), F.max("norm2")).first()
     sample = distinct.orderBy(F.xxhash64("h1", "h2"), "h1", "h2").limit(fit_rows).select("packed").collect()
-    lists = 1
-    while lists * 2 * list_rows <= n and lists * 16 <= len(sample):
+    lists, block = 1, max(64, block_bytes // longest)
+    while lists * 2 <= 1.42 * lists_by_root * np.sqrt(n) and lists * 16 <= len(sample):
         lists *= 2
     graph = spark.sparkContext.broadcast(Graph(halves(_augmented([r[0] for r in sample], largest), lists)))
 
@@ -203,10 +204,11 @@ def search(table: DataFrame, k: int = 20, every: int = 20, fit_rows: int = FIT_R
             yield pa.RecordBatch.from_arrays([pa.array(qid[r]), pa.array(h1[c]), pa.array(h2[c]), pa.array(s[r, c])], ["query_id", "h1", "h2", "score"])
 
     met = p.join(q, "list").select("held", "asked").repartition(F.xxhash64("held.h1", "asked.query_id"))
-    found = map_batches(met, scored, "query_id long, h1 long, h2 long, score double").groupBy("query_id", "h1", "h2").agg(F.max("score").alias("score"))
+    found = written(map_batches(met, scored, "query_id long, h1 long, h2 long, score double"), "found")
+    found = found.groupBy("query_id", "h1", "h2").agg(F.max("score").alias("score"))
     best = W.partitionBy("query_id").orderBy(F.desc("score"))
     found = found.withColumn("r", F.rank().over(best)).filter(F.col("r") <= k + 1).drop("r")
-    out = join_spread(found, ids, ["h1", "h2"], F.col("query_id")).select("query_id", "score", F.explode("ids").alias("vec_id")).filter("vec_id <> query_id")
+    out = join_spread(written(found, "best"), ids, ["h1", "h2"], F.col("query_id")).select("query_id", "score", F.explode("ids").alias("vec_id")).filter("vec_id <> query_id")
     # an id given with several vectors counts by its nearest
     out = out.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     out = out.withColumn("rank", F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))).filter(F.col("rank") <= k)
