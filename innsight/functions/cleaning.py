@@ -64,8 +64,8 @@ def json_string_list(c) -> Column:
 
 def literal_string_list(c) -> Column:
     """SCL7: Python list literal (single quotes, None) -> array<string>;
-    null or malformed -> []."""
-    as_json = F.regexp_replace(_c(c), r"\bNone\b", "null")
+    null or malformed -> [].  Only the bare token None is a null."""
+    as_json = F.regexp_replace(_c(c), r"(?<=[\[,]|[\[,] )None(?=\s*[\],])", "null")
     return F.coalesce(F.from_json(as_json, "array<string>"), F.array().cast("array<string>"))
 
 
@@ -75,8 +75,11 @@ def list_length(c) -> Column:
 
 
 def title_trim(c) -> Column:
-    """SCL9: title case, then trim (null stays null)."""
-    return F.trim(F.initcap(F.lower(_c(c))))
+    """SCL9: title case, then trim (null stays null): a letter after anything
+    but a letter is a capital, also behind a hyphen or an apostrophe."""
+    marked = F.regexp_replace(F.lower(_c(c)), r"(?<!\p{L})(?=\p{L})", "\u0001")
+    parts = F.split(marked, "\u0001")
+    return F.trim(F.array_join(F.transform(parts, lambda p: F.concat(F.upper(F.substring(p, 1, 1)), F.substring(p, 2, 1 << 30))), ""))
 
 
 def round_half_even(c, scale: int = 5) -> Column:

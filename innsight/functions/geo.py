@@ -43,11 +43,12 @@ def hex_cell(x, y, xmin, xmax, ymin, ymax, gridsize: int = 60) -> Column:
     the nearer of the two lattice centres wins (distance dx^2 + 3 dy^2)."""
     nx = gridsize
     ny = int(gridsize / math.sqrt(3))
-    sx = (F.lit(nx) / (xmax - xmin))
-    sy = (F.lit(ny) / (ymax - ymin))
+    # all points on one line: no extent, one cell across
+    sx = F.when(xmax > xmin, F.lit(nx) / F.nullif(xmax - xmin, F.lit(0.0))).otherwise(0.0)
+    sy = F.when(ymax > ymin, F.lit(ny) / F.nullif(ymax - ymin, F.lit(0.0))).otherwise(0.0)
     ix = (_c(x) - xmin) * sx
     iy = (_c(y) - ymin) * sy
-    ix1, iy1 = F.round(ix), F.round(iy)
+    ix1, iy1 = F.bround(ix), F.bround(iy)
     ix2, iy2 = F.floor(ix), F.floor(iy)
     d1 = F.pow(ix - ix1, 2) + 3.0 * F.pow(iy - iy1, 2)
     d2 = F.pow(ix - ix2 - 0.5, 2) + 3.0 * F.pow(iy - iy2 - 0.5, 2)

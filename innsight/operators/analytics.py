@@ -164,26 +164,28 @@ def centered_moving_average(df: DataFrame, order_col: str, value: str, window: i
     return df.withColumn(out, F.when(F.count(value).over(w) == window, F.avg(value).over(w)))
 
 
-def period_comparison(monthly: DataFrame, value: str, before_end: str, during_end: str,
+def period_comparison(monthly: DataFrame, value: str, before_end: str = "2020-03-01", during_end: str = "2021-06-01",
                       label_col: str = "month_end") -> DataFrame:
     """AGG25: mean level before / during / after a disruption window (month-end
-    labels: before < before_end, during <= during_end), drop and recovery %."""
+    labels: before < before_end, during <= during_end); the drop during it and
+    the level recovered to, as % of the level before (null if that is 0)."""
     m = F.col(label_col)
     b = F.to_date(F.lit(before_end))
     e = F.to_date(F.lit(during_end))
     r = monthly.agg(F.avg(F.when(m < b, F.col(value))).alias("mean_before"),
                     F.avg(F.when((m >= b) & (m <= e), F.col(value))).alias("mean_during"),
                     F.avg(F.when(m > e, F.col(value))).alias("mean_after"))
-    return (r.withColumn("drop_pct", (F.col("mean_during") - F.col("mean_before")) * 100.0 / F.col("mean_before"))
-             .withColumn("recovery_pct", (F.col("mean_after") - F.col("mean_before")) * 100.0 / F.col("mean_before")))
+    level = lambda c: F.try_divide(F.col(c), F.col("mean_before")) * 100.0
+    return r.withColumn("drop_pct", 100.0 - level("mean_during")).withColumn("recovery_pct", level("mean_after"))
 
 
-def month_of_year_profile(df: DataFrame, date_col: str) -> DataFrame:
-    """AGG22: count per calendar month, with peak, trough and swing %."""
-    c = (df.where(F.col(date_col).isNotNull()).groupBy(F.month(date_col).alias("month"))
+def month_of_year_profile(df: DataFrame, date_col: str, since_year: int = 2022) -> DataFrame:
+    """AGG22: count per calendar month from ``since_year`` on, with peak,
+    trough (the earlier month of equals) and swing %."""
+    c = (df.where(F.year(date_col) >= since_year).groupBy(F.month(date_col).alias("month"))
          .agg(F.count(F.lit(1)).alias("count")))
-    ext = c.agg(F.max_by("month", "count").alias("peak_month"), F.max("count").alias("peak_count"),
-                F.min_by("month", "count").alias("trough_month"), F.min("count").alias("trough_count"))
+    ext = c.agg(F.max_by("month", F.struct("count", -F.col("month"))).alias("peak_month"), F.max("count").alias("peak_count"),
+                F.min_by("month", F.struct("count", "month")).alias("trough_month"), F.min("count").alias("trough_count"))
     ext = ext.withColumn("swing_pct", (F.col("peak_count") - F.col("trough_count")) * 100.0 / F.col("trough_count"))
     return attach_row(c.withColumn("month_name", D.month_short_name("month")), ext)
 

@@ -1,12 +1,12 @@
 """Near-duplicate listings of one host (JOI5, DQ11, AGG30, SET2).
 
 Pairs (a, b) of the same host with ``a.id < b.id`` and great-circle distance
-under the threshold.  Blocking is by (host, lat cell, lon cell): cells are as
-large as the threshold in each axis, one side is exploded to its 3 x 3
-neighbour cells, so the join key spreads a host with thousands of listings
-over many cells instead of pairing all of them.  The cell sizes are exact
-bounds (great-circle distance >= R * |dlat| and >= R cos(max|lat|) * |dlon|),
-so no true pair is missed.  Longitude wrap-around at +-180 is not handled.
+under the threshold.  Blocking is by host and a cube of the sphere's 3-d
+coordinates as wide as the threshold's chord: points within the threshold lie
+in the same or in neighbouring cubes, at the poles and across +-180 degrees
+too.  One side goes to its own and half of the neighbouring cubes, so each
+pair of cubes meets once, and a host with thousands of listings is spread over
+many cubes instead of pairing all of them.
 """
 
 from __future__ import annotations
@@ -21,14 +21,8 @@ from ..functions.geo import EARTH_RADIUS_KM, haversine_km
 DUPLICATE_DISTANCE_KM = 0.05  # fixed value: 50 m
 
 
-def _cell_sizes(df: DataFrame, lat: str, threshold_km: float) -> tuple[float, float]:
-    dlat = math.degrees(threshold_km / EARTH_RADIUS_KM)
-    max_abs = df.agg(F.max(F.abs(F.col(lat)))).first()[0]
-    phi = math.radians(min(float(max_abs or 0.0) + dlat, 89.9))
-    s = min(1.0, math.sin(threshold_km / (2 * EARTH_RADIUS_KM)) / math.cos(phi))
-    dlon = math.degrees(2 * math.asin(s))
-    # a little slack against rounding at the cell edges
-    return dlat * 1.001, dlon * 1.001
+#: Half of the 27 neighbour cells and the cell itself: each unordered pair of cells once.
+_AHEAD = [(dx, dy, dz) for dx in (-1, 0, 1) for dy in (-1, 0, 1) for dz in (-1, 0, 1) if (dx, dy, dz) >= (0, 0, 0)]
 
 
 def duplicate_pairs(df: DataFrame, threshold_km: float = DUPLICATE_DISTANCE_KM, id_col: str = "id",
@@ -37,20 +31,22 @@ def duplicate_pairs(df: DataFrame, threshold_km: float = DUPLICATE_DISTANCE_KM,
     pts = df.select(F.col(host_col).alias("host_id"), F.col(id_col).alias("id"),
                     F.col(lat).alias("lat"), F.col(lon).alias("lon")).where(
         F.col("host_id").isNotNull() & F.col("lat").isNotNull() & F.col("lon").isNotNull())
-    slat, slon = _cell_sizes(pts, "lat", threshold_km)
-    cells = pts.select("*", F.floor(F.col("lat") / slat).cast("long").alias("cy"),
-                       F.floor(F.col("lon") / slon).cast("long").alias("cx"))
-    offs = F.array(*[F.struct(F.lit(dy).alias("dy"), F.lit(dx).alias("dx"))
-                     for dy in (-1, 0, 1) for dx in (-1, 0, 1)])
-    a = cells.select(F.col("host_id"), F.col("id").alias("id_a"), F.col("lat").alias("lat_a"),
-                     F.col("lon").alias("lon_a"), "cy", "cx")
-    b = (cells.select(F.col("host_id"), F.col("id").alias("id_b"), F.col("lat").alias("lat_b"),
-                      F.col("lon").alias("lon_b"), "cy", "cx", F.explode(offs).alias("o"))
-         .select("host_id", "id_b", "lat_b", "lon_b",
-                 (F.col("cy") + F.col("o.dy")).alias("cy"), (F.col("cx") + F.col("o.dx")).alias("cx")))
-    j = a.join(b, ["host_id", "cy", "cx"]).where(F.col("id_a") < F.col("id_b"))
-    d = haversine_km("lat_a", "lon_a", "lat_b", "lon_b")
-    return (j.select("host_id", "id_a", "id_b", d.alias("distance_km"))
+    # a little slack against rounding at the cell edges
+    size = 2 * EARTH_RADIUS_KM * math.sin(min(threshold_km / (2 * EARTH_RADIUS_KM), math.pi / 2)) * 1.001
+    phi, lam = F.radians("lat"), F.radians("lon")
+    at = [F.cos(phi) * F.cos(lam), F.cos(phi) * F.sin(lam), F.sin(phi)]
+    cells = pts.select("*", *[F.floor(x * EARTH_RADIUS_KM / size).cast("long").alias(c) for x, c in zip(at, "xyz")])
+    offs = F.array(*[F.struct(*[F.lit(v).alias(c) for v, c in zip(o, "xyz")]) for o in _AHEAD])
+    side = lambda s, frame: frame.select("host_id", *[F.col(c).alias(f"{c}_{s}") for c in ("id", "lat", "lon")], "x", "y", "z", *(["own"] if s == "q" else []))
+    near = cells.select("*", F.explode(offs).alias("o"))
+    own = (F.col("o.x") == 0) & (F.col("o.y") == 0) & (F.col("o.z") == 0)
+    near = near.select("host_id", "id", "lat", "lon", *[(F.col(c) + F.col(f"o.{c}")).alias(c) for c in "xyz"], own.alias("own"))
+    j = side("p", cells).join(side("q", near), ["host_id", "x", "y", "z"])
+    j = j.where(F.when(F.col("own"), F.col("id_p") < F.col("id_q")).otherwise(F.col("id_p") != F.col("id_q")))
+    first = F.col("id_p") < F.col("id_q")
+    pick = lambda c, a, b: F.when(first, F.col(f"{c}_{a}")).otherwise(F.col(f"{c}_{b}"))
+    d = haversine_km(pick("lat", "p", "q"), pick("lon", "p", "q"), pick("lat", "q", "p"), pick("lon", "q", "p"))
+    return (j.select("host_id", pick("id", "p", "q").alias("id_a"), pick("id", "q", "p").alias("id_b"), d.alias("distance_km"))
              .where(F.col("distance_km") < threshold_km))
 
 

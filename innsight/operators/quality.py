@@ -187,13 +187,13 @@ def review_text_report(reviews_raw: DataFrame, min_len: int = 5) -> DataFrame:
 def quality_gate(df: DataFrame, col: str = "price_clean", max_null_pct: float = 5.0,
                  not_null: list[str] | None = None) -> DataFrame:
     """DQ13: rule rows (rule, observed, passed): null share of ``col`` under
-    the limit, and not-null contract columns."""
+    the limit, and not-null contract columns.  An empty batch passes none."""
     not_null = not_null or ["id"]
-    row = df.agg((F.sum(F.col(col).isNull().cast("long")) * 100.0 / F.count(F.lit(1))).cast("double").alias("r0"),
+    row = df.agg(F.try_divide(F.sum(F.col(col).isNull().cast("long")) * 100.0, F.count(F.lit(1))).cast("double").alias("r0"),
                  *[F.sum(F.col(c).isNull().cast("long")).cast("double").alias(f"r{i + 1}")
                    for i, c in enumerate(not_null)])
-    rules = [(f"null_pct_{col}<= {max_null_pct}", "r0", F.col("r0") <= max_null_pct)] + [
-        (f"not_null_{c}", f"r{i + 1}", F.col(f"r{i + 1}") == 0) for i, c in enumerate(not_null)]
+    rules = [(f"null_pct_{col}<= {max_null_pct}", "r0", F.coalesce(F.col("r0") <= max_null_pct, F.lit(False)))] + [
+        (f"not_null_{c}", f"r{i + 1}", F.coalesce(F.col(f"r{i + 1}") == 0, F.lit(False))) for i, c in enumerate(not_null)]
     arr = F.array(*[F.struct(F.lit(n).alias("rule"), F.col(r).alias("observed"), ok.alias("passed"))
                     for n, r, ok in rules])
     return row.select(F.explode(arr).alias("_s")).select("_s.rule", "_s.observed", "_s.passed")

@@ -21,6 +21,8 @@ uses ``running_sums``.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -43,7 +45,9 @@ def bucketize(df: DataFrame, col: str, buckets: int | None = None, out: str = _B
         return df.withColumn(out, F.lit(0.0))
     probs = [i / b for i in range(1, b)]
     row = df.agg(F.percentile_approx(F.col(col).cast("double"), probs, 10000).alias("q")).first()
-    qs = sorted({float(x) for x in (row["q"] or []) if x is not None})
+    qs = sorted({float(x) for x in (row["q"] or []) if x is not None and math.isfinite(x)})
+    if not qs:  # no value to split at: one bucket
+        return df.withColumn(out, F.lit(0.0))
     splits = [float("-inf")] + qs + [float("inf")]
     src = f"{out}_src"
     bz = Bucketizer(splits=splits, inputCol=src, outputCol=out, handleInvalid="keep")

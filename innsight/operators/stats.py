@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 from ..functions import dists
 from ..functions.derived import EFFECT_D_CUTS, EFFECT_ETA_CUTS, effect_size_words
 from .analytics import attach_row
+from ..session import materialize
 from .ranking import bucketize, exact_quantiles, running_sums
 
 ALPHA = 0.05  # fixed value: significance level
@@ -57,7 +58,10 @@ def t_crit_udf(df: pd.Series) -> pd.Series:
 
 @F.pandas_udf(T.DoubleType())
 def tukey_pvalue_udf(q: pd.Series, k: pd.Series, df: pd.Series) -> pd.Series:
-    return pd.Series([dists.tukey_sf(float(a), int(b), float(c)) for a, b, c in zip(q, k, df)])
+    out = pd.Series(np.nan, index=q.index)
+    for (k_, df_), at in q.groupby([k, df]).groups.items():
+        out[at] = dists.tukey_sf_many(q[at].to_numpy(float), int(k_), float(df_))
+    return out
 
 
 # ------------------------------------------------------------ two groups
@@ -73,13 +77,14 @@ def two_group_moments(df: DataFrame, value: str, group: F.Column, first, second)
 
 
 def welch_columns(m: DataFrame) -> DataFrame:
-    """STA1 + STA5: Welch t, Welch-Satterthwaite df and Cohen's d."""
-    se1, se2 = F.col("var1") / F.col("n1"), F.col("var2") / F.col("n2")
-    return (m.withColumn("t_stat", (F.col("mean1") - F.col("mean2")) / F.sqrt(se1 + se2))
-             .withColumn("welch_df", F.pow(se1 + se2, 2) / (F.pow(se1, 2) / (F.col("n1") - 1) +
-                                                            F.pow(se2, 2) / (F.col("n2") - 1)))
-             .withColumn("cohens_d", (F.col("mean1") - F.col("mean2")) /
-                         F.sqrt((F.col("var1") + F.col("var2")) / 2)))
+    """STA1 + STA5: Welch t, Welch-Satterthwaite df and Cohen's d; null where
+    a group has fewer than two rows or both are constant."""
+    se1, se2 = F.try_divide("var1", "n1"), F.try_divide("var2", "n2")
+    diff = F.col("mean1") - F.col("mean2")
+    spread = F.try_divide(F.pow(se1, 2), F.col("n1") - 1) + F.try_divide(F.pow(se2, 2), F.col("n2") - 1)
+    return (m.withColumn("t_stat", F.try_divide(diff, F.sqrt(se1 + se2)))
+             .withColumn("welch_df", F.try_divide(F.pow(se1 + se2, 2), spread))
+             .withColumn("cohens_d", F.try_divide(diff, F.sqrt((F.col("var1") + F.col("var2")) / 2))))
 
 
 def welch_test(df: DataFrame, value: str, group: F.Column, first, second) -> DataFrame:
@@ -91,9 +96,10 @@ def welch_test(df: DataFrame, value: str, group: F.Column, first, second) -> Dat
 def mann_whitney(df: DataFrame, value: str, group: F.Column, first, second) -> DataFrame:
     """STA4 + WIN7: U of the first group, tie-corrected normal approximation
     with continuity correction (two-sided).  Ranks come from running counts
-    over distinct values (ties share the mean rank)."""
+    over distinct values (ties share the mean rank).  NaN is no value; z and p
+    are null where a group is empty or all values are equal."""
     g = df.select(group.alias("_g"), F.col(value).cast("double").alias("_v")).where(
-        F.col("_v").isNotNull() & F.col("_g").isin(first, second))
+        F.col("_v").isNotNull() & ~F.isnan("_v") & F.col("_g").isin(first, second))
     per = g.groupBy("_v").agg(F.count(F.when(F.col("_g") == first, 1)).alias("na"),
                               F.count(F.when(F.col("_g") == second, 1)).alias("nb"))
     per = per.withColumn("t", F.col("na") + F.col("nb"))
@@ -106,8 +112,8 @@ def mann_whitney(df: DataFrame, value: str, group: F.Column, first, second) -> D
     out = (s.withColumn("u_stat", u1)
             .withColumn("_u", F.greatest(F.col("u_stat"), F.col("n1") * F.col("n2") - F.col("u_stat")))
             .withColumn("_sigma", F.sqrt(F.col("n1") * F.col("n2") / 12.0 *
-                                         ((n + 1) - F.col("ties") / (n * (n - 1)))))
-            .withColumn("z", (F.col("_u") - F.col("n1") * F.col("n2") / 2.0 - 0.5) / F.col("_sigma")))
+                                         ((n + 1) - F.try_divide(F.col("ties"), n * (n - 1)))))
+            .withColumn("z", F.try_divide(F.col("_u") - F.col("n1") * F.col("n2") / 2.0 - 0.5, F.col("_sigma"))))
     return out.select(F.col("n1").cast("long"), F.col("n2").cast("long"), "u_stat", "z",
                       norm_two_sided_udf("z").alias("p_value"))
 
@@ -120,9 +126,10 @@ def group_moments(df: DataFrame, value: str, group: str, min_n: int = 0) -> Data
 
 
 def anova(df: DataFrame, value: str, group: str, min_n: int = 0) -> DataFrame:
-    """STA6 + STA7: one-way ANOVA from group (n, mean, var): F, df, p, eta^2."""
+    """STA6 + STA7: one-way ANOVA from group (n, mean, var): F, df, p, eta^2;
+    null with fewer than two groups or no spread within them."""
     gm = group_moments(df, value, group, min_n)
-    tot = gm.agg(F.sum("n").alias("n_total"), (F.sum(F.col("n") * F.col("mean")) / F.sum("n")).alias("grand"),
+    tot = gm.agg(F.sum("n").alias("n_total"), F.try_divide(F.sum(F.col("n") * F.col("mean")), F.sum("n")).alias("grand"),
                  F.count(F.lit(1)).alias("k"))
     j = attach_row(gm, tot)
     s = j.agg(F.sum(F.col("n") * F.pow(F.col("mean") - F.col("grand"), 2)).alias("ssb"),
@@ -130,8 +137,8 @@ def anova(df: DataFrame, value: str, group: str, min_n: int = 0) -> DataFrame:
               F.first("k").alias("k"), F.first("n_total").alias("n_total"))
     return (s.withColumn("df_between", (F.col("k") - 1).cast("long"))
              .withColumn("df_within", (F.col("n_total") - F.col("k")).cast("long"))
-             .withColumn("f_stat", (F.col("ssb") / F.col("df_between")) / (F.col("ssw") / F.col("df_within")))
-             .withColumn("eta_squared", F.col("ssb") / (F.col("ssb") + F.col("ssw")))
+             .withColumn("f_stat", F.try_divide(F.try_divide("ssb", "df_between"), F.try_divide("ssw", "df_within")))
+             .withColumn("eta_squared", F.try_divide(F.col("ssb"), F.col("ssb") + F.col("ssw")))
              .withColumn("p_value", f_pvalue_udf("f_stat", "df_between", "df_within"))
              .drop("n_total"))
 
@@ -162,8 +169,8 @@ def normality_moments(df: DataFrame, value: str, group: str | None = None) -> Da
     agg = (j.groupBy(*by) if by else j.groupBy()).agg(
         F.first("n").alias("n"), F.avg(F.pow(d, 2)).alias("m2"), F.avg(F.pow(d, 3)).alias("m3"),
         F.avg(F.pow(d, 4)).alias("m4"))
-    out = (agg.withColumn("skewness", F.col("m3") / F.pow(F.col("m2"), 1.5))
-              .withColumn("excess_kurtosis", F.col("m4") / F.pow(F.col("m2"), 2) - 3)
+    out = (agg.withColumn("skewness", F.try_divide(F.col("m3"), F.pow(F.col("m2"), 1.5)))
+              .withColumn("excess_kurtosis", F.try_divide(F.col("m4"), F.pow(F.col("m2"), 2)) - 3)
               .withColumn("jarque_bera", F.col("n") / 6.0 * (F.pow(F.col("skewness"), 2) +
                                                             F.pow(F.col("excess_kurtosis"), 2) / 4.0))
               .withColumn("jb_p_value", F.exp(-F.col("jarque_bera") / 2)))
@@ -182,13 +189,14 @@ def tukey_hsd(df: DataFrame, value: str, group: str, min_n: int = 0, alpha: floa
     dfw = N - k
     msw = ssw / dfw if dfw > 0 else float("nan")
     qcrit = dists.qtukey(1 - alpha, k, dfw) if k >= 2 and dfw > 0 else float("nan")
-    # k-row group summaries paired i < j (k(k-1)/2 rows, inherent to the
-    # test); an equi-join on a constant key over the aggregated table
-    a = gm.select(F.lit(1).alias("_one"), F.col(group).alias("group1"), F.col("n").alias("n1"),
+    # the k-row table of group summaries with itself (k(k-1)/2 rows, inherent to
+    # the test), the pairs spread over tasks
+    gm = materialize(gm)
+    a = gm.select(F.col(group).alias("group1"), F.col("n").alias("n1"),
                   F.col("mean").alias("mean1"))
-    b = gm.select(F.lit(1).alias("_one"), F.col(group).alias("group2"), F.col("n").alias("n2"),
+    b = gm.select(F.col(group).alias("group2"), F.col("n").alias("n2"),
                   F.col("mean").alias("mean2"))
-    pairs = a.join(b, "_one").where(F.col("group1") < F.col("group2")).drop("_one")
+    pairs = a.repartition("group1").crossJoin(b).where(F.col("group1") < F.col("group2"))
     se = F.sqrt(F.lit(msw) / 2 * (1 / F.col("n1") + 1 / F.col("n2")))
     out = (pairs.withColumn("meandiff", F.col("mean2") - F.col("mean1"))
            .withColumn("_q", F.abs(F.col("meandiff")) / se)
@@ -199,6 +207,14 @@ def tukey_hsd(df: DataFrame, value: str, group: str, min_n: int = 0, alpha: floa
     return out.select("group1", "group2", "meandiff", "p_adj", "lower", "upper", "reject")
 
 
+def tukey_summary(pairs: DataFrame, top: int = 10) -> DataFrame:
+    """STA8: how many pairs are rejected, and the ``top`` largest significant
+    differences (a row each, by absolute difference)."""
+    n = pairs.agg(F.count(F.lit(1)).alias("pairs"), F.count_if("reject").alias("rejected"))
+    best = pairs.where("reject").orderBy(F.abs("meandiff").desc(), "group1", "group2").limit(top)
+    return attach_row(best.select("group1", "group2", "meandiff", "p_adj"), n)
+
+
 def t_intervals(df: DataFrame, value: str, group: str) -> DataFrame:
     """STA9: t interval of the mean per group: m +- t(0.975, n-1) s / sqrt(n)."""
     g = group_moments(df, value, group).withColumn("se", F.sqrt(F.col("var") / F.col("n")))

@@ -1,10 +1,9 @@
 """Bronze / Silver / Gold plans over one input folder.
 
 ``Lake`` builds each layer's DataFrame plan once (lazily) so several queries
-share the same plans and the same eager scalars (price cap).  It holds plans,
-not data.  ``materialize`` writes Silver and Gold as Parquet into the shared
-checkpoint folder (the pipeline run, SRC13) and swaps the plans for scans of
-those files, which cuts lineage and makes later queries cheap.
+share the same plans and the same eager scalars (price cap).  Silver and Gold
+are Parquet tables in the shared folder, so what reads them prunes columns and
+pushes filters down.
 """
 
 from __future__ import annotations
@@ -35,6 +34,12 @@ class Lake:
     def calendar_raw(self) -> DataFrame:
         return FX.calendar_raw(self.spark, self.sf_dir)
 
+    @cached_property
+    def calendar_typed(self) -> DataFrame:
+        """Every calendar row with its date typed, before the Silver filter."""
+        from pyspark.sql import functions as F
+        return self.calendar_raw.withColumn("date", F.col("date").try_cast("date"))
+
     @cached_property
     def reviews_raw(self) -> DataFrame:
         return FX.reviews_raw(self.spark, self.sf_dir)
@@ -91,16 +96,6 @@ class Lake:
     def warehouse(self) -> dict[str, DataFrame]:
         return W.star_schema(self.gold, self.calendar, self.reviews)
 
-    def materialize(self, root: str) -> "Lake":
-        """Write Silver + Gold to ``root`` and read them back (SRC7/SRC13)."""
-        for name in ("listings", "calendar", "reviews", "gold", "neighbourhoods"):
-            path = f"{root}/{name}"
-            getattr(self, name).write.mode("overwrite").parquet(path)
-            self.__dict__[name] = self.spark.read.parquet(path)
-        for name in ("eda", "dim_date"):
-            self.__dict__.pop(name, None)
-        return self
-
 
 def lake(spark: SparkSession, sf_dir: str) -> Lake:
     """Shared plans per (session, folder); rebuilt for a new or stopped session."""

@@ -38,7 +38,7 @@ def run_pipeline(spark: SparkSession, sf_dir: str, root: str, city: str = "Cape
             log.append((run_id, city, name, float(t0), float(time.time()), "success", rows_in, rows_out))
             return True
         except Exception as e:  # noqa: BLE001 -- recorded, pipeline stops
-            log.append((run_id, city, name, float(t0), float(time.time()), f"failed: {type(e).__name__}", None, None))
+            log.append((run_id, city, name, float(t0), float(time.time()), f"failed: {type(e).__name__}: {e}", None, None))
             return False
 
     def silver():

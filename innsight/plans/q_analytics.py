@@ -13,9 +13,20 @@ from ..sources.fixtures import SCRAPE_DATE
 from . import oracle as O
 from .registry import register
 
-# Disruption window for AGG25, placed inside the fixture's review dates
-# (1995-2001); the reference's own window is 2020-03-01 .. 2021-06-01.
+# Disruption window of AGG25 and first year of AGG22 / AGG23, placed inside the
+# fixture's review dates (1995-2001); the operators' defaults are the original's.
 DISRUPTION_START, DISRUPTION_END = "1998-03-01", "1999-06-01"
+RECENT_YEAR = 1998
+
+
+# The levels of the one-hot columns.
+ROOM_LEVELS = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
+
+O.register("calendar_typed", "SELECT * REPLACE (TRY_CAST(date AS DATE) AS date) FROM calendar_raw")
+
+
+def _available():
+    return F.when(F.col("available") == "t", 1.0).otherwise(0.0)
 
 
 def _labels_values(labels):
@@ -63,11 +74,11 @@ def agg8_price_by_room_type(lk):
 
 @register("agg13_rating_share", O.rounded(
     "SELECT avg(CASE WHEN review_scores_rating IS NOT NULL THEN CAST(review_scores_rating >= 4.5 AS DOUBLE) END) * 100 "
-    "AS share_pct, avg(CAST(review_scores_rating IS NULL AS DOUBLE)) * 100 AS null_pct FROM eda",
+    "AS share_pct, avg(CAST(review_scores_rating IS NULL AS DOUBLE)) * 100 AS null_pct FROM gold",
     ["share_pct", "null_pct"]))
 def agg13_rating_share(lk):
-    """AGG13: share of ratings >= 4.5, share missing."""
-    return A.share_meeting(lk.eda, "review_scores_rating", 4.5)
+    """AGG13: share of ratings >= 4.5, share missing (price outliers included)."""
+    return A.share_meeting(lk.gold, "review_scores_rating", 4.5)
 
 
 _HOST_SEG_SQL = f"""
@@ -159,16 +170,17 @@ def agg19_neighbourhood_order(lk):
 _MONTHLY_SQL = """
 SELECT CAST(last_day(s.m) AS DATE) AS month_end, CAST(coalesce(c.cnt, 0) AS BIGINT) AS count
 FROM (SELECT unnest(generate_series(CAST(date_trunc('month', min(date)) AS DATE), CAST(date_trunc('month', max(date)) AS DATE),
-                                    INTERVAL 1 MONTH)) AS m FROM reviews_silver WHERE date IS NOT NULL) s
-LEFT JOIN (SELECT last_day(date) AS month_end, count(*) AS cnt FROM reviews_silver WHERE date IS NOT NULL GROUP BY 1) c
+                                    INTERVAL 1 MONTH)) AS m FROM reviews_flagged WHERE date IS NOT NULL) s
+LEFT JOIN (SELECT last_day(date) AS month_end, count(*) AS cnt FROM reviews_flagged WHERE date IS NOT NULL GROUP BY 1) c
   ON c.month_end = CAST(last_day(s.m) AS DATE)"""
 O.register("monthly_reviews", _MONTHLY_SQL)
 
 
 @register("agg20_monthly_reviews", O.with_ctes("SELECT * FROM monthly_reviews"))
 def agg20_monthly_reviews(lk):
-    """AGG20: reviews per month with a full month spine."""
-    return A.monthly_counts(lk.reviews, "date")
+    """AGG20: reviews per month with a full month spine; every review counts,
+    short comments too."""
+    return A.monthly_counts(lk.reviews_flagged, "date")
 
 
 @register("win2_moving_average", O.rounded(
@@ -176,92 +188,99 @@ def agg20_monthly_reviews(lk):
     "FROM monthly_reviews WINDOW w AS (ORDER BY month_end ROWS BETWEEN 3 PRECEDING AND 2 FOLLOWING)", ["moving_avg"]))
 def win2_moving_average(lk):
     """WIN2 / JOB6: centred 6-month moving average of monthly reviews."""
-    return A.centered_moving_average(A.monthly_counts(lk.reviews, "date"), "month_end", "count")
+    return A.centered_moving_average(A.monthly_counts(lk.reviews_flagged, "date"), "month_end", "count")
 
 
 @register("agg25_disruption_periods", O.rounded(
-    f"SELECT *, (mean_during - mean_before) * 100.0 / mean_before AS drop_pct, "
-    f"(mean_after - mean_before) * 100.0 / mean_before AS recovery_pct FROM ("
+    f"SELECT *, 100.0 - 100.0 * mean_during / nullif(mean_before, 0) AS drop_pct, "
+    f"100.0 * mean_after / nullif(mean_before, 0) AS recovery_pct FROM ("
     f"SELECT avg(CASE WHEN month_end < DATE '{DISRUPTION_START}' THEN count END) AS mean_before, "
     f"avg(CASE WHEN month_end >= DATE '{DISRUPTION_START}' AND month_end <= DATE '{DISRUPTION_END}' THEN count END) AS mean_during, "
     f"avg(CASE WHEN month_end > DATE '{DISRUPTION_END}' THEN count END) AS mean_after FROM monthly_reviews) p",
     ["mean_before", "mean_during", "mean_after", "drop_pct", "recovery_pct"]))
 def agg25_disruption_periods(lk):
     """AGG25 / JOB6: mean monthly reviews before / during / after a window."""
-    return A.period_comparison(A.monthly_counts(lk.reviews, "date"), "count", DISRUPTION_START, DISRUPTION_END)
+    return A.period_comparison(A.monthly_counts(lk.reviews_flagged, "date"), "count", DISRUPTION_START, DISRUPTION_END)
+
+
+O.register("month_counts", f"SELECT CAST(date_part('month', date) AS INTEGER) AS month, count(*) AS cnt FROM reviews_flagged "
+                           f"WHERE date >= DATE '{RECENT_YEAR}-01-01' GROUP BY 1")
 
 
 @register("agg22_month_of_year", O.rounded(
-    "SELECT c.month, c.count, strftime(make_date(2000, c.month, 1), '%b') AS month_name, e.* FROM "
-    "(SELECT CAST(month(date) AS INTEGER) AS month, count(*) AS count FROM reviews_silver WHERE date IS NOT NULL GROUP BY 1) c, "
-    "(SELECT arg_max(month, cnt) AS peak_month, max(cnt) AS peak_count, arg_min(month, cnt) AS trough_month, "
-    "min(cnt) AS trough_count, (max(cnt) - min(cnt)) * 100.0 / min(cnt) AS swing_pct FROM "
-    "(SELECT CAST(month(date) AS INTEGER) AS month, count(*) AS cnt FROM reviews_silver WHERE date IS NOT NULL GROUP BY 1) x) e",
+    "SELECT c.month, c.cnt AS count, strftime(make_date(2000, c.month, 1), '%b') AS month_name, "
+    "(SELECT month FROM month_counts ORDER BY cnt DESC, month LIMIT 1) AS peak_month, (SELECT max(cnt) FROM month_counts) AS peak_count, "
+    "(SELECT month FROM month_counts ORDER BY cnt, month LIMIT 1) AS trough_month, (SELECT min(cnt) FROM month_counts) AS trough_count, "
+    "(SELECT 100.0 * max(cnt) / min(cnt) - 100.0 FROM month_counts) AS swing_pct FROM month_counts c",
     ["swing_pct"]))
 def agg22_month_of_year(lk):
     """AGG22 / JOB6: reviews per calendar month, peak, trough, swing."""
-    return A.month_of_year_profile(lk.reviews, "date")
+    return A.month_of_year_profile(lk.reviews_flagged, "date", RECENT_YEAR)
 
 
 @register("agg21_weekly_availability", O.rounded(
     "SELECT s.week_end, m.weekly_mean FROM (SELECT unnest(generate_series(min(w), max(w), INTERVAL 7 DAY)) AS week_end "
-    "FROM (SELECT CAST(date_trunc('week', date) AS DATE) + 6 AS w FROM calendar_silver WHERE date IS NOT NULL) a) s "
+    "FROM (SELECT CAST(date_trunc('week', date) AS DATE) + 6 AS w FROM calendar_typed WHERE date IS NOT NULL) a) s "
     "LEFT JOIN (SELECT CAST(date_trunc('week', date) AS DATE) + 6 AS week_end, "
-    "avg(coalesce(CAST(available_bool AS DOUBLE), 0.0)) AS weekly_mean FROM calendar_silver WHERE date IS NOT NULL "
+    "avg(CASE WHEN available = 't' THEN 1.0 ELSE 0.0 END) AS weekly_mean FROM calendar_typed WHERE date IS NOT NULL "
     "GROUP BY 1) m ON m.week_end = CAST(s.week_end AS DATE)", ["weekly_mean"]))
 def agg21_weekly_availability(lk):
-    """AGG21 / JOB13: weekly availability rate, weeks end on Sunday (null
-    availability counts as unavailable here)."""
-    v = F.coalesce(F.col("available_bool").cast("double"), F.lit(0.0))
-    return A.weekly_mean(lk.calendar, "date", v)
+    """AGG21 / JOB13: weekly availability rate over every calendar row, weeks
+    end on Sunday (null availability counts as unavailable here)."""
+    return A.weekly_mean(lk.calendar_typed, "date", _available())
 
 
 @register("job13_availability_overall", O.rounded(
-    "SELECT avg(coalesce(CAST(available_bool AS DOUBLE), 0.0)) * 100 AS availability_pct, "
-    "(1 - avg(coalesce(CAST(available_bool AS DOUBLE), 0.0))) * 100 AS occupancy_proxy_pct FROM calendar_silver",
+    "SELECT 100.0 * count(*) FILTER (available = 't') / count(*) AS availability_pct, "
+    "100.0 * count(*) FILTER (available IS DISTINCT FROM 't') / count(*) AS occupancy_proxy_pct FROM calendar_raw",
     ["availability_pct", "occupancy_proxy_pct"]))
 def job13_availability_overall(lk):
     """JOB13 / AGG13: overall availability rate and occupancy proxy."""
-    v = F.coalesce(F.col("available_bool").cast("double"), F.lit(0.0))
-    return lk.calendar.agg((F.avg(v) * 100).alias("availability_pct"),
-                           ((1 - F.avg(v)) * 100).alias("occupancy_proxy_pct"))
+    v = _available()
+    return lk.calendar_typed.agg((F.avg(v) * 100).alias("availability_pct"),
+                                 ((1 - F.avg(v)) * 100).alias("occupancy_proxy_pct"))
 
 
 @register("agg23_price_by_review_month", O.rounded(
     "SELECT CAST(month(last_review) AS INTEGER) AS review_month, avg(price_capped) AS mean, count(price_capped) AS count, "
-    "quantile_cont(price_capped, 0.5) AS median FROM eda WHERE last_review IS NOT NULL AND price_capped IS NOT NULL "
+    f"quantile_cont(price_capped, 0.5) AS median FROM eda WHERE last_review >= DATE '{RECENT_YEAR}-01-01' AND price_capped IS NOT NULL "
     "GROUP BY 1", ["mean", "median"]))
 def agg23_price_by_review_month(lk):
-    """AGG23: price by month of the last review (proxy)."""
-    return A.group_stats(lk.eda.withColumn("review_month", F.month("last_review")), "price_capped", ["review_month"])
+    """AGG23: price by month of the last review (proxy), recent years only."""
+    return A.group_stats(lk.eda.where(F.year("last_review") >= RECENT_YEAR).withColumn("review_month", F.month("last_review")), "price_capped", ["review_month"])
 
 
 @register("agg24_min_nights_by_month", O.rounded(
     "SELECT CAST(month(date) AS INTEGER) AS month, avg(minimum_nights) AS mean, count(minimum_nights) AS count, "
-    "quantile_cont(minimum_nights, 0.5) AS median FROM calendar_silver WHERE date IS NOT NULL AND minimum_nights IS NOT NULL "
+    "quantile_cont(minimum_nights, 0.5) AS median FROM calendar_typed WHERE date IS NOT NULL AND minimum_nights IS NOT NULL "
     "GROUP BY 1", ["mean", "median"]))
 def agg24_min_nights_by_month(lk):
-    """AGG24: minimum-night policy by calendar month."""
-    return A.group_stats(lk.calendar.withColumn("month", F.month("date")), "minimum_nights", ["month"])
+    """AGG24: minimum-night policy by calendar month, over every calendar row."""
+    return A.group_stats(lk.calendar_typed.where(F.col("date").isNotNull()).withColumn("month", F.month("date")), "minimum_nights", ["month"])
 
 
-_PROFILE_COLS = ["price_capped", "review_scores_rating", "number_of_reviews", "availability_365"]
+# The profile's columns.
+_PROFILE_COLS = ["price_capped", "accommodates", "minimum_nights", "availability_365", "calculated_host_listings_count"]
 O.register("flt9_flagged", """
-SELECT *, coalesce(number_of_reviews >= (SELECT quantile_cont(number_of_reviews, 0.75) FROM eda)
+SELECT *, coalesce(number_of_reviews >= (SELECT quantile_cont(number_of_reviews, 0.75) FROM gold)
           AND review_scores_rating < 4.3, false) AS high_volume_low_score FROM eda""")
 
 
+def _flagged(lk):
+    """FLT9: the third quartile is taken over all of Gold, the rows are those
+    without price outliers."""
+    q3 = exact_quantiles(lk.gold, "number_of_reviews", [0.75], names=["_q3"])
+    high = (F.col("number_of_reviews") >= F.col("_q3")) & (F.col("review_scores_rating") < 4.3)
+    return A.attach_row(lk.eda, q3).withColumn("high_volume_low_score", F.coalesce(high, F.lit(False)))
+
+
 @register("agg26_segment_profile", O.rounded(
     "SELECT high_volume_low_score, column_name, quantile_cont(value, 0.5) AS median FROM (" + "\nUNION ALL\n".join(
         f"SELECT high_volume_low_score, '{c}' AS column_name, CAST({c} AS DOUBLE) AS value FROM flt9_flagged"
         for c in _PROFILE_COLS) + ") u WHERE value IS NOT NULL GROUP BY 1, 2", ["median"]))
 def agg26_segment_profile(lk):
     """AGG26 / FLT9: medians of a segment (high volume, low score) vs the rest."""
-    e = lk.eda
-    q3 = exact_quantiles(e, "number_of_reviews", [0.75], names=["_q3"])
-    f = A.attach_row(e, q3).withColumn(
-        "high_volume_low_score",
-        F.coalesce((F.col("number_of_reviews") >= F.col("_q3")) & (F.col("review_scores_rating") < 4.3), F.lit(False)))
+    f = _flagged(lk)
     arr = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("value")) for c in _PROFILE_COLS])
     st = f.select("high_volume_low_score", F.explode(arr).alias("_s")).select(
         "high_volume_low_score", "_s.column_name", "_s.value")
@@ -272,11 +291,7 @@ def agg26_segment_profile(lk):
     "SELECT count(*) FILTER (WHERE high_volume_low_score) AS flagged, count(*) AS listings FROM flt9_flagged"))
 def flt9_high_volume_low_score(lk):
     """FLT9: compound predicate reviews >= Q3 and score < 4.3."""
-    e = lk.eda
-    q3 = exact_quantiles(e, "number_of_reviews", [0.75], names=["_q3"])
-    f = A.attach_row(e, q3)
-    cond = F.coalesce((F.col("number_of_reviews") >= F.col("_q3")) & (F.col("review_scores_rating") < 4.3), F.lit(False))
-    return f.agg(F.count_if(cond).alias("flagged"), F.count(F.lit(1)).alias("listings"))
+    return _flagged(lk).agg(F.count_if("high_volume_low_score").alias("flagged"), F.count(F.lit(1)).alias("listings"))
 
 
 @register("agg27_neighbourhood_summary", O.rounded(
@@ -312,15 +327,15 @@ def win3_win4_lorenz_gini(lk):
 
 @register("win5_rating_ecdf", O.rounded(
     "SELECT review_scores_rating, count(*) AS n, sum(count(*)) OVER (ORDER BY review_scores_rating) / "
-    "sum(count(*)) OVER () AS ecdf FROM eda WHERE review_scores_rating IS NOT NULL GROUP BY 1",
+    "sum(count(*)) OVER () AS ecdf FROM gold WHERE review_scores_rating IS NOT NULL GROUP BY 1",
     ["review_scores_rating", "ecdf"]))
 def win5_rating_ecdf(lk):
-    """WIN5: empirical CDF of ratings."""
-    return A.ecdf(lk.eda, "review_scores_rating")
+    """WIN5: empirical CDF of ratings (price outliers included)."""
+    return A.ecdf(lk.gold, "review_scores_rating")
 
 
 _GEO7_BASE = ("SELECT neighbourhood_cleansed, avg(review_scores_rating) AS mean_score, count(review_scores_rating) AS n "
-              "FROM eda WHERE neighbourhood_cleansed IS NOT NULL GROUP BY 1 HAVING count(review_scores_rating) >= 20")
+              "FROM gold WHERE neighbourhood_cleansed IS NOT NULL GROUP BY 1 HAVING count(review_scores_rating) >= 20")
 
 
 @register("geo7_best_worst_neighbourhoods", O.rounded(
@@ -330,7 +345,7 @@ _GEO7_BASE = ("SELECT neighbourhood_cleansed, avg(review_scores_rating) AS mean_
 def geo7_best_worst_neighbourhoods(lk):
     """GEO7 / SRT3 / FLT7: best and worst neighbourhoods by mean score among
     those with >= 20 scored listings (HAVING)."""
-    g = (lk.eda.where(F.col("neighbourhood_cleansed").isNotNull()).groupBy("neighbourhood_cleansed")
+    g = (lk.gold.where(F.col("neighbourhood_cleansed").isNotNull()).groupBy("neighbourhood_cleansed")
          .agg(F.avg("review_scores_rating").alias("mean_score"), F.count("review_scores_rating").alias("n"))
          .where(F.col("n") >= 20))
     return A.head_tail(g, "mean_score", "neighbourhood_cleansed", 10)
@@ -387,8 +402,8 @@ _HEX_Y = ("(latitude - (SELECT min(latitude) FROM eda)) * (34 / ((SELECT max(lat
 @register("geo3_hexbin_median_price", O.rounded(f"""
 SELECT cell, count(*) AS n, quantile_cont(price_capped, 0.5) AS median_value FROM (
   SELECT price_capped,
-         CASE WHEN pow(ix - round(ix), 2) + 3.0 * pow(iy - round(iy), 2) < pow(ix - floor(ix) - 0.5, 2) + 3.0 * pow(iy - floor(iy) - 0.5, 2)
-              THEN CAST(round(ix) AS BIGINT) * 35 + CAST(round(iy) AS BIGINT)
+         CASE WHEN pow(ix - round_even(ix, 0), 2) + 3.0 * pow(iy - round_even(iy, 0), 2) < pow(ix - floor(ix) - 0.5, 2) + 3.0 * pow(iy - floor(iy) - 0.5, 2)
+              THEN CAST(round_even(ix, 0) AS BIGINT) * 35 + CAST(round_even(iy, 0) AS BIGINT)
               ELSE 61 * 35 + CAST(floor(ix) AS BIGINT) * 34 + CAST(floor(iy) AS BIGINT) END AS cell
   FROM (SELECT price_capped, {_HEX_X} AS ix, {_HEX_Y} AS iy FROM eda
         WHERE longitude IS NOT NULL AND latitude IS NOT NULL AND price_capped IS NOT NULL) a) c
@@ -408,13 +423,14 @@ def geo4_density_grid(lk):
 
 @register("geo5_score_grid", O.rounded(
     "SELECT CAST(floor(latitude / 0.01) AS BIGINT) AS cell_lat, CAST(floor(longitude / 0.01) AS BIGINT) AS cell_lon, "
-    "avg(review_scores_rating) AS mean_value, count(*) AS n, "
-    "(SELECT quantile_cont(review_scores_rating, 0.05) FROM eda) AS colour_floor "
-    "FROM eda WHERE review_scores_rating IS NOT NULL GROUP BY 1, 2", ["mean_value", "colour_floor"]))
+    "round(avg(review_scores_rating), 4) AS mean_value, count(*) AS n, "
+    "(SELECT quantile_cont(review_scores_rating, 0.05) FROM gold WHERE latitude IS NOT NULL AND longitude IS NOT NULL) AS colour_floor "
+    "FROM gold WHERE review_scores_rating IS NOT NULL AND latitude IS NOT NULL AND longitude IS NOT NULL GROUP BY 1, 2", ["mean_value", "colour_floor"]))
 def geo5_score_grid(lk):
     """GEO5: mean score per grid cell with the 5 % quantile as colour floor."""
-    g = A.grid_mean(lk.eda, "latitude", "longitude", "review_scores_rating", 0.01)
-    q = exact_quantiles(lk.eda, "review_scores_rating", [0.05], names=["colour_floor"])
+    scored = lk.gold.dropna(subset=["review_scores_rating", "latitude", "longitude"])
+    g = A.grid_mean(scored, "latitude", "longitude", "review_scores_rating", 0.01).withColumn("mean_value", F.round("mean_value", 4))
+    q = exact_quantiles(scored, "review_scores_rating", [0.05], names=["colour_floor"])
     return A.attach_row(g, q)
 
 
@@ -439,18 +455,29 @@ def geo8_distance_price(lk):
 
 
 @register("joi9_room_type_alignment", O.rounded(
-    "SELECT coalesce(a.room_type, b.room_type) AS room_type, coalesce(a.s, 0.0) AS superhost_pct, "
-    "coalesce(b.s, 0.0) AS other_pct FROM "
-    "(SELECT room_type, count(*) * 100.0 / sum(count(*)) OVER () AS s FROM eda WHERE host_is_superhost "
-    " AND room_type IS NOT NULL GROUP BY 1) a FULL OUTER JOIN "
-    "(SELECT room_type, count(*) * 100.0 / sum(count(*)) OVER () AS s FROM eda WHERE NOT host_is_superhost "
-    " AND room_type IS NOT NULL GROUP BY 1) b ON a.room_type = b.room_type", ["superhost_pct", "other_pct"]))
+    "SELECT room_type, coalesce(100.0 * count(*) FILTER (high_volume_low_score) / "
+    "nullif((SELECT count(*) FROM flt9_flagged WHERE high_volume_low_score AND room_type IS NOT NULL), 0), 0.0) AS flagged_pct, "
+    "100.0 * count(*) / (SELECT count(*) FROM flt9_flagged WHERE room_type IS NOT NULL) AS all_pct "
+    "FROM flt9_flagged WHERE room_type IS NOT NULL GROUP BY room_type", ["flagged_pct", "all_pct"]))
 def joi9_room_type_alignment(lk):
-    """JOI9: outer alignment of two share tables, missing -> 0."""
-    e = lk.eda
-    a = A.value_shares(e.where(F.col("host_is_superhost")), "room_type")
-    b = A.value_shares(e.where(~F.col("host_is_superhost")), "room_type")
-    return A.outer_align(a, b, "room_type", "share_pct", "share_pct").toDF("room_type", "superhost_pct", "other_pct")
+    """JOI9: room-type shares of the flagged segment (FLT9) against all
+    listings, outer alignment, missing -> 0."""
+    f = _flagged(lk)
+    a = A.value_shares(f.where("high_volume_low_score"), "room_type")
+    b = A.value_shares(f, "room_type")
+    return A.outer_align(a, b, "room_type", "share_pct", "share_pct").toDF("room_type", "flagged_pct", "all_pct")
+
+
+@register("job8_response_rate_trend", O.rounded(
+    "SELECT regr_slope(review_scores_rating, host_response_rate) AS slope, "
+    "regr_intercept(review_scores_rating, host_response_rate) AS intercept, regr_count(review_scores_rating, host_response_rate) AS n "
+    "FROM eda", ["slope", "intercept"]))
+def job8_response_rate_trend(lk):
+    """JOB8 / STA19: trend line of review score on host response rate."""
+    both = lk.eda.dropna(subset=["host_response_rate", "review_scores_rating"])
+    return both.agg(F.regr_slope("review_scores_rating", "host_response_rate").alias("slope"),
+                    F.regr_intercept("review_scores_rating", "host_response_rate").alias("intercept"),
+                    F.count(F.lit(1)).alias("n"))
 
 
 @register("job8_superhost_comparison", O.rounded(
@@ -470,19 +497,21 @@ def job8_superhost_comparison(lk):
 
 
 _TIER_SQL = f"""
-SELECT s.tier, CAST(s.tier_order AS INTEGER) AS tier_order, CAST(coalesce(c.listings, 0) AS BIGINT) AS listings, c.median_price
+SELECT s.tier, CAST(s.tier_order AS INTEGER) AS tier_order, CAST(coalesce(c.listings, 0) AS BIGINT) AS listings, m.median_price
 FROM (VALUES {_labels_values(D.DEMAND_TIER_LABELS)}) s(tier, tier_order)
 LEFT JOIN (SELECT {_bucket_case('number_of_reviews_ltm', D.DEMAND_TIER_BINS, D.DEMAND_TIER_LABELS)} AS tier,
-                  count(*) AS listings, quantile_cont(price_capped, 0.5) AS median_price
-           FROM eda GROUP BY 1) c ON c.tier = s.tier"""
+                  count(*) AS listings FROM gold GROUP BY 1) c ON c.tier = s.tier
+LEFT JOIN (SELECT {_bucket_case('number_of_reviews_ltm', D.DEMAND_TIER_BINS, D.DEMAND_TIER_LABELS)} AS tier,
+                  quantile_cont(price_capped, 0.5) AS median_price FROM eda GROUP BY 1) m ON m.tier = s.tier"""
 
 
 @register("job11_demand_tiers", O.rounded(_TIER_SQL, ["median_price"]))
 def job11_demand_tiers(lk):
-    """JOB11 (SCL26, AGG16, AGG8): listings and median price per demand tier."""
+    """JOB11 (SCL26, AGG16, AGG8): listings per demand tier over all of Gold,
+    median price per tier without price outliers."""
     lab, _ = D.right_closed_bucket("number_of_reviews_ltm", D.DEMAND_TIER_BINS, D.DEMAND_TIER_LABELS)
     e = lk.eda.withColumn("tier", lab)
-    seg = A.segment_counts(e, "tier", D.DEMAND_TIER_LABELS, name="listings").select(
+    seg = A.segment_counts(lk.gold.withColumn("tier", lab), "tier", D.DEMAND_TIER_LABELS, name="listings").select(
         "tier", F.col("segment_order").alias("tier_order"), "listings")
     med = exact_quantiles(e.where(F.col("tier").isNotNull()), "price_capped", [0.5], ["tier"], names=["median_price"])
     return seg.join(med, "tier", "left")
@@ -515,10 +544,27 @@ def job10_price_by_property_type(lk):
         f"CAST(room_type = '{lv}' AS INTEGER) AS \"room_type_{lv}\""
         for lv in ["2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]) + " FROM eda"))
 def scl31_one_hot_room_type(lk):
-    """SCL31: dummies per sorted level, first dropped (levels are the
-    distinct values, collected as a small checked list)."""
-    lv = lk.eda.select("room_type").where(F.col("room_type").isNotNull()).distinct()
-    if lv.count() > 1000:  # size check before the level list reaches the driver
-        raise ValueError("too many levels for one-hot columns")
-    levels = [r[0] for r in lv.collect()]
-    return D.one_hot(lk.eda.select("id", "room_type"), "room_type", levels).drop("room_type")
+    """SCL31: a dummy column per level of the caller's list, first dropped."""
+    return D.one_hot(lk.eda.select("id", "room_type"), "room_type", ROOM_LEVELS).drop("room_type")
+
+
+@register("scl31_dummies_long", O.with_ctes(
+    "SELECT id, room_type AS level FROM eda WHERE room_type > (SELECT min(room_type) FROM eda)"))
+def scl31_dummies_long(lk):
+    """SCL31 for any number of levels: the (id, level) of every dummy that is
+    one; the first level has none."""
+    first = lk.eda.agg(F.min("room_type").alias("_first"))
+    return A.attach_row(lk.eda.select("id", F.col("room_type").alias("level")), first).where("level > _first").drop("_first")
+
+
+_NIGHTS_BINS, _NIGHTS_LABELS = [0, 1, 2, 7, 30, 9999], ["1 night", "2 nights", "3–7 nights", "8–30 nights", "30+ nights"]
+
+
+@register("agg8_price_by_minimum_nights", O.rounded(
+    f"SELECT bucket, quantile_cont(price_capped, 0.5) AS median, count(*) AS count FROM (SELECT price_capped, "
+    f"{_bucket_case('minimum_nights', _NIGHTS_BINS, _NIGHTS_LABELS)} AS bucket FROM eda) b "
+    "WHERE bucket IS NOT NULL AND price_capped IS NOT NULL GROUP BY bucket", ["median"]))
+def agg8_price_by_minimum_nights(lk):
+    """AGG8 / JOB6: median price per minimum-night bucket."""
+    lab, _ = D.right_closed_bucket("minimum_nights", _NIGHTS_BINS, _NIGHTS_LABELS)
+    return A.group_stats(lk.eda.withColumn("bucket", lab), "price_capped", ["bucket"]).select("bucket", "median", "count")

@@ -217,14 +217,28 @@ def sta10_effect_sizes(lk):
 
 
 @register("sta11_pearson", O.rounded(
-    "SELECT corr(number_of_reviews, price_capped) AS r_reviews_price, "
-    "corr(review_scores_rating, price_capped) AS r_rating_price, count(*) AS n FROM eda",
-    ["r_reviews_price", "r_rating_price"]))
+    "SELECT corr(least(number_of_reviews, 500), price_capped) AS r_reviews_price, "
+    "corr(review_scores_rating, price_capped) AS r_rating_price, "
+    "corr(number_of_reviews, review_scores_rating) AS r_reviews_rating, count(*) AS n FROM eda "
+    "WHERE review_scores_rating IS NOT NULL AND price_capped IS NOT NULL AND number_of_reviews IS NOT NULL",
+    ["r_reviews_price", "r_rating_price", "r_reviews_rating"]))
 def sta11_pearson(lk):
-    """STA11: Pearson r, pairwise complete."""
-    return lk.eda.agg(F.corr("number_of_reviews", "price_capped").alias("r_reviews_price"),
-                      F.corr("review_scores_rating", "price_capped").alias("r_rating_price"),
-                      F.count(F.lit(1)).alias("n"))
+    """STA11: Pearson r over complete cases; the review count is clipped
+    against price, not against the rating."""
+    e = _complete(lk)
+    return e.agg(F.corr(_clipped(), "price_capped").alias("r_reviews_price"),
+                 F.corr("review_scores_rating", "price_capped").alias("r_rating_price"),
+                 F.corr("number_of_reviews", "review_scores_rating").alias("r_reviews_rating"),
+                 F.count(F.lit(1)).alias("n"))
+
+
+def _clipped(cap: int = 500):
+    """The review count, clipped."""
+    return F.least(F.col("number_of_reviews"), F.lit(cap))
+
+
+def _complete(lk):
+    return lk.eda.dropna(subset=["review_scores_rating", "price_capped", "number_of_reviews"])
 
 
 _PAIRS = [(a, b) for i, a in enumerate(CORR_FEATURES) for b in CORR_FEATURES[i + 1:]]
@@ -256,32 +270,45 @@ _SUB = ["review_scores_accuracy", "review_scores_cleanliness", "review_scores_ch
         "review_scores_communication", "review_scores_location", "review_scores_value"]
 
 
+_SUB_COMPLETE = " AND ".join(f"{c} IS NOT NULL" for c in _SUB)
+
+
+@register("job9_subscore_matrix", O.rounded("\nUNION ALL\n".join(
+    f"SELECT '{a}' AS col_a, '{b}' AS col_b, " + ("1.0" if a == b else f"corr({min(a, b)}, {max(a, b)})") + f" AS r FROM gold WHERE {_SUB_COMPLETE}"
+    + (" HAVING count(*) > 0" if a == b else "") for a in _SUB for b in _SUB), ["r"]))
+def job9_subscore_matrix(lk):
+    """JOB9 (STA12): correlation matrix of the sub-scores over rows that have
+    all six, long form."""
+    return S.correlation_pairs(lk.gold.dropna(subset=_SUB), _SUB)
+
+
 @register("job9_subscore_drivers", O.rounded(
     "SELECT feature, r, row_number() OVER (ORDER BY abs(r) DESC NULLS LAST, feature) AS rank_abs FROM (" +
     "\nUNION ALL\n".join(f"SELECT '{c}' AS feature, corr({c}, review_scores_rating) AS r FROM "
-                         f"(SELECT * FROM eda WHERE review_scores_rating IS NOT NULL) s" for c in _SUB) + ") d", ["r"]))
+                         f"(SELECT * FROM gold WHERE {_SUB_COMPLETE}) s" for c in _SUB) + ") d", ["r"]))
 def job9_subscore_drivers(lk):
     """JOB9 (FLT5, STA13): sub-score correlation with the overall rating."""
-    e = lk.eda.where(F.col("review_scores_rating").isNotNull())
+    e = lk.gold.dropna(subset=_SUB)
     return S.drivers(e, "review_scores_rating", _SUB).withColumn("rank_abs", F.col("rank_abs").cast("long"))
 
 
 @register("job9_subscore_means", O.rounded(
-    "\nUNION ALL\n".join(f"SELECT '{c}' AS score, avg({c}) AS mean FROM eda" for c in _SUB), ["mean"]))
+    "\nUNION ALL\n".join(f"SELECT '{c}' AS score, avg({c}) AS mean FROM gold WHERE {_SUB_COMPLETE}" for c in _SUB), ["mean"]))
 def job9_subscore_means(lk):
-    """JOB9 (AGG9): mean of each sub-score."""
-    row = lk.eda.agg(*[F.avg(c).alias(c) for c in _SUB])
+    """JOB9 (AGG9): mean of each sub-score over rows that have all six."""
+    row = lk.gold.dropna(subset=_SUB).agg(*[F.avg(c).alias(c) for c in _SUB])
     arr = F.array(*[F.struct(F.lit(c).alias("score"), F.col(c).alias("mean")) for c in _SUB])
     return row.select(F.explode(arr).alias("_s")).select("_s.score", "_s.mean")
 
 
 @register("sta19_reviews_price_trend", O.rounded(
-    "SELECT regr_slope(price_capped, number_of_reviews) AS slope, regr_intercept(price_capped, number_of_reviews) "
-    "AS intercept FROM eda", ["slope", "intercept"]))
+    "SELECT regr_slope(price_capped, least(number_of_reviews, 500)) AS slope, regr_intercept(price_capped, least(number_of_reviews, 500)) "
+    "AS intercept FROM eda WHERE review_scores_rating IS NOT NULL", ["slope", "intercept"]))
 def sta19_reviews_price_trend(lk):
-    """STA19: straight-line trend (polyfit degree 1)."""
-    return lk.eda.agg(F.regr_slope("price_capped", "number_of_reviews").alias("slope"),
-                      F.regr_intercept("price_capped", "number_of_reviews").alias("intercept"))
+    """STA19: straight-line trend of price on the clipped review count over
+    complete cases (polyfit degree 1)."""
+    return _complete(lk).agg(F.regr_slope("price_capped", _clipped()).alias("slope"),
+                             F.regr_intercept("price_capped", _clipped()).alias("intercept"))
 
 
 def _reg_frame(lk):
@@ -332,12 +359,17 @@ def sta18_binned_lowess(lk):
     return S.binned_lowess(lk.eda, "accommodates", "price_capped", bins=16)
 
 
+@register("sta18_lowess_of_score")
+def sta18_lowess_of_score(lk):
+    """STA18 (re-aimed): binned LOWESS of price on the review score."""
+    return S.binned_lowess(lk.eda, "review_scores_rating", "price_capped")
+
+
 @register("sta20_kde_by_host_type")
 def sta20_kde_by_host_type(lk):
-    """STA20: KDE of log price per host type (Scott bandwidth)."""
-    e = lk.eda.withColumn("host_type", D.host_type("calculated_host_listings_count")).withColumn(
-        "log_price", F.log1p("price_capped"))
-    return S.kde_by_group(e, "log_price", "host_type")
+    """STA20: KDE of price per host type (Scott bandwidth)."""
+    e = lk.eda.withColumn("host_type", D.host_type("calculated_host_listings_count"))
+    return S.kde_by_group(e, "price_capped", "host_type")
 
 
 @register("sta21_seeded_sample")
@@ -352,6 +384,12 @@ def sta8_tukey_hsd(lk):
     return S.tukey_hsd(lk.eda, "price_capped", "neighbourhood_cleansed", min_n=20)
 
 
+@register("sta8_tukey_summary")
+def sta8_tukey_summary(lk):
+    """STA8: pairs, rejected pairs and the 10 largest significant differences."""
+    return S.tukey_summary(S.tukey_hsd(lk.eda, "price_capped", "neighbourhood_cleansed", min_n=20))
+
+
 @register("sta22_hypothesis_report")
 def sta22_hypothesis_report(lk):
     """STA22: one row per test with statistic, p, effect and verdict,

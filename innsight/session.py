@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -40,15 +41,18 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, setting a scratch one only if the
-    session names none (local runs)."""
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = tempfile.mkdtemp(prefix="innsight-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(d)
-    return d
+    """Return the shared checkpoint folder: the context's, else the one that
+    ``spark.checkpoint.dir`` names, else (on a local master only) a scratch
+    folder."""
+    sc = spark.sparkContext
+    if sc.getCheckpointDir() is None:
+        d = spark.conf.get("spark.checkpoint.dir", None)
+        if not d:
+            if not sc.master.startswith("local"):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+            d = tempfile.mkdtemp(prefix="innsight-ckpt-")
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -58,13 +62,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def materialize(df):
-    """Cut lineage: reliable checkpoint into the shared checkpoint folder.
+    """Cut lineage: a Parquet table in the shared checkpoint folder.
 
     Used where one intermediate feeds several branches (value-count tables,
     Silver/Gold layers) so the branches read files instead of recomputing the
-    whole upstream plan; survives executor loss (never a local checkpoint)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    whole upstream plan, prune columns and push filters down; survives executor
+    loss."""
+    path = scratch_path(df.sparkSession, f"table-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 _SHIPPED: set[int] = set()

@@ -22,9 +22,13 @@ def newer_than(df: DataFrame, col: str, mark) -> DataFrame:
     return df if mark is None else df.where(F.col(col) > F.lit(mark))
 
 
-def upsert(current: DataFrame, batch: DataFrame, key: str = "id") -> DataFrame:
+def upsert(current: DataFrame, batch: DataFrame, key: str = "id", newest: str | None = None) -> DataFrame:
     """STR2: batch rows replace current rows with the same key; the rest of
-    the current table is kept."""
+    the current table is kept.  Of batch rows with one key the one with the
+    largest ``newest`` stays (of equals, the largest row hash)."""
+    row = F.struct(*[F.col(c) for c in batch.columns])
+    order = F.struct(*([F.col(newest)] if newest else []), F.xxhash64(F.to_json(row)))
+    batch = batch.groupBy(F.col(key).alias("_key")).agg(F.max_by(row, order).alias("_row")).select("_row.*")
     keep = current.join(batch.select(key), key, "left_anti")
     return keep.unionByName(batch.select(*current.columns))
 

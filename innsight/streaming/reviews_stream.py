@@ -24,10 +24,22 @@ MONDAY_OFFSET = "4 days"  # epoch day 0 is a Thursday
 
 def land_reviews(reviews: DataFrame, folder: str) -> None:
     """Write review facts as arriving files (ordered by date)."""
-    (reviews.select("listing_id", "id", "date").repartitionByRange(4, "date")
+    (reviews.select("listing_id", "id", "date").repartitionByRange("date")
      .write.mode("overwrite").parquet(folder))
 
 
+def newest_version(spark: SparkSession, path: str, most: int | None = None) -> int | None:
+    """The newest complete version in ``path`` (up to ``most``), or None."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(folder):
+        return None
+    names = [s.getPath() for s in fs.listStatus(folder)]
+    done = [int(p.getName()[1:]) for p in names if fs.exists(jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))]
+    return max((v for v in done if most is None or v <= most), default=None)
+
+
 def weekly_counts_stream(spark: SparkSession, source: str, schema, out_path: str, checkpoint: str,
                          watermark: str = WEEK) -> None:
     stream = (spark.readStream.schema(schema).parquet(source)
@@ -36,18 +48,20 @@ def weekly_counts_stream(spark: SparkSession, source: str, schema, out_path: str
            .groupBy(F.window("ts", WEEK, WEEK, MONDAY_OFFSET).alias("w"))
            .agg(F.count(F.lit(1)).alias("reviews")))
 
+    def version(most: int) -> int | None:
+        return newest_version(spark, out_path, most)
+
     def upsert_batch(batch: DataFrame, epoch_id: int) -> None:
         rows = batch.select(
             F.date_from_unix_date(F.floor(F.unix_seconds("w.start") / 86400).cast("int")).alias("week_start"),
             F.date_from_unix_date(F.floor(F.unix_seconds("w.end") / 86400).cast("int") - 1).alias("week_end"),
             "reviews")
-        try:
-            current = batch.sparkSession.read.parquet(out_path)
-            merged = current.join(rows.select("week_start"), "week_start", "left_anti").unionByName(rows)
-        except Exception:  # noqa: BLE001 -- first batch: no table yet
-            merged = rows
-        merged = merged.checkpoint(eager=True)  # read-before-overwrite of the same path
-        merged.write.mode("overwrite").parquet(out_path)
+        # a new version folder each batch; a replayed batch writes its own again from the one before it
+        before = version(epoch_id - 1)
+        if before is not None:
+            current = batch.sparkSession.read.parquet(f"{out_path}/v{before}")
+            rows = current.join(rows.select("week_start"), "week_start", "left_anti").unionByName(rows)
+        rows.write.mode("overwrite").parquet(f"{out_path}/v{epoch_id}")
 
     q = (agg.writeStream.outputMode("update").foreachBatch(upsert_batch)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
@@ -62,4 +76,7 @@ def weekly_review_counts(reviews: DataFrame) -> DataFrame:
     land_reviews(reviews, src)
     schema = spark.read.parquet(src).schema
     weekly_counts_stream(spark, src, schema, out, ckpt)
-    return spark.read.parquet(out)
+    last = newest_version(spark, out)
+    if last is None:
+        return spark.createDataFrame([], "week_start date, week_end date, reviews long")
+    return spark.read.parquet(f"{out}/v{last}")
