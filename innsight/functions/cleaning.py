@@ -132,8 +132,3 @@ def existing_columns(df, wanted):
     """SCL32: the requested columns that exist, in request order."""
     have = set(df.columns)
     return [c for c in wanted if c in have]
-
-
-def columns_like(df, prefix: str = "", contains: str = ""):
-    """SCL32: columns picked by name pattern."""
-    return [c for c in df.columns if c.startswith(prefix) and contains in c]

@@ -372,7 +372,9 @@ def sta20_kde_by_host_type(lk):
     return S.kde_by_group(e, "price_capped", "host_type")
 
 
-@register("sta21_seeded_sample")
+@register("sta21_seeded_sample", O.rounded(
+    "SELECT id, room_type, price_capped FROM eda QUALIFY row_number() OVER (PARTITION BY room_type ORDER BY md5(id || ':42'), id) <= 500",
+    ["price_capped"]))
 def sta21_seeded_sample(lk):
     """STA21: at most 500 rows per room type by a seeded hash order."""
     return S.seeded_sample(lk.eda.select("id", "room_type", "price_capped"), "room_type", 500)

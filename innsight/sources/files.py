@@ -1,10 +1,9 @@
 """File sources and sinks (SRC1-SRC3, SRC6-SRC8, SRC12).
 
 Raw rental files are CSV with quoted free text; they are read with an
-explicit schema (no inference pass over the data), multi-line records and
-``"`` as escape.  Landing reads compressed ``*.csv.gz`` natively (gzip is not
-splittable, so the frame is repartitioned after the read).  Parquet is the
-format of every later layer.
+explicit schema (no inference pass over the data) by the names in their
+header, multi-line records and ``"`` as escape.  Landing reads compressed
+``*.csv.gz`` natively and writes Parquet, the format of every later layer.
 """
 
 from __future__ import annotations
@@ -22,14 +21,23 @@ def raw_schema(df: DataFrame) -> T.StructType:
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType, columns: list[str] | None = None,
-             date_columns: list[str] | None = None) -> DataFrame:
-    """SRC1 / SRC2: CSV scan with header and an explicit schema; optional
-    projection (pruned by Catalyst) and date parsing (bad -> null)."""
-    df = (spark.read.schema(schema).option("header", True).option("multiLine", True)
-          .option("escape", '"').option("mode", "PERMISSIVE").option("ignoreLeadingWhiteSpace", False)
-          .option("ignoreTrailingWhiteSpace", False).csv(path))
+             date_columns: list[str] | None = None, multi_line: bool = True, corrupt: str | None = None) -> DataFrame:
+    """SRC1 / SRC2: CSV scan.  Columns are taken by the name in the header,
+    whatever their order; a column of ``schema`` that the files lack is null,
+    one they have beyond it is left out, and files whose headers differ raise.
+    Values that do not fit their type are null.  ``corrupt`` names a column
+    for the text of malformed rows.  Without ``multi_line`` large files can be
+    split; it is needed only where quoted text holds line breaks."""
+    reader = lambda: (spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"')
+                      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
+    header = reader().option("inferSchema", False).csv(path).columns
+    text = T.StructType([T.StructField(c, T.StringType()) for c in header] + ([T.StructField(corrupt, T.StringType())] if corrupt else []))
+    raw = reader().schema(text).option("mode", "PERMISSIVE").option("enforceSchema", bool(corrupt))
+    raw = (raw.option("columnNameOfCorruptRecord", corrupt) if corrupt else raw).csv(path)
+    typed = [(F.col(f"`{f.name}`").try_cast(f.dataType) if f.name in header else F.lit(None).cast(f.dataType)).alias(f.name) for f in schema.fields]
+    df = raw.select(*typed, *([F.col(corrupt)] if corrupt else []))
     if columns:
-        df = df.select(*columns)
+        df = df.select(*columns, *([corrupt] if corrupt else []))
     for c in date_columns or []:
         df = df.withColumn(c, F.col(c).try_cast("date"))
     return df
@@ -44,38 +52,27 @@ def write_csv(df: DataFrame, path: str, compression: str | None = None) -> None:
 
 
 def land_sources(spark: SparkSession, config: list[tuple[str, str]], schema: T.StructType,
-                 partitions: int | None = None) -> tuple[DataFrame, list[tuple[str, str]]]:
-    """SRC3: read each configured (city, path) of landed ``*.csv.gz`` files,
-    tag rows with the city; a source that fails is reported and skipped.
-    Returns (union of the readable sources, [(city, error)])."""
+                 root: str) -> tuple[DataFrame, list[tuple[str, str]]]:
+    """SRC3: land each configured (city, path) of ``*.csv.gz`` files as Parquet
+    under ``root``; what is landed already is not read again.  A source that
+    is missing or corrupt is reported and skipped, the others go on.  Returns
+    (union of the landed sources with their city, [(city, error)])."""
     frames, failures = [], []
-    for city, path in config:
+    jvm = spark.sparkContext._jvm
+    fs_of = lambda p: p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for i, (city, path) in enumerate(config):
+        landed = f"{root}/source={i}"
+        done = jvm.org.apache.hadoop.fs.Path(f"{landed}/_SUCCESS")
         try:
-            df = read_csv(spark, path, schema)
-            df.schema  # resolve now so a missing path fails here
-            frames.append(df.withColumn("city", F.lit(city)))
-        except Exception as e:  # noqa: BLE001 -- per-source isolation, as in the reference
-            failures.append((city, type(e).__name__))
-    if not frames:
-        return spark.createDataFrame([], schema.add("city", T.StringType())), failures
-    out = frames[0]
-    for f in frames[1:]:
+            if not fs_of(done).exists(done):
+                read_csv(spark, path, schema).write.mode("overwrite").parquet(landed)
+            frames.append(spark.read.schema(schema).parquet(landed).withColumn("city", F.lit(city)))
+        except Exception as e:  # noqa: BLE001 -- one source's failure is its own
+            failures.append((city, f"{type(e).__name__}: {e}"))
+    out = spark.createDataFrame([], T.StructType([*schema.fields, T.StructField("city", T.StringType())]))
+    for f in frames:
         out = out.unionByName(f)
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return out.repartition(n), failures
-
-
-def read_parquet(spark: SparkSession, path: str) -> DataFrame:
-    """SRC6."""
-    return spark.read.parquet(path)
-
-
-def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None, mode: str = "overwrite") -> None:
-    """SRC7 / SRC12: Parquet sink, optionally Hive-partitioned."""
-    w = df.write.mode(mode)
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
+    return out, failures
 
 
 def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:

@@ -116,6 +116,50 @@ def test_titles_and_literals(spark):
     assert [tuple(r) for r in got] == [("D'Almeida St-James", ["None of these", None, "x"]), ("Église De L'O", [None]), (None, [])]
 
 
+def test_csv_goes_by_header(spark, tmp_path):
+    from pyspark.sql import types as T
+
+    from innsight.sources import files as FS
+    (tmp_path / "a.csv").write_text('b,extra,a\n2,x,1\n"3",y,no\n')
+    schema = T.StructType([T.StructField(c, T.LongType()) for c in ("a", "b", "c")])
+    assert sorted(map(tuple, FS.read_csv(spark, str(tmp_path / "a.csv"), schema).collect()), key=repr) == [(1, 2, None), (None, 3, None)]
+    bad = FS.read_csv(spark, str(tmp_path / "a.csv"), schema, corrupt="_bad")
+    assert [r["_bad"] for r in bad.collect()] == [None, None]
+
+
+def test_landing_isolates_and_skips(spark, tmp_path):
+    from pyspark.sql import types as T
+
+    from innsight.sources import files as FS
+    df = spark.createDataFrame([(1, "x"), (2, "y")], "id long, v string")
+    FS.write_csv(df, str(tmp_path / "good"), compression="gzip")
+    (tmp_path / "broken").mkdir()
+    (tmp_path / "broken" / "part.csv.gz").write_bytes(b"not gzip at all")
+    config = [("Good", str(tmp_path / "good")), ("Missing", str(tmp_path / "none")), ("Broken", str(tmp_path / "broken"))]
+    schema = T.StructType(df.schema.fields)
+    out, failed = FS.land_sources(spark, config, schema, str(tmp_path / "landed"))
+    assert out.count() == 2 and [c for c, _ in failed] == ["Missing", "Broken"]
+    FS.write_csv(df.limit(0), str(tmp_path / "good"), compression="gzip")
+    again, _ = FS.land_sources(spark, config, schema, str(tmp_path / "landed"))
+    assert again.count() == 2  # landed before, not read again
+
+
+def test_existing_columns(spark):
+    assert C.existing_columns(spark.range(1).withColumn("x", F.lit(1)), ["x", "nope", "id"]) == ["x", "id"]
+
+
+def test_density_error_is_within_its_bound(spark):
+    import numpy as np
+    rng = np.random.default_rng(0)
+    v = rng.lognormal(size=400)
+    got = S.kde_by_group(spark.createDataFrame([("a", float(x)) for x in v] + [("b", 3.0)], "g string, v double"), "v", "g").toPandas()
+    a = got[got.g == "a"]
+    bw = v.std(ddof=1) * 400 ** -0.2
+    want = np.exp(-0.5 * ((a.x.to_numpy()[:, None] - v[None, :]) / bw) ** 2).sum(1) / (400 * bw * math.sqrt(2 * math.pi))
+    assert np.abs(a.density.to_numpy() - want).max() <= 2e-4 / (bw * math.sqrt(2 * math.pi))
+    assert (got.g == "b").sum() == 1000
+
+
 def test_stream_keeps_earlier_weeks(spark, tmp_path):
     src, out, ckpt = (str(tmp_path / x) for x in ("in", "out", "ckpt"))
     rows = lambda days: spark.createDataFrame([(1, i, d) for i, d in enumerate(days)], "listing_id long, id long, d string").select("listing_id", "id", F.to_date("d").alias("date"))
