@@ -16,8 +16,11 @@ LISTING_STRING_COLUMNS = [
     "host_has_profile_pic", "host_identity_verified", "instant_bookable", "neighbourhood_cleansed",
     "neighbourhood_group_cleansed", "host_neighbourhood", "license", "calendar_updated", "bathrooms_text",
     "amenities", "host_verifications", "host_response_rate", "host_acceptance_rate", "first_review", "last_review"]
-DESCRIBE_COLUMNS = ["price_clean", "availability_365", "number_of_reviews", "review_scores_rating",
-                    "accommodates", "bedrooms", "bathrooms_final", "minimum_nights"]
+# The columns of the descriptive table.
+DESCRIBE_COLUMNS = [
+    "price_clean", "price_capped", "accommodates", "bathrooms_final", "bedrooms", "minimum_nights", "availability_365",
+    "number_of_reviews", "review_scores_rating", "calculated_host_listings_count", "estimated_annual_revenue_approx",
+    "occupancy_rate_upper_bound"]
 _ALL_LISTING_COLUMNS = [n for n, _ in LISTINGS_COLUMNS]
 
 
