@@ -86,12 +86,11 @@ def box_stats(df: DataFrame, value: str, by: list[str]) -> DataFrame:
           .withColumn("_hi", F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))))
     v = F.col(value)
     inside = (v >= F.col("_lo")) & (v <= F.col("_hi"))
-    # the per-group quartile table is joined back on the group key (AQE
-    # broadcasts it when small; a hot group is a single small row)
-    j = src.join(q, by)
-    agg = j.groupBy(*by).agg(F.count(v).alias("n"), F.min(F.when(inside, v)).alias("whisker_low"),
+    # equal values of a group are one row before its quartiles are joined
+    j = src.groupBy(*by, value).agg(F.count(F.lit(1)).alias("_w")).join(q, by)
+    agg = j.groupBy(*by).agg(F.sum("_w").alias("n"), F.min(F.when(inside, v)).alias("whisker_low"),
                              F.max(F.when(inside, v)).alias("whisker_high"),
-                             F.count_if(~inside).alias("outliers"))
+                             F.sum(F.when(inside, 0).otherwise(F.col("_w"))).alias("outliers"))
     return q.drop("_lo", "_hi").join(agg, by)
 
 
@@ -234,8 +233,9 @@ def lorenz_gini(df: DataFrame) -> DataFrame:
     tot = hist.agg(F.sum("m").alias("n"), F.sum("km").alias("T"), F.min("k").alias("k_min"))
     t = attach_row(cum, tot).withColumn("h0", F.col("cum_m") - F.col("m")).withColumn(
         "s0", F.col("cum_km") - F.col("km"))
-    # sum over the run of cumulative listings: m*s0 + k*m(m+1)/2
-    run_sum = F.col("m") * F.col("s0") + F.col("k") * F.col("m") * (F.col("m") + 1) / 2.0
+    # sum over the run of cumulative listings: m*s0 + k*m(m+1)/2, in doubles (the products leave the range of a long)
+    m = F.col("m").cast("double")
+    run_sum = m * F.col("s0") + F.col("k") * m * (m + 1) / 2.0
     idx80 = F.floor(F.col("n") * 0.8).cast("long") + 1  # 1-based position of int(0.8 n)
     idx90 = F.floor(F.col("n") * 0.9).cast("long") + 1
     at = lambda i: F.when((i > F.col("h0")) & (i <= F.col("cum_m")), F.col("s0") + (i - F.col("h0")) * F.col("k"))

@@ -1,7 +1,7 @@
 """Hypothesis tests, effect sizes, intervals and regression from distributed
 sufficient statistics (STA1-STA22).
 
-Spark reduces the data to a few rows (counts, sums, moments, Gram matrix);
+Spark reduces the data to a few rows (counts, sums, moments, products);
 p-values and critical values are then computed on those rows with
 ``functions.dists`` -- as pandas UDFs over the small tables, or on the driver
 for one-row results.  No step collects raw rows.
@@ -13,6 +13,7 @@ import math
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,7 +21,7 @@ from pyspark.sql import types as T
 from ..functions import dists
 from ..functions.derived import EFFECT_D_CUTS, EFFECT_ETA_CUTS, effect_size_words
 from .analytics import attach_row
-from ..session import materialize
+from ..session import materialize, ship_package
 from .ranking import bucketize, exact_quantiles, running_sums
 
 ALPHA = 0.05  # fixed value: significance level
@@ -105,7 +106,8 @@ def mann_whitney(df: DataFrame, value: str, group: F.Column, first, second) -> D
     per = per.withColumn("t", F.col("na") + F.col("nb"))
     cum = running_sums(per, "_v", ["t"])
     avg_rank = F.col("cum_t") - F.col("t") + (F.col("t") + 1) / 2.0
-    s = cum.agg(F.sum(F.col("na") * avg_rank).alias("r1"), F.sum("na").alias("n1"), F.sum("nb").alias("n2"),
+    # products of two counts leave the range of a long
+    s = cum.agg(F.sum(F.col("na") * avg_rank).alias("r1"), F.sum("na").cast("double").alias("n1"), F.sum("nb").cast("double").alias("n2"),
                 F.sum(F.pow(F.col("t").cast("double"), 3) - F.col("t")).alias("ties"))
     n = F.col("n1") + F.col("n2")
     u1 = F.col("r1") - F.col("n1") * (F.col("n1") + 1) / 2.0
@@ -128,7 +130,11 @@ def group_moments(df: DataFrame, value: str, group: str, min_n: int = 0) -> Data
 def anova(df: DataFrame, value: str, group: str, min_n: int = 0) -> DataFrame:
     """STA6 + STA7: one-way ANOVA from group (n, mean, var): F, df, p, eta^2;
     null with fewer than two groups or no spread within them."""
-    gm = group_moments(df, value, group, min_n)
+    return anova_of(group_moments(df, value, group, min_n))
+
+
+def anova_of(gm: DataFrame) -> DataFrame:
+    """ANOVA from a table of group summaries (n, mean, var)."""
     tot = gm.agg(F.sum("n").alias("n_total"), F.try_divide(F.sum(F.col("n") * F.col("mean")), F.sum("n")).alias("grand"),
                  F.count(F.lit(1)).alias("k"))
     j = attach_row(gm, tot)
@@ -144,15 +150,19 @@ def anova(df: DataFrame, value: str, group: str, min_n: int = 0) -> DataFrame:
 
 
 def levene(df: DataFrame, value: str, group: str, min_n: int = 0) -> DataFrame:
-    """STA2: Levene (centre = median): ANOVA on |x - group median|."""
+    """STA2: Levene (centre = median): ANOVA on |x - group median|.  Equal
+    values of a group are one row before the medians are joined."""
     src = df.where(F.col(value).isNotNull() & F.col(group).isNotNull())
+    held = src.groupBy(group, value).agg(F.count(F.lit(1)).alias("_w"))
     if min_n:
-        keep = group_moments(src, value, group, min_n).select(group)
-        src = src.join(keep, group, "left_semi")
+        keep = held.groupBy(group).agg(F.sum("_w").alias("_n")).where(F.col("_n") >= min_n).select(group)
+        src, held = src.join(keep, group, "left_semi"), held.join(keep, group, "left_semi")
     med = exact_quantiles(src, value, [0.5], [group], names=["_med"])
-    dev = src.join(med, group).withColumn("_dev", F.abs(F.col(value) - F.col("_med")))
-    return anova(dev, "_dev", group).select(F.col("f_stat").alias("levene_stat"), "df_between", "df_within",
-                                            F.col("p_value").alias("levene_p"))
+    dev = held.join(med, group).withColumn("_d", F.abs(F.col(value) - F.col("_med")))
+    n, s1, s2 = F.sum("_w"), F.sum(F.col("_w") * F.col("_d")), F.sum(F.col("_w") * F.col("_d") * F.col("_d"))
+    gm = dev.groupBy(group).agg(n.alias("n"), (s1 / n).alias("mean"), F.try_divide(F.greatest(s2 - s1 * s1 / n, F.lit(0.0)), n - 1).alias("var"))
+    return anova_of(gm).select(F.col("f_stat").alias("levene_stat"), "df_between", "df_within",
+                               F.col("p_value").alias("levene_p"))
 
 
 def normality_moments(df: DataFrame, value: str, group: str | None = None) -> DataFrame:
@@ -162,13 +172,12 @@ def normality_moments(df: DataFrame, value: str, group: str | None = None) -> Da
     src = df.where(F.col(value).isNotNull())
     if group:
         src = src.where(F.col(group).isNotNull())
-    mean = src.groupBy(*by).agg(F.avg(value).alias("_m"), F.count(F.lit(1)).alias("n")) if by else \
-        src.agg(F.avg(value).alias("_m"), F.count(F.lit(1)).alias("n"))
-    j = src.join(mean, by) if by else attach_row(src, mean)
+    mean = src.groupBy(*by).agg(F.avg(value).alias("_m"), F.count(F.lit(1)).alias("n"))
+    held = src.groupBy(*by, value).agg(F.count(F.lit(1)).alias("_w"))  # equal values are one row before the join
+    j = held.join(mean, by) if by else attach_row(held, mean)
     d = F.col(value) - F.col("_m")
-    agg = (j.groupBy(*by) if by else j.groupBy()).agg(
-        F.first("n").alias("n"), F.avg(F.pow(d, 2)).alias("m2"), F.avg(F.pow(d, 3)).alias("m3"),
-        F.avg(F.pow(d, 4)).alias("m4"))
+    moment = lambda k: F.try_divide(F.sum(F.col("_w") * F.pow(d, k)), F.sum("_w")).alias(f"m{k}")
+    agg = j.groupBy(*by).agg(F.first("n").alias("n"), moment(2), moment(3), moment(4))
     out = (agg.withColumn("skewness", F.try_divide(F.col("m3"), F.pow(F.col("m2"), 1.5)))
               .withColumn("excess_kurtosis", F.try_divide(F.col("m4"), F.pow(F.col("m2"), 2)) - 3)
               .withColumn("jarque_bera", F.col("n") / 6.0 * (F.pow(F.col("skewness"), 2) +
@@ -224,19 +233,56 @@ def t_intervals(df: DataFrame, value: str, group: str) -> DataFrame:
 
 
 # ------------------------------------------------------------ correlation
+def _doubles(df: DataFrame, cols: list[str]) -> DataFrame:
+    return df.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(cols)])
+
+
+def _matrix(batch) -> np.ndarray:
+    """An Arrow batch as rows of doubles (null: NaN)."""
+    return np.column_stack([c.to_numpy(zero_copy_only=False).astype(float) for c in batch.columns])
+
+
+def _summed(df: DataFrame, parts: int, products) -> list[np.ndarray]:
+    """The sums over all rows of ``products`` (a batch's matrix to ``parts``
+    square matrices): block products per Arrow batch, one row a task, summed
+    by place.  What reaches the driver is as large as the matrices."""
+    p = len(df.columns)
+    ship_package(df.sparkSession)
+
+    def run(batches):
+        total = np.zeros((parts, p, p))
+        for b in batches:
+            if b.num_rows:
+                total += np.stack(products(_matrix(b)))
+        yield pa.RecordBatch.from_arrays([pa.array([total.ravel().tolist()], pa.list_(pa.float64()))], ["s"])
+
+    rows = (df.mapInArrow(run, "s array<double>").select(F.posexplode("s").alias("i", "v"))
+            .groupBy("i").agg(F.sum("v").alias("v")).collect())
+    out = np.zeros(parts * p * p)
+    for r in rows:
+        out[r["i"]] = r["v"]
+    return list(out.reshape(parts, p, p))
+
+
 def correlation_pairs(df: DataFrame, cols: list[str]) -> DataFrame:
-    """STA12: pairwise-complete Pearson r for every pair in one aggregation,
-    unpivoted to (col_a, col_b, r); the diagonal is 1."""
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
-    row = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"c{i}")
-                   for i, (a, b) in enumerate(pairs)])
-    arr = F.array(*([F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), F.col(f"c{i}").alias("r"))
-                     for i, (a, b) in enumerate(pairs)] +
-                    [F.struct(F.lit(b).alias("col_a"), F.lit(a).alias("col_b"), F.col(f"c{i}").alias("r"))
-                     for i, (a, b) in enumerate(pairs)] +
-                    [F.struct(F.lit(c).alias("col_a"), F.lit(c).alias("col_b"), F.lit(1.0).alias("r"))
-                     for c in cols]))
-    return row.select(F.explode(arr).alias("_s")).select("_s.col_a", "_s.col_b", "_s.r")
+    """STA12: pairwise-complete Pearson r for every pair in long form (col_a,
+    col_b, r); the diagonal is 1, a pair without spread null.  One pass for
+    the means, one for the sums of products about them."""
+    x = _doubles(df, cols)
+    means = np.array([v or 0.0 for v in x.agg(*[F.avg(F.nanvl(c, F.lit(None).cast("double"))) for c in x.columns]).first()])
+
+    def products(m):
+        there = np.isfinite(m).astype(float)
+        z = np.where(there > 0, m - means, 0.0)
+        return [there.T @ there, z.T @ there, (z * z).T @ there, z.T @ z]
+
+    n, s, ss, sxy = _summed(x, 4, products)
+    spread = n * ss - s * s  # of the first column, over the rows that have both
+    some = spread > 1e-12 * n * ss
+    with np.errstate(invalid="ignore", divide="ignore"):
+        r = np.where(some & some.T, (n * sxy - s * s.T) / np.sqrt(spread * spread.T), np.nan)
+    rows = [(a, b, 1.0 if i == j else None if np.isnan(r[i, j]) else float(np.clip(r[i, j], -1.0, 1.0))) for i, a in enumerate(cols) for j, b in enumerate(cols)]
+    return df.sparkSession.createDataFrame(rows, "col_a string, col_b string, r double")
 
 
 def drivers(df: DataFrame, target: str, cols: list[str]) -> DataFrame:
@@ -249,73 +295,93 @@ def drivers(df: DataFrame, target: str, cols: list[str]) -> DataFrame:
 
 
 # ------------------------------------------------------------ regression
-def gram(df: DataFrame, y: str, xs: list[str], constant: bool = True) -> tuple[np.ndarray, np.ndarray, float, int]:
-    """One aggregation pass: X'X, X'y, y'y and n (p(p+1)/2 + p + 2 sums)."""
-    terms = (["const"] if constant else []) + xs
-    col = {t: (F.lit(1.0) if t == "const" else F.col(t).cast("double")) for t in terms}
-    exprs, idx = [], []
-    for i, a in enumerate(terms):
-        for j in range(i, len(terms)):
-            exprs.append(F.sum(col[a] * col[terms[j]]).alias(f"g{i}_{j}"))
-            idx.append((i, j))
-    exprs += [F.sum(col[t] * F.col(y).cast("double")).alias(f"xy{i}") for i, t in enumerate(terms)]
-    exprs += [F.sum(F.pow(F.col(y).cast("double"), 2)).alias("yy"), F.count(F.lit(1)).alias("n")]
-    r = df.agg(*exprs).first()
-    p = len(terms)
-    G = np.zeros((p, p))
-    for i, j in idx:
-        G[i, j] = G[j, i] = r[f"g{i}_{j}"]
-    xy = np.array([r[f"xy{i}"] for i in range(p)])
-    return G, xy, float(r["yy"]), int(r["n"])
+def centred_products(df: DataFrame, cols: list[str]) -> tuple[int, np.ndarray, np.ndarray]:
+    """n, the means, and the sums of products about the means of ``cols``
+    (rows complete in them): two passes, nothing cancels."""
+    x = _doubles(df, cols)
+    row = x.agg(F.count(F.lit(1)), *[F.avg(c) for c in x.columns]).first()
+    means = np.array([v or 0.0 for v in row[1:]])
+    return int(row[0]), means, _summed(x, 1, lambda m: [(m - means).T @ (m - means)])[0]
+
+
+def _inverse(s: np.ndarray) -> np.ndarray:
+    """Pseudo-inverse of a matrix of products, its columns brought to one scale."""
+    d = np.sqrt(np.where(np.diag(s) > 0, np.diag(s), 1.0))
+    return np.linalg.pinv(s / np.outer(d, d), hermitian=True) / np.outer(d, d)
+
+
+def _solved(df: DataFrame, y: str, xs: list[str]) -> dict:
+    """The model's terms from the centred products of the complete rows."""
+    n, means, s = centred_products(df.dropna(subset=[y, *xs]), [*xs, y])
+    if n <= len(xs) + 1:
+        raise ValueError(f"{n} complete rows are too few for {len(xs) + 1} terms")
+    sxx, sxy, mx, my = s[:-1, :-1], s[:-1, -1], means[:-1], means[-1]
+    inv = _inverse(sxx)
+    slopes = inv @ sxy
+    return {"n": n, "beta": np.append(my - mx @ slopes, slopes), "sse": max(float(s[-1, -1] - slopes @ sxy), 0.0), "sst": float(s[-1, -1]),
+            "unscaled": np.append(1 / n + mx @ inv @ mx, np.diag(inv)), "sxx": sxx, "mx": mx}
+
+
+def _coefficients(df: DataFrame, xs: list[str], m: dict) -> DataFrame:
+    dfr = m["n"] - len(xs) - 1
+    se = np.sqrt(np.maximum(m["unscaled"] * m["sse"] / dfr, 0.0))
+    tcrit = dists.t_ppf(1 - ALPHA / 2, dfr)
+    rows = []
+    for term, b, e in zip(["const", *xs], m["beta"].tolist(), se.tolist()):
+        t = b / e if e > 0 else float("nan")
+        rows.append((term, b, e, t, dists.t_sf2(t, dfr), b - tcrit * e, b + tcrit * e))
+    return df.sparkSession.createDataFrame(rows, "term string, coef double, std_err double, t double, p_value double, "
+                                                 "ci_low double, ci_high double")
 
 
-def ols(df: DataFrame, y: str, xs: list[str], order_col: str = "id") -> tuple[DataFrame, DataFrame]:
-    """STA14: OLS with a constant from the Gram matrix (one pass) and a
-    residual pass (SSE, moments, Durbin-Watson in ``order_col`` order).
-    Returns (coefficients, fit statistics)."""
-    spark = df.sparkSession
-    src = df.dropna(subset=[y] + xs)
-    G, xy, yy, n = gram(src, y, xs)
-    terms = ["const"] + xs
-    p = len(terms)
-    Ginv = np.linalg.pinv(G)
-    beta = Ginv @ xy
+def _residuals(df: DataFrame, y: str, xs: list[str], beta: np.ndarray, *keep: str) -> DataFrame:
     fitted = F.lit(float(beta[0]))
-    for b, x in zip(beta[1:], xs):
-        fitted = fitted + F.lit(float(b)) * F.col(x).cast("double")
-    res = src.select(F.col(order_col), (F.col(y).cast("double") - fitted).alias("e"), F.col(y).cast("double").alias("y"))
-    mom = res.agg(F.sum(F.pow("e", 2)).alias("sse"), F.avg("e").alias("me"), F.avg("y").alias("ybar")).first()
-    sse, me, ybar = float(mom["sse"]), float(mom["me"]), float(mom["ybar"])
-    m = res.agg(F.avg(F.pow(F.col("e") - me, 2)).alias("m2"), F.avg(F.pow(F.col("e") - me, 3)).alias("m3"),
-                F.avg(F.pow(F.col("e") - me, 4)).alias("m4")).first()
-    dw_num = durbin_watson_numerator(res, order_col, "e")
-    dfr, dfm = n - p, p - 1
-    sigma2 = sse / dfr
-    se = np.sqrt(np.maximum(np.diag(Ginv) * sigma2, 0.0))
-    tcrit = dists.t_ppf(1 - ALPHA / 2, dfr)
-    sst = yy - n * ybar * ybar
-    r2 = 1 - sse / sst
-    fstat = ((sst - sse) / dfm) / (sse / dfr)
-    llf = -n / 2.0 * (math.log(2 * math.pi) + math.log(sse / n) + 1)
-    skew = m["m3"] / m["m2"] ** 1.5
-    kurt = m["m4"] / m["m2"] ** 2
+    for b, x in zip(beta[1:].tolist(), xs):
+        fitted = fitted + F.lit(b) * F.col(x).cast("double")
+    actual = F.col(y).cast("double")
+    return df.dropna(subset=[y, *xs]).select(*keep, actual.alias("actual"), fitted.alias("fitted"), (actual - fitted).alias("residual"))
+
+
+def _fit(df: DataFrame, y: str, xs: list[str], m: dict, order_col: str) -> DataFrame:
+    res = _residuals(df, y, xs, m["beta"], order_col)
+    n, p = m["n"], len(xs) + 1
+    # with a constant the residuals' mean is zero up to rounding
+    e = F.col("residual")
+    mom = res.agg(F.sum(e * e).alias("sse"), F.skewness(e).alias("skew"), F.kurtosis(e).alias("kurt")).first()
+    sse, skew, kurt = float(mom["sse"]), float(mom["skew"] or 0.0), float(mom["kurt"] or 0.0) + 3
+    dfr, dfm, sst = n - p, p - 1, m["sst"]
+    ratio = lambda a, b: a / b if b else float("nan")
+    r2 = 1 - ratio(sse, sst)
+    fstat = ratio((sst - sse) / dfm if dfm else float("nan"), sse / dfr)
+    llf = -n / 2.0 * (math.log(2 * math.pi) + math.log(sse / n) + 1) if sse > 0 else float("inf")
     jb = n / 6.0 * (skew ** 2 + (kurt - 3) ** 2 / 4.0)
-    eig = np.linalg.eigvalsh(G)
-    coef_rows = []
-    for i, t in enumerate(terms):
-        tv = beta[i] / se[i] if se[i] > 0 else float("nan")
-        coef_rows.append((t, float(beta[i]), float(se[i]), float(tv), float(dists.t_sf2(tv, dfr)),
-                          float(beta[i] - tcrit * se[i]), float(beta[i] + tcrit * se[i])))
-    coefs = spark.createDataFrame(coef_rows, "term string, coef double, std_err double, t double, p_value double, "
-                                             "ci_low double, ci_high double")
+    full = np.block([[np.array([[float(n)]]), n * m["mx"][None, :]], [n * m["mx"][:, None], m["sxx"] + n * np.outer(m["mx"], m["mx"])]])
+    eig = np.linalg.eigvalsh(full)
     stats = [("n", float(n)), ("df_model", float(dfm)), ("df_resid", float(dfr)), ("r_squared", r2),
              ("adj_r_squared", 1 - (n - 1) / dfr * (1 - r2)), ("f_stat", fstat),
              ("f_p_value", dists.f_sf(fstat, dfm, dfr)), ("log_likelihood", llf), ("aic", -2 * llf + 2 * p),
-             ("bic", -2 * llf + p * math.log(n)), ("durbin_watson", dw_num / sse), ("jarque_bera", jb),
+             ("bic", -2 * llf + p * math.log(n)), ("durbin_watson", ratio(durbin_watson_numerator(res, order_col, "residual"), sse)), ("jarque_bera", jb),
              ("jb_p_value", math.exp(-jb / 2)), ("skew", skew), ("kurtosis", kurt),
              ("condition_number", math.sqrt(max(eig) / min(eig)) if min(eig) > 0 else float("inf"))]
-    fit = spark.createDataFrame([(k, float(v)) for k, v in stats], "metric string, value double")
-    return coefs, fit
+    return df.sparkSession.createDataFrame([(k, float(v)) for k, v in stats], "metric string, value double")
+
+
+def ols_coefficients(df: DataFrame, y: str, xs: list[str]) -> DataFrame:
+    """STA14: OLS with a constant: coefficients, standard errors, t, p and
+    95 % interval, from the centred products (two passes)."""
+    return _coefficients(df, xs, _solved(df, y, xs))
+
+
+def ols_fit(df: DataFrame, y: str, xs: list[str], order_col: str = "id") -> DataFrame:
+    """STA14: fit statistics; one more pass for the residuals' moments and
+    one for Durbin-Watson in ``order_col`` order."""
+    return _fit(df, y, xs, _solved(df, y, xs), order_col)
+
+
+def ols(df: DataFrame, y: str, xs: list[str], order_col: str = "id") -> tuple[DataFrame, DataFrame]:
+    """STA14: (coefficients, fit statistics) of one model."""
+    m = _solved(df, y, xs)
+    return _coefficients(df, xs, m), _fit(df, y, xs, m, order_col)
 
 
 def durbin_watson_numerator(res: DataFrame, order_col: str, e: str) -> float:
@@ -336,9 +402,9 @@ def durbin_watson_numerator(res: DataFrame, order_col: str, e: str) -> float:
 
 def vif(df: DataFrame, xs: list[str]) -> DataFrame:
     """STA17: VIF without a constant (uncentred): G_ii (G^-1)_ii."""
-    src = df.dropna(subset=xs)
-    G, _, _, _ = gram(src.withColumn("_y0", F.lit(0.0)), "_y0", xs, constant=False)
-    Ginv = np.linalg.pinv(G)
+    n, means, s = centred_products(df.dropna(subset=xs), xs)
+    G = s + n * np.outer(means, means)
+    Ginv = _inverse(G)
     rows = [(x, float(G[i, i] * Ginv[i, i])) for i, x in enumerate(xs)]
     return df.sparkSession.createDataFrame(rows, "predictor string, vif double")
 
@@ -346,13 +412,8 @@ def vif(df: DataFrame, xs: list[str]) -> DataFrame:
 def fitted_residuals(df: DataFrame, y: str, coefs: DataFrame, id_col: str = "id") -> DataFrame:
     """STA15: fitted values and residuals from a coefficient table."""
     cs = {r["term"]: r["coef"] for r in coefs.collect()}  # one row per term (p rows)
-    fitted = F.lit(cs.get("const", 0.0))
-    for t, c in cs.items():
-        if t != "const":
-            fitted = fitted + F.lit(c) * F.col(t).cast("double")
-    src = df.dropna(subset=[y] + [t for t in cs if t != "const"])
-    return src.select(id_col, F.col(y).cast("double").alias("actual"), fitted.alias("fitted"),
-                      (F.col(y).cast("double") - fitted).alias("residual"))
+    xs = [t for t in cs if t != "const"]
+    return _residuals(df, y, xs, np.array([cs.get("const", 0.0), *[cs[t] for t in xs]]), id_col)
 
 
 def qq_points(resid: DataFrame, col: str = "residual", points: int = 99) -> DataFrame:

@@ -323,27 +323,27 @@ def _reg_terms():
 @register("sta14_ols_coefficients")
 def sta14_ols_coefficients(lk):
     """STA14: OLS coefficients, std errors, t, p, 95 % interval."""
-    return S.ols(_reg_frame(lk), "price_capped", _reg_terms())[0]
+    return S.ols_coefficients(_reg_frame(lk), "price_capped", _reg_terms())
 
 
 @register("sta14_ols_fit")
 def sta14_ols_fit(lk):
     """STA14: R2, adjusted R2, F and p, log-likelihood, AIC, BIC,
     Durbin-Watson (id order), Jarque-Bera, condition number."""
-    return S.ols(_reg_frame(lk), "price_capped", _reg_terms())[1]
+    return S.ols_fit(_reg_frame(lk), "price_capped", _reg_terms())
 
 
 @register("sta15_fitted_residuals")
 def sta15_fitted_residuals(lk):
     """STA15: fitted values and residuals of the OLS model."""
-    coefs = S.ols(_reg_frame(lk), "price_capped", _reg_terms())[0]
+    coefs = S.ols_coefficients(_reg_frame(lk), "price_capped", _reg_terms())
     return S.fitted_residuals(_reg_frame(lk), "price_capped", coefs)
 
 
 @register("sta16_qq_points")
 def sta16_qq_points(lk):
     """STA16: normal Q-Q points of the residuals."""
-    coefs = S.ols(_reg_frame(lk), "price_capped", _reg_terms())[0]
+    coefs = S.ols_coefficients(_reg_frame(lk), "price_capped", _reg_terms())
     return S.qq_points(S.fitted_residuals(_reg_frame(lk), "price_capped", coefs))
 
 

@@ -4,6 +4,8 @@ parameters; pairs at the poles and across +-180 degrees."""
 import itertools
 import math
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -87,10 +89,59 @@ def test_student_tail_at_any_df():
         assert abs(dists.t_sf2(2, df) - (normal + density * 10 / (2 * df))) < 1e-13
     for df in (1, 3, 7.5, 40, 1e4):
         for t in (0.1, 1, 4):
-            assert abs(dists.t_sf2(t, df) - dists.betainc(df / 2, 0.5, df / (df + t * t))) < 1e-10
+            u = np.linspace(0, t, 200_001)
+            inside = np.trapezoid((1 + u * u / df) ** (-(df + 1) / 2), u) * math.exp(math.lgamma((df + 1) / 2) - math.lgamma(df / 2)) / math.sqrt(df * math.pi)
+            assert abs(dists.t_sf2(t, df) - (1 - 2 * inside)) < 1e-9
     assert abs(dists.t_ppf(0.9999999, 1) - math.tan(math.pi * (0.9999999 - 0.5))) < 1
 
 
+def test_f_tail_closed_forms():
+    for f in (1e-6, 0.3, 1.0, 2.5, 40.0):
+        for d2 in (1, 2, 9, 1000, 1e9):  # two degrees above
+            want = math.exp(-d2 / 2 * math.log1p(2 * f / d2))
+            assert abs(dists.f_sf(f, 2, d2) - want) < 1e-11 + 1e-9 * want
+        for d1 in (1, 5, 1e6):  # two below
+            assert abs(dists.f_sf(f, d1, 2) - (1 - math.exp(-d1 / 2 * math.log1p(2 / (d1 * f))))) < 1e-10
+        for df in (1, 30, 1e9):  # one above: a squared t
+            assert abs(dists.f_sf(f, 1, df) - dists.t_sf2(math.sqrt(f), df)) < 1e-12
+    assert math.isnan(dists.t_sf2(1.0, 0.5)) and dists.f_sf(0, 3, 4) == 1.0
+
+
+def test_correlations_with_gaps_and_without_spread(spark):
+    rng = np.random.default_rng(3)
+    a = rng.normal(1e6, 1, 500)
+    b = np.where(rng.random(500) < 0.3, np.nan, 2 * a + rng.normal(size=500))
+    pdf = pd.DataFrame({"a": a, "b": b, "same": 0.1, "none": np.nan})
+    df = spark.createDataFrame([[None if x != x else float(x) for x in r] for r in pdf.values.tolist()], "a double, b double, same double, none double")
+    got = {(r.col_a, r.col_b): r.r for r in S.correlation_pairs(df, list(pdf)).collect()}
+    assert len(got) == 16 and abs(got["a", "b"] - pdf["a"].corr(pdf["b"])) < 1e-9 and got["a", "b"] == got["b", "a"]
+    assert got["a", "same"] is None and got["same", "b"] is None and got["none", "a"] is None and got["same", "same"] == 1.0
+    empty = S.correlation_pairs(df.limit(0), ["a", "b"]).collect()
+    assert [r.r for r in empty if r.col_a != r.col_b] == [None, None]
+
+
+def test_regression_far_from_zero(spark):
+    rng = np.random.default_rng(8)
+    x = rng.normal(1e7, 1, 300)
+    y = 5e7 + 3 * (x - 1e7) + rng.normal(size=300)
+    df = spark.createDataFrame(pd.DataFrame({"id": range(300), "x": x, "z": 0.0, "y": y}))
+    coefs = {r.term: r for r in S.ols_coefficients(df, "y", ["x", "z"]).collect()}
+    slope, _ = np.polyfit(x - 1e7, y - 5e7, 1)
+    assert abs(coefs["x"].coef - slope) < 1e-7 and coefs["z"].coef == 0.0
+    fit = dict(S.ols_fit(df, "y", ["x", "z"]).collect())
+    assert abs(fit["r_squared"] - np.corrcoef(x - 1e7, y - 5e7)[0, 1] ** 2) < 1e-6
+
+
+def test_levene_by_brute_force(spark):
+    rng = np.random.default_rng(6)
+    pdf = pd.DataFrame({"g": ["a"] * 90 + ["b"] * 40 + ["c"] * 3, "v": np.round(np.r_[rng.normal(5, 1, 90), rng.normal(7, 3, 40), [1, 2, 9]], 1)})
+    got = S.levene(spark.createDataFrame(pdf), "v", "g", min_n=20).first()
+    d = [np.abs(p["v"] - p["v"].median()).to_numpy() for g, p in pdf.groupby("g") if len(p) >= 20]
+    z, k, n = np.concatenate(d), len(d), sum(map(len, d))
+    f = sum(len(x) * (x.mean() - z.mean()) ** 2 for x in d) / (k - 1) / (sum(((x - x.mean()) ** 2).sum() for x in d) / (n - k))
+    assert abs(got.levene_stat - f) < 1e-9 and (got.df_between, got.df_within) == (k - 1, n - k)
+
+
 def test_pairs_everywhere(spark):
     pts = [(1, 1, 0.0, 179.9999), (2, 1, 0.0, -179.9999), (3, 1, 89.9999, 10.0), (4, 1, 89.9999, -170.0), (5, 2, 10.0, 10.0), (6, 3, 10.0, 10.0), (7, 4, None, 1.0)]
     pts += [(100 + i, 9, -33.9 + (i % 7) * 1e-4, 18.4 + (i // 7) * 1e-4) for i in range(60)] + [(200 + i, 9, -33.9, 18.4) for i in range(20)]
@@ -149,7 +200,6 @@ def test_existing_columns(spark):
 
 
 def test_density_error_is_within_its_bound(spark):
-    import numpy as np
     rng = np.random.default_rng(0)
     v = rng.lognormal(size=400)
     got = S.kde_by_group(spark.createDataFrame([("a", float(x)) for x in v] + [("b", 3.0)], "g string, v double"), "v", "g").toPandas()
