@@ -333,6 +333,59 @@ def sta14_ols_fit(lk):
     return S.ols_fit(_reg_frame(lk), "price_capped", _reg_terms())
 
 
+def _reg_sql() -> str:
+    """CTEs: ``f`` (id, y, x1..xp), ``m`` (n and means), ``w`` (the matrix of
+    centred products after Gauss-Jordan steps on the predictors: their
+    inverse, the slopes in the last column, SSE in the corner), ``b``
+    (coefficient by position) and ``e`` (residuals)."""
+    cols = [f"CAST({c} AS DOUBLE)" for c in OLS_X] + [f"CAST(room_type = '{lv}' AS INT)::DOUBLE" for lv in ROOM_LEVELS[1:]]
+    p, names = len(cols), [f"x{i + 1}" for i in range(len(cols))] + ["y"]
+    there = " AND ".join(f"{c} IS NOT NULL" for c in ["price_capped", "room_type", *OLS_X])
+    q = p + 1
+    sums = ", ".join(f"sum(({a} - m[{i + 1}]) * ({b} - m[{j + 1}]))" for i, a in enumerate(names) for j, b in enumerate(names))
+    at = lambda i, j: f"a[({i} - 1) * {q} + {j}]"
+    fitted = " + ".join(["b[1]"] + [f"b[{i + 2}] * x{i + 1}" for i in range(p)])
+    return f"""WITH RECURSIVE f AS (SELECT id, {", ".join(f"{c} AS {n}" for c, n in zip(cols, names))}, CAST(price_capped AS DOUBLE) AS y FROM eda WHERE {there}),
+m AS (SELECT count(*)::DOUBLE AS n, [{", ".join(f"avg({n})" for n in names)}] AS m FROM f),
+w AS (SELECT 1 AS k, [{sums}] AS a FROM f, m
+  UNION ALL SELECT k + 1, list_transform(range({q * q}), lambda t: CASE
+    WHEN t // {q} + 1 = k AND t % {q} + 1 = k THEN 1 / {at("k", "k")}
+    WHEN t // {q} + 1 = k THEN a[t + 1] / {at("k", "k")}
+    WHEN t % {q} + 1 = k THEN -a[t + 1] / {at("k", "k")}
+    ELSE a[t + 1] - {at("(t // %d + 1)" % q, "k")} * {at("k", "(t %% %d + 1)" % q)} / {at("k", "k")} END) FROM w WHERE k <= {p}),
+inv AS (SELECT a, n, m, {at(q, q)} / (n - {q}) AS sigma2, list_transform(range(1, {q}), lambda i: {at("i", q)}) AS slopes FROM w, m WHERE k = {q}),
+b AS (SELECT a, n, m, sigma2, list_prepend(m[{q}] - list_sum(list_transform(range(1, {q}), lambda i: m[i] * slopes[i])), slopes) AS b,
+  list_prepend(1 / n + list_sum(list_transform(range({p * p}), lambda t: m[t // {p} + 1] * {at("(t // %d + 1)" % p, "(t %% %d + 1)" % p)} * m[t % {p} + 1])),
+    list_transform(range(1, {q}), lambda i: {at("i", "i")})) AS unscaled FROM inv),
+e AS (SELECT id, y, y - ({fitted}) AS e FROM f, b)
+"""
+
+
+_EST_SQL = "SELECT * FROM (" + _reg_sql() + f"""SELECT t AS term, coef, std_err, coef / std_err AS t FROM (
+  SELECT unnest(['const', {", ".join(f"'{t}'" for t in _reg_terms())}]) AS t, unnest(b) AS coef, unnest(list_transform(unscaled, lambda u: sqrt(u * sigma2))) AS std_err FROM b)) z"""
+
+
+@register("sta14_ols_estimates", O.rounded(_EST_SQL, ["coef", "std_err", "t"]))
+def sta14_ols_estimates(lk):
+    """STA14: coefficients, standard errors and t (what SQL can state)."""
+    return S.ols_coefficients(_reg_frame(lk), "price_capped", _reg_terms()).select("term", "coef", "std_err", "t")
+
+
+_FIGURES = ["n", "df_model", "df_resid", "r_squared", "adj_r_squared", "f_stat", "log_likelihood", "aic", "bic", "durbin_watson", "jarque_bera", "skew", "kurtosis"]
+_FIGURES_SQL = "SELECT * FROM (" + _reg_sql() + f""", r AS (SELECT *, e - lag(e) OVER (ORDER BY id) AS d, avg(y) OVER () AS ybar FROM e),
+g AS (SELECT count(*)::DOUBLE AS n, {len(_reg_terms())}.0 AS p, sum(e * e) AS sse, sum((y - ybar) * (y - ybar)) AS sst, sum(d * d) AS dd, avg(e * e) AS m2, avg(e * e * e) AS m3, avg(e * e * e * e) AS m4 FROM r),
+h AS (SELECT *, -n / 2 * (ln(2 * pi()) + ln(sse / n) + 1) AS llf, m3 / m2 ** 1.5 AS sk, m4 / (m2 * m2) AS ku, 1 - sse / sst AS r2 FROM g)
+SELECT unnest([{", ".join(f"'{f}'" for f in _FIGURES)}]) AS metric,
+  unnest([n, p, n - p - 1, r2, 1 - (n - 1) / (n - p - 1) * (1 - r2), (sst - sse) / p / (sse / (n - p - 1)), llf, -2 * llf + 2 * (p + 1), -2 * llf + (p + 1) * ln(n), dd / sse,
+    n / 6 * (sk * sk + (ku - 3) ** 2 / 4), sk, ku]) AS value FROM h) z"""
+
+
+@register("sta14_ols_fit_figures", O.rounded(_FIGURES_SQL, ["value"]))
+def sta14_ols_fit_figures(lk):
+    """STA14: the fit statistics that SQL can state."""
+    return S.ols_fit(_reg_frame(lk), "price_capped", _reg_terms()).where(F.col("metric").isin(_FIGURES))
+
+
 @register("sta15_fitted_residuals")
 def sta15_fitted_residuals(lk):
     """STA15: fitted values and residuals of the OLS model."""
@@ -347,7 +400,31 @@ def sta16_qq_points(lk):
     return S.qq_points(S.fitted_residuals(_reg_frame(lk), "price_capped", coefs))
 
 
-@register("sta17_vif")
+@register("sta16_sample_quantiles", O.rounded(
+    "SELECT * FROM (" + _reg_sql() + """SELECT unnest(list_transform(range(1, 100), lambda i: i / 100)) AS p,
+  unnest(quantile_cont(e, list_transform(range(1, 100), lambda i: i / 100))) AS sample_quantile FROM e) z""", ["p", "sample_quantile"]))
+def sta16_sample_quantiles(lk):
+    """STA16: the residuals' side of the Q-Q points."""
+    return sta16_qq_points(lk).select("p", "sample_quantile")
+
+
+def _vif_sql() -> str:
+    """G_ii (G^-1)_ii by Gauss-Jordan steps on the uncentred products."""
+    cols = [f"CAST({c} AS DOUBLE)" for c in OLS_X] + [f"CAST(room_type = '{lv}' AS INT)::DOUBLE" for lv in ROOM_LEVELS[1:]]
+    p = len(cols)
+    there = " AND ".join(f"{c} IS NOT NULL" for c in ["price_capped", "room_type", *OLS_X])
+    at = lambda i, j: f"a[({i} - 1) * {p} + {j}]"
+    return f"""SELECT * FROM (WITH RECURSIVE g AS (SELECT [{", ".join(f"sum({a} * {b})" for a in cols for b in cols)}] AS a FROM eda WHERE {there}),
+w AS (SELECT 1 AS k, a FROM g UNION ALL SELECT k + 1, list_transform(range({p * p}), lambda t: CASE
+    WHEN t // {p} + 1 = k AND t % {p} + 1 = k THEN 1 / {at("k", "k")}
+    WHEN t // {p} + 1 = k THEN a[t + 1] / {at("k", "k")}
+    WHEN t % {p} + 1 = k THEN -a[t + 1] / {at("k", "k")}
+    ELSE a[t + 1] - {at("(t // %d + 1)" % p, "k")} * {at("k", "(t %% %d + 1)" % p)} / {at("k", "k")} END) FROM w WHERE k <= {p})
+SELECT unnest([{", ".join(f"'{t}'" for t in _reg_terms())}]) AS predictor, unnest(list_transform(range(1, {p + 1}), lambda i: g.a[(i - 1) * {p} + i] * w.a[(i - 1) * {p} + i])) AS vif
+FROM g, w WHERE k = {p + 1}) z"""
+
+
+@register("sta17_vif", O.rounded(_vif_sql(), ["vif"]))
 def sta17_vif(lk):
     """STA17: VIF per predictor, uncentred (no constant), as the reference."""
     return S.vif(_reg_frame(lk), _reg_terms())
