@@ -38,8 +38,8 @@ def missing_report(df: DataFrame, only_missing: bool = True) -> DataFrame:
     """DQ1: (column_name, missing_count, missing_pct) in one pass."""
     cols = df.columns
     row = df.agg(F.count(F.lit(1)).alias("_rows"),
-                 *[F.sum(F.col(f"`{c}`").isNull().cast("long")).alias(f"m{i}") for i, c in enumerate(cols)])
-    arr = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"m{i}").alias("missing_count"))
+                 *[F.count(F.col(f"`{c}`")).alias(f"m{i}") for i, c in enumerate(cols)])
+    arr = F.array(*[F.struct(F.lit(c).alias("column_name"), (F.col("_rows") - F.col(f"m{i}")).alias("missing_count"))
                     for i, c in enumerate(cols)])
     out = row.select("_rows", F.explode(arr).alias("_s")).select(
         "_s.column_name", "_s.missing_count",
