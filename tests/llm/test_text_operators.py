@@ -271,6 +271,28 @@ def test_passages_in_the_middle_of_lines(spark, docs):
     assert (1 - 0.8 ** 2) ** substring.tune_bands() <= 0.001
 
 
+def test_short_lines_wrapped_paragraphs_and_short_texts(spark):
+    rng = np.random.default_rng(6)
+    words = lambda n: [f"x{i}" for i in rng.integers(0, 10**6, n)]
+    wrap = lambda w: "\n".join(" ".join(w[i:i + 9]) for i in range(0, len(w), 9))
+    line, short, brief, some, far = words(15), words(15), words(3), words(45), words(60)
+    line2 = [*line[:14], "other"]  # 10 of 12 shingles
+    text = {
+        1: " ".join(words(30)) + "\n" + " ".join(line) + "\n" + " ".join(words(30)), 2: " ".join(words(40)) + "\n" + " ".join(line2),
+        3: " ".join(short), 4: " ".join(short), 5: " ".join(brief), 6: " ".join(brief), 7: " ".join(words(12)),
+        8: wrap(some), 9: wrap(["new", *some[:-1]]), 10: wrap(far) + "\n\n" + " ".join(words(50)), 11: " ".join(words(50)) + "\n \n" + " ".join([*far[:-1], "end"])}
+    assert substring.block_places(text[8].encode()) == [(0, 45)] and substring.block_places(text[10].encode()) == [(0, 60), (60, 50)]
+    out = substring.repeated(spark.createDataFrame(list(text.items()), "doc_id long, text string")).collect()
+    linked = collections.defaultdict(set)
+    for r in out:
+        linked[r["kind"], r["cluster"]].add((r["doc_id"], r["first_word"], r["n_words"]))
+    got = {(k, frozenset(v)) for (k, _), v in linked.items()}
+    assert ("line", frozenset({(1, 30, 15), (2, 40, 15)})) in got
+    assert {("line", frozenset({(3, 0, 15), (4, 0, 15)})), ("stretch", frozenset({(3, 0, 15), (4, 0, 15)})), ("stretch", frozenset({(5, 0, 3), (6, 0, 3)}))} <= got
+    assert {("block", frozenset({(8, 0, 45), (9, 0, 45)})), ("block", frozenset({(10, 0, 60), (11, 50, 60)}))} <= got
+    assert 7 not in {r["doc_id"] for r in out}
+
+
 # packing
 
 def test_packing(spark, docs):
