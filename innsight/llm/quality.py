@@ -3,14 +3,15 @@
 Each document gets counts of its words, lines and repeated windows, a
 histogram of character classes and one of its language's common words.  The
 language references are the same histograms summed over all documents of the
-language.  A document whose Jensen-Shannon distance to its reference exceeds
+language; a language without common words has a reference of character classes
+if ``min_reference`` documents or more are in it.  A document whose Jensen-Shannon distance to its reference exceeds
 a threshold is rejected, unless it is too short for its histogram to mean
 anything (minimum-length guard); very short and very repetitive documents
 fail the base rules.
 
 Edge cases: a null text has no words (base-failed, as n_words < 50); a null
-or unknown language is held against the reference over all documents by its
-character classes alone; an empty table gives an empty result; equal rows get
+language, and one of too few documents, has no reference: its documents go by
+the base rules alone; an empty table gives an empty result; equal rows get
 equal rows; columns other than doc_id, text and lang are not read.
 Three-word windows are compared by their 64-bit hashes within one text.
 """
@@ -22,7 +23,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, col, doc_key, fresh, written
+from .common import SPACE, col, doc_key, fresh, join_spread, written
 
 #: Common words by language (the parameter's default).
 COMMON = {
@@ -100,35 +101,46 @@ def distance(p: Column, q: Column) -> Column:
     return F.when((total(p) > 0) & (total(q) > 0), F.sqrt(F.greatest(F.lit(0.0), F.aggregate(halves, F.lit(0.0), lambda s, x: s + x) / 2)))
 
 
-def references(feats: DataFrame, common: dict[str, list[str]] = COMMON) -> dict:
-    """The histograms summed by language, and under None over all: as many
-    rows as ``common`` has languages, plus one."""
+def references(feats: DataFrame, common: dict[str, list[str]] = COMMON) -> tuple[dict, bool]:
+    """The histograms summed by the languages of ``common``, and whether
+    there are documents in others."""
     n, m = len(CLASSES) + 1, max(len(v) for v in common.values()) + 1
     lang = F.when(F.col("lang").isin(*common), F.col("lang"))
     sums = feats.groupBy(lang.alias("lang")).agg(
-        *[F.sum(F.col("classes")[i]).alias(f"c{i}") for i in range(n)], *[F.sum(F.get("commons", F.lit(i))).alias(f"w{i}") for i in range(m)]).collect()
-    out = {r["lang"]: ([r[f"c{i}"] or 0 for i in range(n)], [r[f"w{i}"] or 0 for i in range(len(common[r["lang"]]) + 1)]) for r in sums if r["lang"] is not None}
-    return out | {None: ([sum(r[f"c{i}"] or 0 for r in sums) for i in range(n)], None)}
+        *[F.sum(F.col("classes")[i]).alias(f"c{i}") for i in range(n)], *[F.sum(F.get("commons", F.lit(i))).alias(f"w{i}") for i in range(m)], F.count("lang").alias("named")).collect()
+    refs = {r["lang"]: ([r[f"c{i}"] or 0 for i in range(n)], [r[f"w{i}"] or 0 for i in range(len(common[r["lang"]]) + 1)]) for r in sums if r["lang"] is not None}
+    return refs, any(r["lang"] is None and r["named"] for r in sums)
+
+
+def other_references(feats: DataFrame, common: dict[str, list[str]], min_reference: int) -> DataFrame:
+    """``(lang, other_ref)``: the character classes summed by each language
+    outside ``common`` that has ``min_reference`` documents."""
+    sums = feats.filter(~F.col("lang").isin(*common)).groupBy("lang").agg(
+        F.count(F.lit(1)).alias("n"), F.array(*[F.sum(F.col("classes")[i]).cast("double") for i in range(len(CLASSES) + 1)]).alias("other_ref"))
+    return sums.filter(F.col("n") >= min_reference).select("lang", "other_ref")
 
 
 def verdicts(feats: DataFrame, common: dict[str, list[str]] = COMMON, min_words: int = 50, max_classes: float = 0.3,
-             max_commons: float = 0.4, both: tuple[float, float] = (0.18, 0.27), guard: int = 50) -> DataFrame:
+             max_commons: float = 0.4, both: tuple[float, float] = (0.18, 0.27), guard: int = 50, min_reference: int = 50) -> DataFrame:
     """``feats`` with ``base_failed``, the two distances and ``kept``: false
     for a document of ``guard`` words or more with one distance over its
     limit, or the two over the pair of limits ``both``."""
-    refs = references(feats, common)
+    refs, others = references(feats, common)
     arr = lambda a: F.array(*[F.lit(float(x)) for x in a])
-    classes, commons = arr(refs[None][0]), F.lit(None).cast("array<double>")
+    classes = commons = F.lit(None).cast("array<double>")
+    if others:  # as many as the data has languages: joined, not collected
+        cols = feats.columns
+        feats = join_spread(feats, other_references(feats, common, min_reference), ["lang"], F.col("k1"), "left").select(*cols, "other_ref")
+        classes = F.col("other_ref")
     for lang, (c, w) in refs.items():
-        if lang is not None:
-            classes = F.when(F.col("lang") == lang, arr(c)).otherwise(classes)
-            commons = F.when(F.col("lang") == lang, arr(w)).otherwise(commons)
+        classes = F.when(F.col("lang") == lang, arr(c)).otherwise(classes)
+        commons = F.when(F.col("lang") == lang, arr(w)).otherwise(commons)
     out = feats.withColumn("class_ref", classes).withColumn("common_ref", commons)
     out = out.withColumn("class_distance", distance(F.col("classes"), F.col("class_ref"))).withColumn("common_distance", distance(F.col("commons"), F.col("common_ref")))
     base = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     far = (F.coalesce("class_distance", F.lit(0.0)) > max_classes) | (F.coalesce("common_distance", F.lit(0.0)) > max_commons) | (
         (F.coalesce("class_distance", F.lit(0.0)) > both[0]) & (F.coalesce("common_distance", F.lit(0.0)) > both[1]))
-    return out.withColumn("base_failed", base).withColumn("kept", ~base & ~((F.col("n_words") >= guard) & far)).drop("class_ref", "common_ref")
+    return out.withColumn("base_failed", base).withColumn("kept", ~base & ~((F.col("n_words") >= guard) & far)).drop("class_ref", "common_ref", "other_ref")
 
 
 def quality(docs: DataFrame, **params) -> DataFrame:

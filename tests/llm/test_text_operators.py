@@ -139,6 +139,20 @@ def test_quality_rejects_the_odd_one(spark):
     assert kept.pop(99) is False and all(kept.values())
 
 
+def test_quality_by_every_language(spark):
+    pick = lambda words, i: " ".join(words[(i * 7 + j * j) % len(words)] for j in range(80))
+    english = [f"{chr(97 + i % 26)}{chr(97 + i // 26)}on" for i in range(200)] + ["the", "of", "and"] * 40
+    russian = [f"{chr(1072 + i % 30)}{chr(1072 + i // 30)}ние" for i in range(200)]
+    rows = [(i, pick(english, i), "en") for i in range(300)] + [(1000 + i, pick(russian, i), "ru") for i in range(60)]
+    rows += [(2000, " ".join(f"{i}#%${i * i}&&" for i in range(80)), "ru"), (2001, pick(russian, 99), None), (2002, pick(russian, 98), "uk")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    out = {r["doc_id"]: r for r in quality.quality(docs).collect()}
+    assert all(out[1000 + i]["kept"] for i in range(60)) and out[1000]["class_distance"] < 0.3
+    assert not out[2000]["kept"] and not out[2000]["base_failed"]
+    assert out[2001]["kept"] and out[2002]["kept"] and out[2001]["class_distance"] is None and out[2002]["class_distance"] is None
+    assert len(out) == len(rows) == quality.keep_good(docs).count() + 1
+
+
 # lines
 
 def brute_lines(rows, long=lines.LONG):
