@@ -187,6 +187,14 @@ def test_lines(spark, docs):
     assert same == []  # the copy of document 1
 
 
+def test_every_repeated_line_is_a_run_from_one_word(spark):
+    frame = table(spark, SF, "documents")
+    out = lines.dedup(frame, long_words=1, marks=True).collect()
+    assert {r["doc_id"]: list(r["gone"]) for r in out} == brute_lines([(r["doc_id"], r["text"]) for r in frame.orderBy("doc_id").collect()], 1)
+    left = collections.Counter(s for r in out for x in (r["text"] or "").split("\n") if (s := x.strip(" \t\n\r\x0b\x0c")))
+    assert set(left.values()) == {1}
+
+
 # simhash
 
 def brute_print(text, n=3):
