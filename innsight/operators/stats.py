@@ -425,38 +425,49 @@ def qq_points(resid: DataFrame, col: str = "residual", points: int = 99) -> Data
     return q.join(F.broadcast(theo), "p").select("p", "normal_quantile", F.col("q").alias("sample_quantile"))
 
 
-def binned_lowess(df: DataFrame, x: str, y: str, bins: int = 100, frac: float = 2 / 3) -> DataFrame:
-    """STA18 (re-aimed): locally weighted linear fit with tricube weights on
-    x pre-aggregated into ``bins`` equal-width bins (n, sums per bin); the
-    bandwidth at each bin centre covers ``frac`` of the rows.  No robustness
-    iterations.  The bin table (<= ``bins`` rows) is fitted in one task."""
+def binned_lowess(df: DataFrame, x: str, y: str, bins: int = 100, frac: float = 2 / 3, cells: int = 4096, fine: int = 200) -> DataFrame:
+    """STA18 (re-aimed): locally weighted linear fit with tricube weights over
+    cells of x; the bandwidth at each cell's mean covers ``frac`` of the rows.
+    No robustness iterations.  Up to ``cells`` (``bins``, if more) distinct
+    values are a cell each, and the fit is exact.  Beyond that, for ``frac``
+    from 1/2, every window holds the median m and the quantiles 1 - frac and
+    frac, 2s apart, so no bandwidth h is below s or the point's distance from
+    m: cells are cut at steps of sqrt((x - m)^2 + s^2) / ``fine``, at most
+    sqrt(5) h / fine wide inside a window.  A cell's moments are exact, only
+    its weight is the one at its mean: wrong by at most 2.01 sqrt(5) / fine of
+    the peak (2.3 %) for a row, and by second order only in a cell's sum.
+    There are at most 2 fine asinh(range / s) cells, fitted in one task (s is
+    held to 1e-9 of the range, where one value is both quantiles)."""
     src = df.select(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")).dropna()
-    rng = src.agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
-    j = attach_row(src, rng)
-    w = (F.col("hi") - F.col("lo")) / bins
-    b = F.least(F.floor(F.when(w > 0, (F.col("x") - F.col("lo")) / w).otherwise(F.lit(0))), F.lit(bins - 1)).cast("int")
-    t = j.groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("n"), F.sum("x").alias("sx"), F.sum("y").alias("sy"),
-                                      F.sum(F.col("x") * F.col("x")).alias("sxx"), F.sum(F.col("x") * F.col("y")).alias("sxy"))
+    if src.select("x").distinct().count() <= max(cells, bins):
+        cut = src.withColumn("cell", F.col("x"))
+    else:
+        r = src.agg(F.percentile_approx("x", [1 - frac, 0.5, frac], 10000).alias("q"), F.min("x").alias("lo"), F.max("x").alias("hi")).first()
+        low, m, high = r["q"]
+        u = (F.col("x") - m) / max((high - low) / 2, 1e-9 * (r["hi"] - r["lo"]))
+        cut = src.withColumn("cell", F.round(F.signum(u) * F.asinh(F.abs(u)) * fine))
+    t = cut.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.avg("x").alias("mx"), F.avg("y").alias("my"),
+                                F.var_pop("x").alias("vx"), F.covar_pop("x", "y").alias("cxy"))
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("bin")
-        xc = (pdf["sx"] / pdf["n"]).to_numpy()
-        n = pdf["n"].to_numpy(dtype=float)
+        pdf = pdf.sort_values("mx")
+        xc, my, vx, cxy, n = (pdf[c].to_numpy(dtype=float) for c in ("mx", "my", "vx", "cxy", "n"))
         total = n.sum()
         out = []
         for x0 in xc:
-            d = np.abs(xc - x0)
+            u = xc - x0
+            d = np.abs(u)
             order = np.argsort(d)
             cum = np.cumsum(n[order])
             h = d[order][min(np.searchsorted(cum, frac * total), len(d) - 1)]
-            h = h if h > 0 else (d.max() or 1.0)
-            wt = np.clip(1 - (d / (h * 1.0000001)) ** 3, 0, None) ** 3
-            sw, swx, swy = (wt * n).sum(), (wt * pdf["sx"]).sum(), (wt * pdf["sy"]).sum()
-            swxx, swxy = (wt * pdf["sxx"]).sum(), (wt * pdf["sxy"]).sum()
+            if h > 0:
+                w = n * np.clip(1 - (d / (h * 1.0000001)) ** 3, 0, None) ** 3
+            else:  # one value holds ``frac`` of the rows
+                w = np.where(d == 0, n, 0.0)
+            sw, swx, swy = w.sum(), (w * u).sum(), (w * my).sum()
+            swxx, swxy = (w * (u * u + vx)).sum(), (w * (u * my + cxy)).sum()
             den = sw * swxx - swx ** 2
-            slope = (sw * swxy - swx * swy) / den if den != 0 else 0.0
-            icpt = (swy - slope * swx) / sw if sw else np.nan
-            out.append(icpt + slope * x0)
+            out.append((swy * swxx - swx * swxy) / den if den > 1e-12 * sw * swxx else swy / sw)
         return pd.DataFrame({"x": xc, "smoothed": out, "n": n.astype("int64")})
 
     return t.withColumn("_one", F.lit(1)).groupBy("_one").applyInPandas(fit, "x double, smoothed double, n long")
