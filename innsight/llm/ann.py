@@ -18,7 +18,8 @@ are about 0.6 * sqrt(n) lists of n distinct vectors.  Long lists are cut into
 blocks of bounded bytes, a list's queries too, and blocks meet blocks, so
 nothing grows without bound in one task.
 
-Edge cases: vectors that are null, zero, of another length than the longest,
+Edge cases: vectors that are null, zero, of another length than most (of
+equal counts the longer),
 or with null or non-finite components, and null ids, take no part; an id given
 twice with the same vector counts once, and rows with the query's own id are
 no candidates of it; an empty table gives no rows; a table with few vectors is
@@ -135,11 +136,12 @@ def search(table: DataFrame, k: int = 20, every: int = 20, fit_rows: int = FIT_R
     v = vectors(table)
     v = v.select("vec_id", "packed", "norm2", F.xxhash64("packed").alias("h1"), F.xxhash64("packed", F.lit(1)).alias("h2"))
     v = written(v, "vectors")
-    longest = v.agg(F.max(F.octet_length("packed"))).first()[0]
+    lengths = v.groupBy(F.octet_length("packed").alias("n")).count().orderBy(F.desc("count"), F.desc("n")).first()
     result = "query_id long, rank int, vec_id long, score double"
-    if longest is None:
+    if lengths is None:
         return spark.createDataFrame([], result)
-    v = v.filter(F.octet_length("packed") == longest)
+    length = lengths["n"]
+    v = v.filter(F.octet_length("packed") == length)
     # equal vectors: one row, and the smallest ids (first within salts, then of all)
     ids = v.select("h1", "h2", "vec_id").distinct().withColumn("s", F.pmod(F.xxhash64("vec_id", F.lit(3)), F.lit(256)))
     for by in (["h1", "h2", "s"], ["h1", "h2"]):
@@ -149,7 +151,7 @@ def search(table: DataFrame, k: int = 20, every: int = 20, fit_rows: int = FIT_R
     distinct = written(distinct, "distinct")
     n, largest = distinct.agg(F.count(F.lit(1)), F.max("norm2")).first()
     sample = distinct.orderBy(F.xxhash64("h1", "h2"), "h1", "h2").limit(fit_rows).select("packed").collect()
-    lists, block = 1, max(64, block_bytes // longest)
+    lists, block = 1, max(64, block_bytes // length)
     while lists * 2 <= 1.42 * lists_by_root * np.sqrt(n) and lists * 16 <= len(sample):
         lists *= 2
     graph = spark.sparkContext.broadcast(Graph(halves(_augmented([r[0] for r in sample], largest), lists)))

@@ -90,6 +90,15 @@ def test_search_edge_cases_are_exact(spark):
     assert ann.search(d.limit(0)).count() == 0
 
 
+def test_one_longer_vector_takes_no_part(spark):
+    rng = np.random.default_rng(7)
+    rows = [(i, rng.normal(size=4).tolist()) for i in range(60)]
+    kinds = "vec_id long, embedding array<double>"
+    found = lambda x: sorted(map(tuple, ann.search(spark.createDataFrame(x, kinds)).collect()))
+    got = found([*rows, (100, [1.0] * 5), (101, [2.0] * 3)])
+    assert len(got) == 60 and got == found(rows)
+
+
 def test_search_recall(spark):
     d = table(spark, "/root/testdata/sf0.1", "embeddings")
     rows = [(r["vec_id"], r["embedding"]) for r in d.select("vec_id", "embedding").collect()]
