@@ -3,9 +3,8 @@ where it can state them.
 
 A query reads its whole table, calls its operator with production parameters
 and derives the contract's columns from the operator's result.  op4 (a trained
-model), op5 and op6 (components over probabilistic or 64-bit hashes), op7
-(tokenizer ids) and op9 (an approximate search) have no SQL; tests hold them
-against brute force.
+model), op5, op6 and op13 (components), op7 and op12 (tokenizer ids) and op9
+(an approximate search) have no SQL; tests hold them against brute force.
 """
 
 from __future__ import annotations
@@ -13,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, lines, lm, mixing, packing, quality, secrets, simhash, substring, warc
+from . import alignment, ann, lexical, lines, lm, mixing, packing, quality, secrets, setjoin, simhash, substring, warc
 from .common import table, written
 
 #: Schedules of the weights 1 (falling), 2 (even) and 3 (rising).
@@ -74,6 +73,18 @@ def op10_divergence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.round("class_distance", 6).alias("class_distance"), F.round("common_distance", 6).alias("common_distance"), "kept")
 
 
+def op11_best_position_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_pair_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents"))
+
+
+def op13_prefix_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return setjoin.link(table(spark, sf_dir, "documents")).withColumnRenamed("n_grams", "n_shingles")
+
+
 _SPACE = r"[\x20\x09-\x0D]"
 _WORD = r"[^\x20\x09-\x0D]+"
 
@@ -192,7 +203,22 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_s
 FROM k"""
 
 
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+_OP11 = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'), '{_TERM}') AS t FROM documents),
+g AS (SELECT count(*) AS big_n, sum(len(t))::BIGINT AS big_l FROM d WHERE len(t) > 0),
+i AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'), '{_TERM}')) AS term FROM benchmark),
+p AS (SELECT r, doc_id, n, term, count(*) AS tf FROM (SELECT r, doc_id, len(t) AS n, unnest(t) AS term FROM d) WHERE term IN (SELECT term FROM i) GROUP BY ALL),
+w AS (SELECT term, floor(1000 * ln((2 * big_n + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM p, g GROUP BY term, big_n),
+s AS (SELECT item_id, r, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + ((90 * n * big_n) // big_l)))))::BIGINT AS score
+      FROM i JOIN w USING (term) JOIN p USING (term), g GROUP BY item_id, r, doc_id),
+k AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST, r)::INT AS rank, doc_id, score FROM s WHERE score > 0)
+SELECT * FROM k WHERE rank <= 10"""
+
+
 QUERIES = {f.__name__: f for f in (
     op1_curriculum_mix, op2_secret_scan, op3_warc_archive, op4_maxent_lm, op5_paragraph_minhash, op6_golay_simhash,
-    op7_best_fit_packing, op8_line_winnowing, op9_posting_lists, op10_divergence_rules)}
-ORACLES = {"op1_curriculum_mix": _OP1, "op2_secret_scan": _OP2, "op3_warc_archive": _OP3, "op8_line_winnowing": _OP8, "op10_divergence_rules": _op10()}
+    op7_best_fit_packing, op8_line_winnowing, op9_posting_lists, op10_divergence_rules,
+    op11_best_position_search, op12_pair_bitmaps, op13_prefix_jaccard)}
+ORACLES = {"op1_curriculum_mix": _OP1, "op2_secret_scan": _OP2, "op3_warc_archive": _OP3, "op8_line_winnowing": _OP8, "op10_divergence_rules": _op10(), "op11_best_position_search": _OP11}

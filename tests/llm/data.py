@@ -4,7 +4,7 @@ import os
 import random
 
 SF = "/root/testdata/sf0.001"
-TABLES = ("documents", "pages", "embeddings")
+TABLES = ("documents", "pages", "embeddings", "benchmark")
 
 
 def edge_docs(spark):
