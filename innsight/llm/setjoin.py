@@ -22,10 +22,12 @@ classes that link share one of their first p = n - ceil(percent * n / 100) + 1
    bring their classes' sets together, in blocks.  A pair not yet connected is
    looked at where its first common prefix n-gram is, only there, if it passes
    the length filter, the positional filter (what can still follow the two
-   positions) and the suffix filter (the sets' numbers of hashes in each
-   sixty-fourth of the hash space bound their overlap), and is then verified
-   by the intersection.  Blocks of a long n-gram meet each other in tasks of
-   their own.  Out come the edges of a spanning forest; no link is lost.
+   positions) and the suffix filter (the sets' numbers of hashes in each of
+   256 parts of the hash space bound their overlap).  Sizes, parts and prefixes
+   suffice for that; whole sets come only to classes with a pair left, which
+   the intersection verifies.  Blocks of a long n-gram meet each other in
+   tasks of their own.  Out come the edges of a spanning forest; no link is
+   lost.
 
 Hashes have 64 bits (classes 128).  Edge cases: null and empty texts have an
 empty set and link with nothing, not even each other (their component is their
@@ -39,6 +41,8 @@ run again).
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -54,7 +58,10 @@ SLICE, GRAMS = 8192, 4_000_000
 #: N-grams of a range, and classes of one n-gram that are compared at once.
 RANGE, BLOCK = 2_000_000, 512
 #: Parts of the hash space in the suffix filter.
-PARTS = 64
+PARTS = 256
+#: Remaining classes up to this many (24 bytes each) are broadcast to their texts;
+#: more of them meet the texts in a shuffle.
+FEW = 1 << 20
 
 
 class WordHashes(dict):
@@ -251,7 +258,9 @@ def sets_of(docs: DataFrame, classes: DataFrame, size: int) -> DataFrame:
     """``(cls, grams)``: the set of one document of each class."""
     k = doc_key(col("doc_id"), col("text"))
     src = docs.select(k[0].alias("k1"), k[1].alias("k2"), col("text").alias("text"))
-    src = src.join(classes.select("k1", "k2", "cls"), ["k1", "k2"]).select("cls", "text")  # only equal rows share a key
+    wanted = classes.select("k1", "k2", "cls")
+    few = wanted.limit(FEW + 1).count() <= FEW
+    src = src.join(F.broadcast(wanted) if few else wanted, ["k1", "k2"]).select("cls", "text")  # only equal rows share a key
 
     def one(b: pa.RecordBatch):
         known, done = WordHashes(), set()
@@ -289,79 +298,116 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 class Group:
-    """The classes under one prefix n-gram, as far as a task holds them."""
+    """The classes under one prefix n-gram, as far as a task holds them:
+    rows of (cls, component, place, n, parts, prefix[, grams])."""
 
     def __init__(self, rows):
-        self.cls, self.component, self.place, sets, prefixes = zip(*rows)
-        self.sets = [np.frombuffer(s, np.uint64) for s in sets]
+        self.cls, component, place, n, parts, prefixes, *sets = zip(*rows)
+        self.label = np.unique(component, return_inverse=True)[1]
+        self.at, self.n = np.array(place), np.array(n)
+        self.parts = np.array([np.frombuffer(p, "<u4") for p in parts]).astype(np.int64)
         self.prefixes = [np.frombuffer(p, np.int64) for p in prefixes]
-        self.n, self.at = np.array([len(s) for s in self.sets]), np.array(self.place)
-        # how many hashes lie in each part of the hash space
-        self.parts = np.array([np.bincount((s >> np.uint64(58)).astype(np.int64), minlength=PARTS) for s in self.sets])
-
-    def edges(self, gram: int, percent: int, first: int | None = None) -> list[tuple[int, int]]:
-        """Edges of a spanning forest of the links between classes not yet
-        connected; with ``first``, between the first so many and the others."""
-        label = np.unique(self.component, return_inverse=True)[1]
+        self.sets = [np.frombuffer(s, np.uint64) for s in sets[0]] if sets else []
+
+    def partners(self, i: int, low: int, gram: int, percent: int) -> Iterator[int]:
+        """The classes from ``low`` on that are not connected with class i,
+        pass the filters, and have ``gram`` as first common prefix n-gram."""
+        n, m = self.n[i], self.n[low:]
+        need = -(-percent * (n + m) // (100 + percent))
+        ok = (self.label[low:] != self.label[i]) & (100 * np.minimum(n, m) >= percent * np.maximum(n, m))
+        ok &= 1 + np.minimum(n - self.at[i], m - self.at[low:]) >= need
+        some = np.flatnonzero(ok)
+        if len(some):  # what the parts hold alike
+            some = some[np.minimum(self.parts[i], self.parts[low + some]).sum(1) >= need[some]]
+        mine = self.prefixes[i]
+        for j in (some + low).tolist():
+            if self.label[i] != self.label[j] and mine[np.isin(mine, self.prefixes[j], assume_unique=True)][0] == gram:
+                yield j
+
+    def pairs(self, first: int | None) -> Iterator[tuple[int, int]]:
+        """Each class and where its partners begin; with ``first``, the first
+        so many classes meet the others only."""
+        return ((i, i + 1 if first is None else first) for i in range(len(self.cls) if first is None else first))
+
+    def promising(self, gram: int, percent: int, first: int | None) -> np.ndarray:
+        """Which classes have a partner."""
+        out = np.zeros(len(self.cls), bool)
+        for i, low in self.pairs(first):
+            for j in self.partners(i, low, gram, percent):
+                out[[i, j]] = True
+        return out
+
+    def edges(self, gram: int, percent: int, first: int | None) -> list[tuple[int, int]]:
+        """Edges of a spanning forest of the links."""
         out = []
-        for i in range(len(self.cls) - 1 if first is None else first):
-            low = i + 1 if first is None else first
-            n, m = self.n[i], self.n[low:]
-            need = -(-percent * (n + m) // (100 + percent))
-            ok = (label[low:] != label[i]) & (100 * np.minimum(n, m) >= percent * np.maximum(n, m))
-            ok &= 1 + np.minimum(n - self.at[i], m - self.at[low:]) >= need
-            some = np.flatnonzero(ok)
-            if len(some):  # what the parts hold alike
-                some = some[np.minimum(self.parts[i], self.parts[low + some]).sum(1) >= need[some]]
-            for j in (some + low).tolist():
-                if label[i] == label[j]:
-                    continue
-                mine, theirs = self.prefixes[i], self.prefixes[j]
-                both = mine[np.isin(mine, theirs, assume_unique=True)]
-                if both[0] != gram:  # looked at under their first common n-gram
-                    continue
+        for i, low in self.pairs(first):
+            for j in self.partners(i, low, gram, percent):
                 o = overlap(self.sets[i], self.sets[j])
-                if 100 * o >= percent * (n + self.n[j] - o):
+                if 100 * o >= percent * (self.n[i] + self.n[j] - o):
                     out.append((self.cls[i], self.cls[j]))
-                    label[label == label[j]] = label[i]
+                    self.label[self.label == self.label[j]] = self.label[i]
         return out
 
 
-def compared(rows: DataFrame, held: DataFrame, percent: int, block: int) -> DataFrame:
-    """``rows(gram, cls, component, place)`` and ``held(cls, grams, prefix)``
-    to the ``(a, b)`` of spanning forests of the links under each n-gram."""
+def _groups(batches, done):
+    """``done(key, rows, first)`` of each run of rows with equal (gram, x, y);
+    ``first`` rows are of block x, the others of block y (None: x is y)."""
+    own, rows = None, []
+
+    def out():
+        second = [r[0] for r in rows]
+        first = None if own[1] == own[2] else second.index(True) if True in second else len(rows)
+        return done(own, [r[1:] for r in rows], first)
+
+    for b in batches:
+        for r in zip(*(c.to_pylist() for c in b.columns)):
+            if r[:3] != own:
+                if rows:
+                    yield out()
+                own, rows = r[:3], []
+            rows.append(r[3:])
+    if rows:
+        yield out()
+
+
+_MEET = "gram long, x int, y int, second boolean, cls long, component long, place int, n long, parts binary, prefix binary"
+_MEETS = [x.split()[0] for x in _MEET.split(", ")]
+
+
+def compared(rows: DataFrame, held: DataFrame, sets: DataFrame, percent: int, block: int) -> DataFrame:
+    """``rows(gram, cls, component, place)``, ``held(cls, n, parts, prefix)``
+    and ``sets(cls, grams)`` to the ``(a, b)`` of spanning forests of the
+    links under each n-gram.  Whole sets come only to classes that have a
+    partner there."""
     blocks = rows.groupBy("gram").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
     dealt = join_spread(rows, blocks, ["gram"], F.col("cls"))
     mine = F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int")
     # block i meets itself (i, i) and the others (i, j), (h, i)
     meets = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least(o, F.col("mine")).alias("x"), F.greatest(o, F.col("mine")).alias("y")))
     dealt = dealt.withColumn("mine", mine).withColumn("meet", F.explode(meets)).select("gram", F.col("meet.x").alias("x"), F.col("meet.y").alias("y"), (F.col("mine") != F.col("meet.x")).alias("second"), "cls", "component", "place")
-    dealt = join_spread(dealt, held, ["cls"], F.struct("gram", "x", "y")).select("gram", "x", "y", "second", "cls", "component", "place", "grams", "prefix")
+    place = F.struct("gram", "x", "y")
+    order = ["gram", "x", "y", "second", "cls"]
 
-    def run(batches):
-        own, rows = None, []
+    def promising(batches):
+        def done(key, rows, first):
+            keep = np.flatnonzero(Group(rows).promising(key[0], percent, first)).tolist()
+            cols = list(zip(*[(*key, first is not None and i >= first, *rows[i]) for i in keep])) or [[]] * len(_MEETS)
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], _MEETS)
 
-        def out():
-            gram, x, y = own
-            second = [r[0] for r in rows]
-            if x == y:
-                edges = Group([r[1:] for r in rows]).edges(gram, percent)
-            else:
-                edges = Group([r[1:] for r in rows]).edges(gram, percent, second.index(True)) if True in second and False in second else []
+        types = [{"long": pa.int64(), "int": pa.int32(), "boolean": pa.bool_(), "binary": pa.binary()}[x.split()[1]] for x in _MEET.split(", ")]
+        return _groups(batches, done)
+
+    def linked(batches):
+        def done(key, rows, first):
+            edges = Group(rows).edges(key[0], percent, first)
             return pa.RecordBatch.from_arrays([pa.array([e[i] for e in edges], pa.int64()) for i in (0, 1)], ["a", "b"])
 
-        for b in batches:
-            for r in zip(*(c.to_pylist() for c in b.columns)):
-                if r[:3] != own:
-                    if rows:
-                        yield out()
-                    own, rows = r[:3], []
-                rows.append(r[3:])
-        if rows:
-            yield out()
+        return _groups(batches, done)
 
-    order = ["gram", "x", "y", "second", "cls"]
-    return dealt.repartition("gram", "x", "y").sortWithinPartitions(*order).mapInArrow(run, "a long, b long").distinct()
+    met = join_spread(dealt, held, ["cls"], place).select(_MEETS).repartition("gram", "x", "y").sortWithinPartitions(*order)
+    some = written(met.mapInArrow(promising, _MEET), "promising")
+    whole = join_spread(some, sets, ["cls"], place).select(*_MEETS, "grams").repartition("gram", "x", "y").sortWithinPartitions(*order)
+    return whole.mapInArrow(linked, "a long, b long").distinct()
 
 
 def labelled(rows: DataFrame, edges: DataFrame) -> DataFrame:
@@ -387,7 +433,7 @@ def link(docs: DataFrame, size: int = 3, percent: int = 90, block: int = BLOCK)
 
     grams = map_batches(sets, exploded, "cls long, n long, gram long")
     often = grams.groupBy("gram").agg(F.count("*").alias("df")).filter("df > 1")
-    shared = join_spread(grams, often, ["gram"], F.col("cls"))
+    shared = grams.join(often, "gram")  # one narrow row a class; a hot n-gram's are split by the skew join
     # n-grams that only the class has come first; then by frequency and hash
     mine = Window.partitionBy("cls")
     ranked = shared.select("cls", "n", "gram", "df", F.count("*").over(mine).alias("common"), F.row_number().over(mine.orderBy("df", "gram")).alias("nth"))
@@ -404,10 +450,13 @@ def link(docs: DataFrame, size: int = 3, percent: int = 90, block: int = BLOCK)
     held = sets.join(first, "cls").select("cls", "grams", F.col("p.gram").alias("p"))
 
     def packed(b: pa.RecordBatch):
-        return pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([np.array(p, np.int64).tobytes() for p in b.column(2).to_pylist()], pa.binary())], ["cls", "grams", "prefix"])
+        sets = [np.frombuffer(g, np.uint64) for g in b.column(1).to_pylist()]
+        parts = [np.bincount((g >> np.uint64(56)).astype(np.int64), minlength=PARTS).astype("<u4").tobytes() for g in sets]
+        prefixes = [np.array(p, np.int64).tobytes() for p in b.column(2).to_pylist()]
+        return pa.RecordBatch.from_arrays([b.column(0), pa.array([len(g) for g in sets], pa.int64()), pa.array(parts, pa.binary()), pa.array(prefixes, pa.binary())], ["cls", "n", "parts", "prefix"])
 
-    held = map_batches(held, packed, "cls long, grams binary, prefix binary")
-    edges = stars.union(compared(rest, held, percent, block))
+    held = written(map_batches(held, packed, "cls long, n long, parts binary, prefix binary"), "held")
+    edges = stars.union(compared(rest, held, sets, percent, block))
     groups = written(labelled(classes.select("s1", "s2", "cls", "least"), written(edges, "links")), "groups")
     least = groups.groupBy("component").agg(F.min("least").alias("component_id"))
     groups = written(join_spread(groups, least, ["component"], F.col("cls")).select("s1", "s2", "component_id"), "least")
