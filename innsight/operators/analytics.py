@@ -277,10 +277,11 @@ def grid_counts(df: DataFrame, lat: str, lon: str, size_deg: float, by: list[str
 
 
 def grid_mean(df: DataFrame, lat: str, lon: str, value: str, size_deg: float) -> DataFrame:
-    """GEO5: mean value per grid cell."""
+    """GEO5: mean value per grid cell, summed in whole hundredths so that it
+    does not hang on the order of the rows."""
     cy, cx = GEO.square_cell(lat, lon, size_deg)
     return (df.where(F.col(value).isNotNull()).groupBy(cy.alias("cell_lat"), cx.alias("cell_lon"))
-            .agg(F.avg(value).alias("mean_value"), F.count(F.lit(1)).alias("n")))
+            .agg((F.sum(F.round(F.col(value) * 100).cast("long")) / (F.count(F.lit(1)) * 100)).alias("mean_value"), F.count(F.lit(1)).alias("n")))
 
 
 def distance_price_trend(df: DataFrame, lat: str, lon: str, price: str) -> DataFrame:

@@ -9,11 +9,11 @@ either one wide ``agg`` or a ``stack`` into (column, value) rows followed by
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .ranking import exact_quantiles
+from .ranking import column_quantiles
 
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
@@ -72,16 +72,14 @@ def low_cardinality_values(df: DataFrame, max_distinct: int = 14, cols: list[str
 
 def describe(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """AGG9: count, mean, std, min, 25/50/75 % (exact, interpolated), max and
-    missing % per numeric column; quartiles come from the skew-safe exact
-    quantile operator on the stacked (column, value) rows."""
-    cols = cols or numeric_columns(df)
-    st = _stack(df, cols, "double")
-    base = st.groupBy("column_name").agg(
-        F.count("value").alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"), F.max("value").alias("max"),
-        (F.sum(F.col("value").isNull().cast("long")) * 100.0 / F.count(F.lit(1))).cast("double").alias("missing_pct"))
-    qs = exact_quantiles(st, "value", [0.25, 0.5, 0.75], ["column_name"], names=["q25", "q50", "q75"])
-    return base.join(qs, "column_name", "left")
+    missing % per numeric column, from one aggregate over all columns and one
+    scan for the quartiles."""
+    def figures(c: Column) -> list[Column]:
+        return [F.count(c).alias("count"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"), F.min(c).alias("min"), F.max(c).alias("max"),
+                F.try_divide(F.count_if(c.isNull()) * 100.0, F.count(F.lit(1))).cast("double").alias("missing_pct")]
+
+    out = column_quantiles(df, cols or numeric_columns(df), [0.25, 0.5, 0.75], ["q25", "q50", "q75"], figures)
+    return out.select("column_name", "count", "mean", "std", "min", "max", "missing_pct", "q25", "q50", "q75")
 
 
 def domain_checks(listings_raw: DataFrame, price_col: str = "price_clean") -> DataFrame:

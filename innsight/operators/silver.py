@@ -1,9 +1,8 @@
 """Bronze -> Silver cleaning jobs (JOB1 listings, JOB2 calendar, JOB3 reviews).
 
-Each job is a lazy DataFrame plan built from native column expressions.  Two
-scalars are computed eagerly because later expressions depend on them: the
-99th-percentile price cap (exact, skew-safe, one number) and the cell size of
-the duplicate search.  Row counts in/out are available through
+Each job is a lazy DataFrame plan built from native column expressions.  One
+scalar is computed eagerly because later expressions depend on it: the
+99th-percentile price cap (exact, skew-safe).  Row counts in/out are available through
 ``pyspark.sql.Observation`` (see ``plans/medallion.py``) without extra jobs.
 """
 
@@ -13,9 +12,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import cleaning as C
-from ..session import materialize
+from ..session import bucketed
 from ..sources.fixtures import CITY_NAME
-from .duplicates import DUPLICATE_DISTANCE_KM, duplicate_pairs, flag_duplicates
+from .duplicates import DUPLICATE_DISTANCE_KM, Duplicates
 from .ranking import exact_quantiles
 
 # Fixed values of the cleaning rules.
@@ -63,17 +62,23 @@ def collapse_rare(df: DataFrame, col: str, out: str, min_pct: float = RARE_CATEG
               .drop("_cat", "_pct"))
 
 
-def clean_listings(raw: DataFrame, city: str = CITY_NAME,
-                   duplicate_km: float = DUPLICATE_DISTANCE_KM) -> DataFrame:
-    """JOB1: Bronze listings -> Silver listings.  The price-filtered rows feed
-    three branches (cap, pair search, main path), so they are checkpointed
-    once instead of recomputing the raw scan and joins per branch."""
-    df = materialize(valid_price(raw))
+def priced_listings(raw: DataFrame) -> DataFrame:
+    """The price-filtered raw listings as a table: they feed the cap, the
+    duplicate search and the main path."""
+    return bucketed(valid_price(raw), "id", counted=raw)
+
+
+def clean_listings(raw: DataFrame, city: str = CITY_NAME, duplicate_km: float = DUPLICATE_DISTANCE_KM) -> DataFrame:
+    """JOB1: Bronze listings -> Silver listings."""
+    return finish_listings(priced_listings(raw), city, duplicate_km)
+
+
+def finish_listings(df: DataFrame, city: str = CITY_NAME, duplicate_km: float = DUPLICATE_DISTANCE_KM) -> DataFrame:
+    """JOB1 after the price filter."""
     cap = price_cap_value(df)
     df = cap_prices(df, cap)
-    # the pair search runs on the price-filtered rows with unrounded coordinates
-    pairs = duplicate_pairs(df, duplicate_km)
-    df = flag_duplicates(df, pairs)
+    # on the price-filtered rows with unrounded coordinates
+    df = Duplicates(df, duplicate_km).flag(df)
     for c in LISTING_DATE_COLUMNS:
         if c in df.columns:
             df = df.withColumn(c, C.to_date_or_null(c))

@@ -218,10 +218,12 @@ def tukey_hsd(df: DataFrame, value: str, group: str, min_n: int = 0, alpha: floa
 
 def tukey_summary(pairs: DataFrame, top: int = 10) -> DataFrame:
     """STA8: how many pairs are rejected, and the ``top`` largest significant
-    differences (a row each, by absolute difference)."""
+    differences (a row each, by absolute difference; one row without a pair if
+    nothing is rejected)."""
     n = pairs.agg(F.count(F.lit(1)).alias("pairs"), F.count_if("reject").alias("rejected"))
     best = pairs.where("reject").orderBy(F.abs("meandiff").desc(), "group1", "group2").limit(top)
-    return attach_row(best.select("group1", "group2", "meandiff", "p_adj"), n)
+    best = best.select("group1", "group2", "meandiff", "p_adj", F.lit(1).alias("_one"))
+    return n.withColumn("_one", F.lit(1)).join(best, "_one", "left").select("group1", "group2", "meandiff", "p_adj", "pairs", "rejected")
 
 
 def t_intervals(df: DataFrame, value: str, group: str) -> DataFrame:

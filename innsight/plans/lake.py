@@ -3,7 +3,8 @@
 ``Lake`` builds each layer's DataFrame plan once (lazily) so several queries
 share the same plans and the same eager scalars (price cap).  Silver and Gold
 are Parquet tables in the shared folder, so what reads them prunes columns and
-pushes filters down.
+pushes filters down.  Silver tables are bucketed by the listing key, so the
+facts' summaries and the Gold join need no exchange.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators import gold as G
 from ..operators import silver as S
 from ..operators import warehouse as W
-from ..session import materialize
+from ..session import bucketed, materialize
 from ..sources import fixtures as FX
 
 _LAKES: dict[tuple[int, str], "Lake"] = {}
@@ -49,17 +50,22 @@ class Lake:
         return FX.neighbourhoods_raw(self.spark, self.sf_dir)
 
     # Silver
+    @cached_property
+    def priced(self) -> DataFrame:
+        """The listings with a valid price, every other column raw."""
+        return S.priced_listings(self.listings_raw)
+
     @cached_property
     def listings(self) -> DataFrame:
-        return materialize(S.clean_listings(self.listings_raw))
+        return bucketed(S.finish_listings(self.priced), "id", counted=self.priced)
 
     @cached_property
     def calendar(self) -> DataFrame:
-        return materialize(S.clean_calendar(self.calendar_raw))
+        return bucketed(S.clean_calendar(self.calendar_raw), "listing_id", counted=self.calendar_raw)
 
     @cached_property
     def reviews_flagged(self) -> DataFrame:
-        return materialize(S.flag_reviews(self.reviews_raw))
+        return bucketed(S.flag_reviews(self.reviews_raw), "listing_id", counted=self.reviews_raw)
 
     @cached_property
     def reviews(self) -> DataFrame:

@@ -423,7 +423,7 @@ def geo4_density_grid(lk):
 
 @register("geo5_score_grid", O.rounded(
     "SELECT CAST(floor(latitude / 0.01) AS BIGINT) AS cell_lat, CAST(floor(longitude / 0.01) AS BIGINT) AS cell_lon, "
-    "round(avg(review_scores_rating), 4) AS mean_value, count(*) AS n, "
+    "round(sum(CAST(round(review_scores_rating * 100) AS BIGINT)) / (count(*) * 100.0), 4) AS mean_value, count(*) AS n, "
     "(SELECT quantile_cont(review_scores_rating, 0.05) FROM gold WHERE latitude IS NOT NULL AND longitude IS NOT NULL) AS colour_floor "
     "FROM gold WHERE review_scores_rating IS NOT NULL AND latitude IS NOT NULL AND longitude IS NOT NULL GROUP BY 1, 2", ["mean_value", "colour_floor"]))
 def geo5_score_grid(lk):

@@ -106,7 +106,7 @@ def q4_weekend_availability(lk):
 @register("joi5_duplicate_pairs", O.rounded("SELECT * FROM dup_pairs", ["distance_km"]))
 def joi5_duplicate_pairs(lk):
     """JOI5: same-host pairs under 50 m (on price-filtered, unrounded rows)."""
-    return DUP.duplicate_pairs(valid_price(lk.listings_raw))
+    return DUP.duplicate_pairs(lk.priced)
 
 
 @register("dq11_duplicate_summary", O.with_ctes(
@@ -114,34 +114,34 @@ def joi5_duplicate_pairs(lk):
     "(SELECT count(*) FROM dup_ids) AS listings_involved, count(DISTINCT host_id) AS hosts_involved FROM dup_pairs"))
 def dq11_duplicate_summary(lk):
     """DQ11 / AGG30: pair count, listings and hosts involved."""
-    return DUP.duplicate_summary(DUP.duplicate_pairs(valid_price(lk.listings_raw)))
+    return DUP.Duplicates(lk.priced).summary()
 
 
 @register("agg30_pairs_per_host", O.with_ctes(
     "SELECT host_id, count(*) AS pair_count FROM dup_pairs GROUP BY host_id"))
 def agg30_pairs_per_host(lk):
     """AGG30: candidate pairs per host."""
-    return DUP.pairs_per_host(DUP.duplicate_pairs(valid_price(lk.listings_raw)))
+    return DUP.Duplicates(lk.priced).per_host()
 
 
 @register("set2_flagged_ids", O.with_ctes("SELECT id FROM dup_ids"))
 def set2_flagged_ids(lk):
     """SET2: ids on either side of a pair, de-duplicated."""
-    return DUP.flagged_ids(DUP.duplicate_pairs(valid_price(lk.listings_raw)))
+    return DUP.Duplicates(lk.priced).flagged().select("id")
 
 
 @register("agg6_price_cap", O.rounded("SELECT cap AS price_cap FROM l_cap", ["price_cap"]))
 def agg6_price_cap(lk):
     """AGG6: exact 0.99 quantile of the valid prices."""
     from ..operators.ranking import exact_quantiles
-    return exact_quantiles(valid_price(lk.listings_raw), "price_clean", [0.99], names=["price_cap"])
+    return exact_quantiles(lk.priced, "price_clean", [0.99], names=["price_cap"])
 
 
 @register("agg14_property_type_groups", O.with_ctes(
     "SELECT property_type_grouped, count(*) AS listing_count FROM listings_silver GROUP BY property_type_grouped"))
 def agg14_property_type_groups(lk):
     """AGG14: rare categories collapsed; counts per final group."""
-    d = collapse_rare(valid_price(lk.listings_raw), "property_type", "property_type_grouped")
+    d = collapse_rare(lk.priced, "property_type", "property_type_grouped")
     return d.groupBy("property_type_grouped").agg(F.count(F.lit(1)).alias("listing_count"))
 
 

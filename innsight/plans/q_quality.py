@@ -319,7 +319,7 @@ def agg11_distinct_counts(lk):
 def agg12_distinct_stacked(lk):
     """AGG12: distinct over two stacked id columns."""
     from ..operators.duplicates import duplicate_pairs
-    p = duplicate_pairs(valid_price(lk.listings_raw))
+    p = duplicate_pairs(lk.priced)
     return (p.select(F.col("id_a").alias("id")).union(p.select(F.col("id_b").alias("id")))
             .agg(F.count_distinct("id").alias("distinct_ids")))
 

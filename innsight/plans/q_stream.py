@@ -11,6 +11,7 @@ from ..operators import warehouse as W
 from ..session import scratch_path
 from ..sources import files as FS
 from ..streaming import incremental as INC
+from ..streaming.loads import COUNTS, CommittedTable, counts_with_late_rows, monday_week, upsert_stream
 from ..streaming.reviews_stream import weekly_review_counts
 from . import oracle as O
 from .registry import register
@@ -122,16 +123,20 @@ def src13_pipeline_run(lk):
     "SELECT id, last_scraped FROM listings_raw WHERE last_scraped > "
     f"(SELECT max(last_scraped) FROM listings_raw WHERE last_scraped <= '{MARK_CUTOFF}')"))
 def str1_high_water_mark(lk):
-    """STR1: only rows newer than the stored high-water mark."""
-    stored = lk.listings_raw.where(F.col("last_scraped") <= MARK_CUTOFF)
-    mark = INC.high_water_mark(stored, "last_scraped")
-    return INC.newer_than(lk.listings_raw, "last_scraped", mark).select("id", "last_scraped")
+    """STR1: only rows newer than the high-water mark that the last load committed."""
+    rows = lk.listings_raw.select("id", "last_scraped")
+    loaded = CommittedTable(lk.spark, _scratch(lk, "scrapes"))
+    loaded.append(rows.where(F.col("last_scraped") <= MARK_CUTOFF), "first", mark_col="last_scraped")
+    return loaded.newer(rows, "last_scraped")
 
 
-@register("str2_upsert", O.with_ctes(
+_STR2 = O.with_ctes(
     "SELECT id, last_scraped, availability_365 FROM listings_raw WHERE last_scraped <= '2025-09-26' "
     "AND id NOT IN (SELECT id FROM listings_raw WHERE last_scraped >= '2025-09-24') "
-    "UNION ALL SELECT id, last_scraped, availability_365 + 1 FROM listings_raw WHERE last_scraped >= '2025-09-24'"))
+    "UNION ALL SELECT id, last_scraped, availability_365 + 1 FROM listings_raw WHERE last_scraped >= '2025-09-24'")
+
+
+@register("str2_upsert", _STR2)
 def str2_upsert(lk):
     """STR2: upsert keyed on id (anti-join + union)."""
     r = lk.listings_raw.select("id", "last_scraped", "availability_365")
@@ -140,17 +145,33 @@ def str2_upsert(lk):
     return INC.upsert(current, batch)
 
 
+@register("str2_upsert_stream", _STR2)
+def str2_upsert_stream(lk):
+    """STR2 in a stream: the newer snapshot arrives first, then the older one."""
+    r = lk.listings_raw.select("id", "last_scraped", "availability_365")
+    old = r.where(F.col("last_scraped") <= "2025-09-26").withColumn("seq", F.lit(1))
+    new = r.where(F.col("last_scraped") >= "2025-09-24").withColumn("availability_365", F.col("availability_365") + 1).withColumn("seq", F.lit(2))
+    run = _scratch(lk, "upserts")
+    table = CommittedTable(lk.spark, f"{run}/table")
+    for part in (new, old):
+        part.write.mode("append").parquet(f"{run}/source")
+        upsert_stream(lk.spark.readStream.schema(part.schema).parquet(f"{run}/source"), table, f"{run}/checkpoint", "id", "seq")
+    return table.read(old.schema).drop("seq")
+
+
 @register("str3_append_partitioned", O.with_ctes(
     "SELECT CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month, count(*) AS days "
     "FROM calendar_silver GROUP BY 1, 2"))
 def str3_append_partitioned(lk):
     """STR3 + SRC12: append-only calendar facts partitioned by city, year,
-    month; read back with partition discovery."""
+    month, as a committed load; read back with partition discovery."""
     path = _scratch(lk, "calendar-facts")
     facts = lk.calendar.withColumn("city", F.lit("Cape Town")).withColumn("year", F.year("date")).withColumn(
         "month", F.month("date"))
-    INC.append_partitioned(facts, path, ["city", "year", "month"])
-    back = lk.spark.read.parquet(path)
+    table = CommittedTable(lk.spark, path)
+    for _ in range(2):  # a load that is run again adds nothing
+        table.append(facts, "calendar", ["city", "year", "month"])
+    back = table.read(facts.schema)
     return back.groupBy(F.col("year").cast("int").alias("year"), F.col("month").cast("int").alias("month")).agg(
         F.count(F.lit(1)).alias("days"))
 
@@ -198,3 +219,27 @@ def str5_city_metrics(lk):
 def str6_weekly_review_stream(lk):
     """STR6: Structured Streaming weekly counts with a watermark."""
     return weekly_review_counts(lk.reviews.where(F.col("date").isNotNull()))
+
+
+@register("str6_late_rows", O.with_ctes(
+    "SELECT batch, count(*) AS rows_in, count(*) FILTER (NOT late) AS counted, count(*) FILTER (late) AS late FROM ("
+    "SELECT batch, batch = 2 AND week_end < (SELECT max(date) FROM reviews_silver WHERE id % 20 <> 0) - 7 AS late FROM ("
+    "SELECT CAST(CASE WHEN id % 20 = 0 THEN 2 WHEN date < DATE '1998-10-01' THEN 0 ELSE 1 END AS BIGINT) AS batch, "
+    "CAST(date_trunc('week', date) AS DATE) + 6 AS week_end FROM reviews_silver WHERE date IS NOT NULL) a) b GROUP BY batch"))
+def str6_late_rows(lk):
+    """STR6: reviews in three arrivals, the last one of stragglers; rows in by
+    the stream's progress, counted by week, and set aside as late."""
+    r = lk.reviews.where(F.col("date").isNotNull()).select("listing_id", "id", "date")
+    straggler = F.col("id") % 20 == 0
+    run = _scratch(lk, "late-reviews")
+    counts, late = CommittedTable(lk.spark, f"{run}/counts"), CommittedTable(lk.spark, f"{run}/late")
+    seen = []
+    for part in (r.where(~straggler & (F.col("date") < "1998-10-01")), r.where(~straggler & (F.col("date") >= "1998-10-01")), r.where(straggler)):
+        part.write.mode("append").parquet(f"{run}/source")
+        stream = lk.spark.readStream.schema(r.schema).parquet(f"{run}/source")
+        seen += counts_with_late_rows(stream, "date", monday_week, 7, counts, late, f"{run}/checkpoint")
+    rows_in = lk.spark.createDataFrame([(p["batchId"], p["numInputRows"]) for p in seen], "batch long, rows_in long")
+    counted = counts.read(COUNTS).groupBy("batch").agg(F.sum("rows").alias("counted"))
+    aside = late.read(r.schema.add("batch", "long")).groupBy("batch").agg(F.count("*").alias("late"))
+    out = rows_in.join(counted, "batch", "left").join(aside, "batch", "left")
+    return out.select("batch", "rows_in", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("counted", "late")])

@@ -177,7 +177,9 @@ def listings_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = (o.join(c, o.o_custkey == c.c_custkey)
              .join(n, F.col("c_nationkey") == F.col("n_nationkey"))
              .join(hl, F.col("hl_custkey") == F.col("o_custkey")))
-    return _project(base, LISTINGS_COLUMNS)
+    # one small file is one task; the wide text expressions run in as many as there are shuffle partitions
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return _project(base.repartition(n, "o_orderkey"), LISTINGS_COLUMNS)
 
 
 def calendar_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
