@@ -54,7 +54,9 @@ from ..session import ship_package
 from .common import col, components, doc_key, join_spread, map_batches, texts, written
 
 #: Documents and n-grams of a slice; its documents' numbers fit 16 bits.
-SLICE, GRAMS = 8192, 4_000_000
+SLICE, GRAMS = 8192, 2_000_000
+#: Words whose hashes a task remembers.
+KNOWN = 1 << 17
 #: N-grams of a range, and classes of one n-gram that are compared at once.
 RANGE, BLOCK = 2_000_000, 512
 #: Parts of the hash space in the suffix filter.
@@ -72,7 +74,7 @@ class WordHashes(dict):
         return h
 
     def of(self, words: list[bytes]) -> np.ndarray:
-        if len(self) > 1 << 20:
+        if len(self) > KNOWN:
             self.clear()
         return np.array([self[w] for w in words], np.uint64)
 
@@ -132,7 +134,7 @@ def _sliced(bits: int, size: int):
             types = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.binary()]
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], _NAMES)
 
-        for b in batches:
+        for b in (whole.slice(at, 512) for whole in batches for at in range(0, whole.num_rows, 512)):
             for doc, k1, k2, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), b.column(3).cast(pa.binary())):
                 g = gram_set(text.as_py() or b"", size, known)
                 digest = xxhash.xxh3_128_digest(g.tobytes())
