@@ -223,18 +223,18 @@ def str6_weekly_review_stream(lk):
 
 @register("str6_late_rows", O.with_ctes(
     "SELECT batch, count(*) AS rows_in, count(*) FILTER (NOT late) AS counted, count(*) FILTER (late) AS late FROM ("
-    "SELECT batch, batch = 2 AND week_end < (SELECT max(date) FROM reviews_silver WHERE id % 20 <> 0) - 7 AS late FROM ("
-    "SELECT CAST(CASE WHEN id % 20 = 0 THEN 2 WHEN date < DATE '1998-10-01' THEN 0 ELSE 1 END AS BIGINT) AS batch, "
+    "SELECT batch, batch = 2 AND week_end < (SELECT max(date) FROM reviews_silver WHERE id % 20 <> 1) - 7 AS late FROM ("
+    "SELECT CAST(CASE WHEN id % 20 = 1 THEN 2 WHEN date < DATE '1995-07-01' THEN 0 ELSE 1 END AS BIGINT) AS batch, "
     "CAST(date_trunc('week', date) AS DATE) + 6 AS week_end FROM reviews_silver WHERE date IS NOT NULL) a) b GROUP BY batch"))
 def str6_late_rows(lk):
     """STR6: reviews in three arrivals, the last one of stragglers; rows in by
     the stream's progress, counted by week, and set aside as late."""
     r = lk.reviews.where(F.col("date").isNotNull()).select("listing_id", "id", "date")
-    straggler = F.col("id") % 20 == 0
+    straggler = F.col("id") % 20 == 1
     run = _scratch(lk, "late-reviews")
     counts, late = CommittedTable(lk.spark, f"{run}/counts"), CommittedTable(lk.spark, f"{run}/late")
     seen = []
-    for part in (r.where(~straggler & (F.col("date") < "1998-10-01")), r.where(~straggler & (F.col("date") >= "1998-10-01")), r.where(straggler)):
+    for part in (r.where(~straggler & (F.col("date") < "1995-07-01")), r.where(~straggler & (F.col("date") >= "1995-07-01")), r.where(straggler)):
         part.write.mode("append").parquet(f"{run}/source")
         stream = lk.spark.readStream.schema(r.schema).parquet(f"{run}/source")
         seen += counts_with_late_rows(stream, "date", monday_week, 7, counts, late, f"{run}/checkpoint")
