@@ -194,8 +194,8 @@ f AS (SELECT doc_id, lang, len(words) AS n_words, length(bare) AS word_chars,
           len(words) - len(list_filter(words, lambda w: list_contains(known, lower(w))))) END AS commons
       FROM s_{quality.CLASSES[-1][0]} LEFT JOIN c USING (doc_id)),
 ref AS (SELECT lang, [{', '.join(f'sum(classes[{i}])' for i in range(1, n + 1))}] AS cr, [{', '.join(f'sum(commons[{i}])' for i in range(1, m + 1))}] AS wr FROM f WHERE known IS NOT NULL GROUP BY lang),
-whole AS (SELECT [{', '.join(f'sum(classes[{i}])' for i in range(1, n + 1))}] AS cr FROM f),
-j AS (SELECT f.*, coalesce(ref.cr, whole.cr) AS cr, ref.wr AS wr FROM f LEFT JOIN ref ON f.lang = ref.lang CROSS JOIN whole),
+other AS (SELECT lang, [{', '.join(f'sum(classes[{i}])' for i in range(1, n + 1))}] AS cr FROM f WHERE known IS NULL AND lang IS NOT NULL GROUP BY lang HAVING count(*) >= 50),
+j AS (SELECT f.*, coalesce(ref.cr, other.cr) AS cr, ref.wr AS wr FROM f LEFT JOIN ref ON f.lang = ref.lang LEFT JOIN other ON f.lang = other.lang),
 k AS (SELECT *, {distance('classes', 'cr')} AS cd, {distance('commons', 'wr')} AS wd, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM j)
 SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols, n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words,
        base_failed, round(cd, 6) AS class_distance, round(wd, 6) AS common_distance,

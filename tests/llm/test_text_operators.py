@@ -153,6 +153,33 @@ def test_quality_by_every_language(spark):
     assert len(out) == len(rows) == quality.keep_good(docs).count() + 1
 
 
+def test_quality_sql_states_every_language(spark, tmp_path):
+    import duckdb
+
+    from innsight.llm import queries
+    pick = lambda words, i: " ".join(words[(i * 7 + j * j) % len(words)] for j in range(80))
+    latin = [f"{chr(97 + i % 26)}{chr(97 + i // 26)}on" for i in range(200)]
+    letters = [f"{chr(1072 + i % 30)}{chr(1072 + i // 30)}ние" for i in range(200)]
+    few = {"en": ["the", "of", "and"], "fr": ["le", "de", "et"], "de": ["der", "und", "die"], "es": ["el", "de", "y"], "ru": []}
+    junk = " ".join(f"{i}#%${i * i}&&" for i in range(80))
+    rows = []
+    for k, (lang, common) in enumerate(few.items()):
+        source = letters if lang == "ru" else latin + common * 40
+        rows += [(1000 * k + i, pick(source, i), lang) for i in range(60)] + [(1000 * k + 900, junk, lang), (1000 * k + 901, pick(letters, 5), lang), (1000 * k + 902, None, lang)]
+    rows += [(9000 + i, pick(letters, i), "uk") for i in range(49)] + [(9100, pick(latin, 3), None), (9101, junk, None), (9102, "", None)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = queries.QUERIES["op10_divergence_rules"](spark, str(tmp_path)).toPandas().sort_values("doc_id").reset_index(drop=True)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    want = con.execute(queries.ORACLES["op10_divergence_rules"]).df().sort_values("doc_id").reset_index(drop=True)
+    assert len(got) == len(want) == len(rows)
+    for c in want.columns:
+        a, b = got[c], want[c]
+        assert (a.isna() == b.isna()).all() and (a.dropna().round(5) == b.dropna().round(5)).all(), c
+    kept = dict(zip(got["doc_id"], got["kept"]))
+    assert all(kept[4000 + i] for i in range(60)) and not kept[4900] and all(kept[9000 + i] for i in range(49))
+
+
 # lines
 
 def brute_lines(rows, long=lines.LONG):
