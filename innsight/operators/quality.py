@@ -60,14 +60,26 @@ def shape(tables: dict[str, DataFrame]) -> DataFrame:
 
 def low_cardinality_values(df: DataFrame, max_distinct: int = 14, cols: list[str] | None = None) -> DataFrame:
     """DQ3: value counts of text columns with 1..max_distinct distinct
-    non-null values.  (column, value) counts are one distributed groupBy; the
-    distinct count per column is a count over that result."""
-    cols = cols or string_columns(df)
-    vc = (_stack(df, cols).where(F.col("value").isNotNull())
-          .groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("value_count")))
-    nd = vc.groupBy("column_name").agg(F.count(F.lit(1)).alias("n_distinct"))
-    keep = nd.where((F.col("n_distinct") >= 1) & (F.col("n_distinct") <= max_distinct))
-    return vc.join(keep.select("column_name"), "column_name", "left_semi")
+    non-null values, from one aggregate.  Each column has a frequent-item
+    sketch, merged map-side, with room for four times as many values; a column
+    that never fills it is counted exactly.  One that overflows holds more
+    than ``max_distinct`` values and leaves: its sketch has more items, or
+    they miss some of the rows, or the column's HyperLogLog estimate is far
+    beyond the limit.  No value is a row before the columns are chosen."""
+    cols = string_columns(df) if cols is None else cols
+    if not cols:
+        return df.sparkSession.createDataFrame([], "column_name string, value string, value_count long")
+    room = 4 * (max_distinct + 1)
+    named = df.select(*[F.col(f"`{c}`").alias(f"v{i}") for i, c in enumerate(cols)])
+    row = named.agg(*[f for i in range(len(cols)) for f in (
+        F.expr(f"approx_top_k(v{i}, {max_distinct + 1}, {room}) FILTER (WHERE v{i} IS NOT NULL)").alias(f"top{i}"),
+        F.count(f"v{i}").alias(f"n{i}"), F.approx_count_distinct(f"v{i}").alias(f"d{i}"))])
+    reports = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"top{i}").alias("top"), F.col(f"n{i}").alias("n"), F.col(f"d{i}").alias("d"))
+                        for i, c in enumerate(cols)])
+    held = F.aggregate("top", F.lit(0).cast("long"), lambda s, x: s + x["count"])
+    few = F.size("top").between(1, max_distinct) & (held == F.col("n")) & (F.col("d") <= 2 * max_distinct)
+    return (row.select(F.inline(reports)).where(few).select("column_name", F.inline("top"))
+            .select("column_name", F.col("item").alias("value"), F.col("count").alias("value_count")))
 
 
 def describe(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
@@ -108,23 +120,34 @@ def with_facts(dims: DataFrame, facts: DataFrame, fact_key: str = "listing_id",
     return dims.join(facts.select(F.col(fact_key).alias(dim_key)), dim_key, "left_semi")
 
 
-def referential_integrity(listings: DataFrame, reviews: DataFrame, calendar: DataFrame) -> DataFrame:
-    """DQ5: (check_name, row_count) for orphans both ways and coverage."""
-    ids = listings.select("id")
-    checks = [
-        ("reviews_orphan_rows", orphans(reviews, ids)),
-        ("calendar_orphan_rows", orphans(calendar, ids)),
-        ("listings_without_reviews", without_facts(ids, reviews)),
-        ("listings_without_calendar", without_facts(ids, calendar)),
-        ("listings_with_reviews", with_facts(ids, reviews)),
-    ]
-    out = None
-    for name, df in checks:
-        part = df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("check_name"), "row_count")
-        out = part if out is None else out.unionByName(part)
+def key_presence(dims: DataFrame, facts: dict[str, DataFrame], fact_key: str = "listing_id", dim_key: str = "id") -> DataFrame:
+    """How many rows of ``dims`` and of each fact stand under a key: ``(key,
+    dims, <fact>...)``, null where a table lacks it.  Every table is counted by
+    its key in one scan before the counts meet, so a hot key is one row a task
+    and tables bucketed by the key need no exchange.  Null keys match nothing
+    and stay a row for each table."""
+    out = dims.groupBy(F.col(dim_key).alias("key")).agg(F.count(F.lit(1)).alias("dims"))
+    for name, f in facts.items():
+        out = out.join(f.groupBy(F.col(fact_key).alias("key")).agg(F.count(F.lit(1)).alias(name)), "key", "full")
     return out
 
 
+def referential_integrity(listings: DataFrame, reviews: DataFrame, calendar: DataFrame) -> DataFrame:
+    """DQ5: (check_name, row_count) for orphans both ways and coverage, from
+    one pass over each table."""
+    held = key_presence(listings, {"reviews": reviews, "calendar": calendar})
+    rows = lambda c, when: F.coalesce(F.sum(F.when(when, F.col(c))), F.lit(0)).cast("long")
+    checks = {
+        "reviews_orphan_rows": rows("reviews", F.col("dims").isNull()),
+        "calendar_orphan_rows": rows("calendar", F.col("dims").isNull()),
+        "listings_without_reviews": rows("dims", F.col("reviews").isNull()),
+        "listings_without_calendar": rows("dims", F.col("calendar").isNull()),
+        "listings_with_reviews": rows("dims", F.col("reviews").isNotNull()),
+    }
+    one = held.agg(*[c.alias(name) for name, c in checks.items()])
+    return one.select(F.inline(F.array(*[F.struct(F.lit(n).alias("check_name"), F.col(n).alias("row_count")) for n in checks])))
+
+
 def lookup_mismatches(values: DataFrame, value_col: str, reference: DataFrame, ref_col: str) -> DataFrame:
     """JOI8: distinct names on one side missing from the other, both ways:
     (side, name)."""

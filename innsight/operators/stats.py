@@ -22,7 +22,7 @@ from ..functions import dists
 from ..functions.derived import EFFECT_D_CUTS, EFFECT_ETA_CUTS, effect_size_words
 from .analytics import attach_row
 from ..session import materialize, ship_package
-from .ranking import bucketize, exact_quantiles, running_sums
+from .ranking import _small, bucketize, exact_quantiles, running_sums
 
 ALPHA = 0.05  # fixed value: significance level
 
@@ -475,32 +475,48 @@ def binned_lowess(df: DataFrame, x: str, y: str, bins: int = 100, frac: float =
     return t.withColumn("_one", F.lit(1)).groupBy("_one").applyInPandas(fit, "x double, smoothed double, n long")
 
 
-def kde_by_group(df: DataFrame, value: str, group: str, grid: int = 1000, fine: int = 50) -> DataFrame:
+def kde_by_group(df: DataFrame, value: str, group: str, grid: int = 1000, fine: int = 50, reach: float = 8.0) -> DataFrame:
     """STA20: Gaussian KDE per group with Scott's bandwidth (s n^-1/5) on a
     grid of ``grid`` points over the range widened by half its width each
-    side.  Values are averaged within bins of bandwidth / ``fine``, so a
-    group's task holds no more rows than its range has bins; a value lies at
-    most h = bandwidth / fine from its bin's mean, which changes the density
-    by at most (h / bandwidth)^2 / 2 of the kernel's peak (2e-4 of it)."""
-    src = df.select(F.col(group).alias("g"), F.col(value).cast("double").alias("v")).dropna()
+    side.  Values are averaged within bins of bandwidth / ``fine``; a value
+    lies at most h = bandwidth / fine from its bin's mean, which changes the
+    density by at most (h / bandwidth)^2 / 2 of the kernel's peak (2e-4 of
+    it).  A bin adds to the grid points within ``reach`` bandwidths, beyond
+    which the kernel is below exp(-reach^2 / 2) of its peak (1.3e-14), and the
+    sums are a shuffle over (group, grid point): at most fine * reach * grid
+    plus one row a bin, and no task holds a group.  A group of equal values has the bandwidth
+    n^-1/5 and all its grid points there."""
+    src = df.select(F.col(group).cast("string").alias("g"), F.col(value).cast("double").alias("v")).dropna()
     st = src.groupBy("g").agg(F.count(F.lit(1)).alias("n"), F.stddev_samp("v").alias("s"),
                               F.min("v").alias("lo"), F.max("v").alias("hi"))
-    j = src.join(st, "g")
-    w = F.col("s") * F.pow(F.col("n").cast("double"), -0.2) / fine
-    b = F.floor(F.when(w > 0, (F.col("v") - F.col("lo")) / F.nullif(w, F.lit(0.0))).otherwise(0.0))
-    binned = j.groupBy("g", "n", "s", "lo", "hi", b.alias("bin")).agg(F.count(F.lit(1)).alias("c"),
-                                                                      F.avg("v").alias("vc"))
-
-    def dens(pdf: pd.DataFrame) -> pd.DataFrame:
-        n, s, lo, hi = pdf["n"].iat[0], pdf["s"].iat[0], pdf["lo"].iat[0], pdf["hi"].iat[0]
-        bw = (s if s and s > 0 else 1.0) * n ** (-0.2)
-        span = hi - lo
-        xs = np.linspace(lo - 0.5 * span, hi + 0.5 * span, grid)
-        z = (xs[:, None] - pdf["vc"].to_numpy()[None, :]) / bw
-        d = (np.exp(-0.5 * z * z) * pdf["c"].to_numpy()[None, :]).sum(axis=1) / (n * bw * math.sqrt(2 * math.pi))
-        return pd.DataFrame({"g": pdf["g"].iat[0], "x": xs, "density": d})
-
-    return binned.groupBy("g").applyInPandas(dens, "g string, x double, density double").withColumnRenamed("g", group)
+    spread = F.when(F.col("s") > 0, F.col("s")).otherwise(1.0)
+    span = F.col("hi") - F.col("lo")
+    st = materialize(st.select("g", "n", (spread * F.pow(F.col("n").cast("double"), -0.2)).alias("bw"), "lo", span.alias("span"),
+                               (F.col("lo") - span / 2).alias("x0"), (span * 2 / max(grid - 1, 1)).alias("step")))
+    binned = (_with_group_figures(src, st).groupBy("g", F.floor((F.col("v") - F.col("lo")) / F.col("bw") * fine).alias("bin"))
+              .agg(F.count(F.lit(1)).alias("c"), F.avg("v").alias("vc")))
+    at = lambda d: F.try_divide(F.col("vc") + d * F.col("bw") - F.col("x0"), F.col("step"))
+    first = F.coalesce(F.greatest(F.ceil(at(-reach)), F.lit(0)), F.lit(0)).cast("int")
+    last = F.coalesce(F.least(F.floor(at(reach)), F.lit(grid - 1)), F.lit(grid - 1)).cast("int")
+    near = _with_group_figures(binned, st).where(first <= last).withColumn("point", F.explode(F.sequence(first, last)))
+    z = (F.col("x0") + F.col("point") * F.col("step") - F.col("vc")) / F.col("bw")
+    sums = near.groupBy("g", "point").agg(F.sum(F.exp(-0.5 * z * z) * F.col("c")).alias("k"))
+    points = st.withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))))
+    density = F.coalesce("k", F.lit(0.0)) / (F.col("n") * F.col("bw") * math.sqrt(2 * math.pi))
+    return points.join(sums, ["g", "point"], "left").select(
+        F.col("g").alias(group), (F.col("x0") + F.col("point") * F.col("step")).alias("x"), density.alias("density"))
+
+
+def _with_group_figures(df: DataFrame, figures: DataFrame) -> DataFrame:
+    """``df`` with the figures of its group ``g``: broadcast if they are a
+    checked few, else the rows of a group are spread over 16 salted copies of
+    its one row."""
+    small, rows = _small(figures)
+    if rows is not None:
+        return df.join(small, "g")
+    copies = figures.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(15))))
+    salt = F.pmod(F.xxhash64(*[c for c in df.columns if c != "g"]), F.lit(16)).cast("int")
+    return df.withColumn("_salt", salt).join(copies, ["g", "_salt"]).drop("_salt")
 
 
 def seeded_sample(df: DataFrame, group: str, n: int, seed: int = 42, id_col: str = "id") -> DataFrame:

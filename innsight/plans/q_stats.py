@@ -162,6 +162,65 @@ def sta2_levene_h1(lk):
     return S.levene(src, "price_capped", "room_type").drop("levene_p")
 
 
+def _levene_sql(src, value, gexpr):
+    """Two-way Levene: ANOVA of the distances from the group medians."""
+    x = f"(SELECT {gexpr} AS g, CAST({value} AS DOUBLE) AS v FROM {src}) x0 WHERE v IS NOT NULL AND g IS NOT NULL"
+    lev = (f"(SELECT x.g, abs(x.v - m.med) AS v FROM (SELECT * FROM {x}) x "
+           f"JOIN (SELECT g, quantile_cont(v, 0.5) AS med FROM {x} GROUP BY g) m ON m.g = x.g) lev")
+    return O.rounded(f"SELECT f_stat AS levene_stat, df_between, df_within FROM ({_anova_sql(lev)}) a", ["levene_stat"])
+
+
+def _normality_sql(src, value, gexpr, name):
+    x = f"(SELECT {gexpr} AS g, CAST({value} AS DOUBLE) AS v FROM {src}) x0 WHERE v IS NOT NULL AND g IS NOT NULL"
+    return O.rounded(f"""
+SELECT g AS {name}, n, skewness, excess_kurtosis, n / 6.0 * (pow(skewness, 2) + pow(excess_kurtosis, 2) / 4.0) AS jarque_bera,
+       exp(-(n / 6.0 * (pow(skewness, 2) + pow(excess_kurtosis, 2) / 4.0)) / 2) AS jb_p_value
+FROM (SELECT g, n, m3 / pow(m2, 1.5) AS skewness, m4 / pow(m2, 2) - 3 AS excess_kurtosis
+      FROM (SELECT g, count(*) AS n, avg(pow(v - m, 2)) AS m2, avg(pow(v - m, 3)) AS m3, avg(pow(v - m, 4)) AS m4
+            FROM (SELECT g, v, avg(v) OVER (PARTITION BY g) AS m FROM {x}) y GROUP BY g) a) b""",
+                     ["skewness", "excess_kurtosis", "jarque_bera", "jb_p_value"])
+
+
+def _h2_frame(lk):
+    return lk.gold.where(F.col("host_is_superhost").isNotNull() & F.col("review_scores_rating").isNotNull()).select(
+        F.col("host_is_superhost").cast("string").alias("superhost"), F.col("review_scores_rating").cast("double").alias("review_scores_rating"))
+
+
+def _h3_frame(lk):
+    return lk.eda.select(_h3_group().alias("review_group"), F.col("price_capped").cast("double").alias("price_capped"))
+
+
+@register("sta2_levene_h2", _levene_sql(_H2_SRC, "review_scores_rating", "CAST(host_is_superhost AS VARCHAR)"))
+def sta2_levene_h2(lk):
+    """STA2 (H2): review score by superhost."""
+    return S.levene(_h2_frame(lk), "review_scores_rating", "superhost").drop("levene_p")
+
+
+@register("sta2_levene_h3", _levene_sql("eda", "price_capped", _H3_SQL))
+def sta2_levene_h3(lk):
+    """STA2 (H3): price by the number of reviews."""
+    return S.levene(_h3_frame(lk), "price_capped", "review_group").drop("levene_p")
+
+
+@register("sta3_normality_h2", _normality_sql(_H2_SRC, "review_scores_rating", "CAST(host_is_superhost AS VARCHAR)", "superhost"))
+def sta3_normality_h2(lk):
+    """STA3 (re-aimed, H2): review score by superhost."""
+    return S.normality_moments(_h2_frame(lk), "review_scores_rating", "superhost")
+
+
+@register("sta3_normality_h3", _normality_sql("eda", "price_capped", _H3_SQL, "review_group"))
+def sta3_normality_h3(lk):
+    """STA3 (re-aimed, H3): price by the number of reviews."""
+    return S.normality_moments(_h3_frame(lk), "price_capped", "review_group")
+
+
+@register("sta4_mann_whitney_h3", O.rounded(_mw_sql("eda", "price_capped", _H3_SQL, "'More than 10 reviews'", "'10 or fewer reviews'"),
+                                            ["u_stat", "z"]))
+def sta4_mann_whitney_h3(lk):
+    """STA4 (H3)."""
+    return S.mann_whitney(_h3_frame(lk), "price_capped", F.col("review_group"), "More than 10 reviews", "10 or fewer reviews").drop("p_value")
+
+
 @register("sta3_normality_by_room_type", O.rounded("""
 SELECT g AS room_type, n, skewness, excess_kurtosis, n / 6.0 * (pow(skewness, 2) + pow(excess_kurtosis, 2) / 4.0)
        AS jarque_bera, exp(-(n / 6.0 * (pow(skewness, 2) + pow(excess_kurtosis, 2) / 4.0)) / 2) AS jb_p_value
@@ -472,27 +531,40 @@ def sta8_tukey_summary(lk):
 @register("sta22_hypothesis_report")
 def sta22_hypothesis_report(lk):
     """STA22: one row per test with statistic, p, effect and verdict,
-    including the explicit 'not testable' row (weekend price: no price in the
-    calendar; availability asked instead, STA23)."""
+    with the checks before H1-H3 (normality of each group, equal variances)
+    and the 'not testable' row (weekend price) by the calendar's prices
+    (availability is asked instead, STA23)."""
     rows = []
     for name, w in (("H1 Welch t", _h1(lk)), ("H2 Welch t", _h2(lk)), ("H3 Welch t", _h3(lk))):
         rows.append(w.select(F.lit(name).alias("test"), F.col("t_stat").alias("statistic"), "p_value",
                              F.col("cohens_d").alias("effect")))
-    mw = S.mann_whitney(lk.eda, "price_capped", F.col("room_type"), "1-URGENT", "2-HIGH")
-    rows.append(mw.select(F.lit("H1 Mann-Whitney U").alias("test"), F.col("u_stat").alias("statistic"), "p_value",
-                          F.lit(None).cast("double").alias("effect")))
+    none = F.lit(None).cast("double").alias("effect")
+    h1 = lk.eda.where(F.col("room_type").isin("1-URGENT", "2-HIGH"))
+    h2, h3 = _h2_frame(lk), _h3_frame(lk)
+    pairs = (("H1", h1, "price_capped", "room_type", "1-URGENT", "2-HIGH"),
+             ("H2", h2, "review_scores_rating", "superhost", "true", "false"),
+             ("H3", h3, "price_capped", "review_group", "More than 10 reviews", "10 or fewer reviews"))
+    for name, df, value, group, first, second in pairs:
+        nm = S.normality_moments(df, value, group)
+        rows.append(nm.select(F.concat(F.lit(f"{name} normality: "), group).alias("test"), F.col("jarque_bera").alias("statistic"),
+                              F.col("jb_p_value").alias("p_value"), none))
+        lv = S.levene(df, value, group)
+        rows.append(lv.select(F.lit(f"{name} Levene").alias("test"), F.col("levene_stat").alias("statistic"), F.col("levene_p").alias("p_value"), none))
+        mw = S.mann_whitney(df, value, F.col(group), first, second)
+        rows.append(mw.select(F.lit(f"{name} Mann-Whitney U").alias("test"), F.col("u_stat").alias("statistic"), "p_value", none))
     an = S.anova(lk.eda, "price_capped", "neighbourhood_cleansed", min_n=20)
     rows.append(an.select(F.lit("H4 ANOVA F").alias("test"), F.col("f_stat").alias("statistic"), "p_value",
                           F.col("eta_squared").alias("effect")))
     lv = S.levene(lk.eda, "price_capped", "neighbourhood_cleansed", min_n=20)
-    rows.append(lv.select(F.lit("H4 Levene").alias("test"), F.col("levene_stat").alias("statistic"),
-                          F.col("levene_p").alias("p_value"), F.lit(None).cast("double").alias("effect")))
+    rows.append(lv.select(F.lit("H4 Levene").alias("test"), F.col("levene_stat").alias("statistic"), F.col("levene_p").alias("p_value"), none))
     out = rows[0]
     for r in rows[1:]:
         out = out.unionByName(r)
     out = out.withColumn("verdict", F.when(F.col("p_value") < S.ALPHA, "Reject H0").otherwise("Fail to reject H0"))
-    nt = lk.calendar.agg(F.count(F.lit(1)).alias("_n")).select(
+    priced = F.count_if(F.trim("price") != "")
+    nt = lk.calendar_raw.agg(priced.alias("_n")).select(
         F.lit("H5 weekend vs weekday price").alias("test"), F.lit(None).cast("double").alias("statistic"),
         F.lit(None).cast("double").alias("p_value"), F.lit(None).cast("double").alias("effect"),
-        F.lit("Not testable: calendar has no price").alias("verdict"))
+        F.when(F.col("_n") == 0, "Not testable: calendar has no price")
+         .otherwise(F.concat(F.lit("Not tested: calendar days with a price: "), F.col("_n").cast("string"))).alias("verdict"))
     return out.unionByName(nt)

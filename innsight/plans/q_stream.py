@@ -32,6 +32,39 @@ def src1_csv_roundtrip(lk):
     return FS.read_csv(lk.spark, path, FS.raw_schema(lk.listings_raw))
 
 
+_RAW = ("listings_raw", "reviews_raw", "calendar_raw")
+
+
+def _types_sql() -> str:
+    """A column's narrowest type by the share of its values that fit, each
+    value rendered as text."""
+    number = r"[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?"
+    fits = {"int": "regexp_full_match(v, '[+-]?[0-9]+') AND TRY_CAST(v AS INTEGER) IS NOT NULL",
+            "bigint": "regexp_full_match(v, '[+-]?[0-9]+') AND TRY_CAST(v AS BIGINT) IS NOT NULL",
+            "double": f"regexp_full_match(v, '{number}') OR v IN ('NaN', 'Infinity', '-Infinity')",
+            "date": "regexp_full_match(v, '[0-9]{4}-[0-9]{2}-[0-9]{2}') AND TRY_CAST(v AS DATE) IS NOT NULL",
+            "timestamp": "regexp_matches(v, '^[0-9]{4}-[0-9]{2}-[0-9]{2}([ T][0-9]{2}:[0-9]{2}|$)') AND TRY_CAST(v AS TIMESTAMP) IS NOT NULL",
+            "boolean": "lower(v) IN ('true', 'false')"}
+    rungs = " ".join(f"WHEN count(*) FILTER (WHERE {test}) = count(v) THEN '{t}'" for t, test in fits.items())
+    return " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, column_name, CASE WHEN count(v) = 0 THEN 'string' {rungs} ELSE 'string' END AS data_type "
+        f"FROM (SELECT column_name, nullif(v, '') AS v FROM (SELECT CAST(COLUMNS(*) AS VARCHAR) FROM {t}) x UNPIVOT INCLUDE NULLS (v FOR column_name IN (*))) y "
+        f"GROUP BY column_name"
+        for t in _RAW)
+
+
+@register("src1_inferred_types", O.with_ctes(_types_sql()))
+def src1_inferred_types(lk):
+    """SRC1: the types of the raw CSV files' columns, found from their text."""
+    out = None
+    for t in _RAW:
+        path = _scratch(lk, t + "-text")
+        FS.write_csv(getattr(lk, t), path)
+        part = FS.inferred_types(FS.read_text_csv(lk.spark, path)).select(F.lit(t).alias("table_name"), "column_name", "data_type")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 @register("src2_csv_projection", O.with_ctes(
     "SELECT listing_id, TRY_CAST(date AS DATE) AS date, available FROM calendar_raw"))
 def src2_csv_projection(lk):

@@ -8,7 +8,9 @@ header, multi-line records and ``"`` as escape.  Landing reads compressed
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -43,6 +45,58 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType, columns: list
     return df
 
 
+def read_text_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """A CSV scan of text columns named by the header."""
+    return (spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"').option("inferSchema", False)
+            .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
+
+
+#: Types from narrow to wide; a column takes the first that all its values fit.
+_NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+_LADDER: list[tuple[str, Callable[[Column], Column]]] = [
+    ("int", lambda v: v.rlike("^[+-]?[0-9]+$") & v.try_cast("int").isNotNull()),
+    ("bigint", lambda v: v.rlike("^[+-]?[0-9]+$") & v.try_cast("bigint").isNotNull()),
+    ("double", lambda v: v.rlike(_NUMBER) | v.isin("NaN", "Infinity", "-Infinity")),
+    ("date", lambda v: v.rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2}$") & v.try_cast("date").isNotNull()),
+    ("timestamp", lambda v: v.rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2}([ T][0-9]{2}:[0-9]{2}|$)") & v.try_cast("timestamp").isNotNull()),
+    ("boolean", lambda v: F.lower(v).isin("true", "false")),
+]
+
+
+def inferred_types(df: DataFrame) -> DataFrame:
+    """SRC1: ``(position, column_name, data_type)`` of the text columns of
+    ``df``, from one aggregate over all rows: a column's type is the narrowest
+    that holds every value that is neither null nor empty (int, bigint,
+    double; date, timestamp; boolean), else string.  The outcomes are counts,
+    so neither the order of the rows nor their partitions matter, and a bad
+    value in the last row is seen like one in the first.  A column without a
+    value is a string, as are integers mixed with dates.  Integers beyond a
+    bigint are doubles (the reader's own inference makes them decimals)."""
+    if not df.columns:
+        return df.sparkSession.createDataFrame([], "position int, column_name string, data_type string")
+    texts = df.select(*[F.nullif(F.col(f"`{c}`"), F.lit("")).alias(f"v{i}") for i, c in enumerate(df.columns)])
+    row = texts.agg(*[f for i in range(len(df.columns)) for f in (
+        F.count(f"v{i}").alias(f"n{i}"), *[F.count_if(fits(F.col(f"v{i}"))).alias(f"{t}{i}") for t, fits in _LADDER])])
+
+    def narrowest(i: int) -> Column:
+        out = F.when(F.col(f"n{i}") == 0, "string")
+        for t, _ in _LADDER:
+            out = out.when(F.col(f"{t}{i}") == F.col(f"n{i}"), t)
+        return out.otherwise("string")
+
+    return row.select(F.inline(F.array(*[F.struct(F.lit(i).alias("position"), F.lit(c).alias("column_name"), narrowest(i).alias("data_type"))
+                                         for i, c in enumerate(df.columns)])))
+
+
+def read_inferred_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """SRC1: a CSV scan with the types of ``inferred_types`` (as many rows
+    reach the driver as there are columns)."""
+    text = read_text_csv(spark, path, multi_line)
+    types = inferred_types(text).orderBy("position").collect()
+    return text.select(*[F.nullif(F.col(f"`{r['column_name']}`"), F.lit("")).try_cast(r["data_type"]).alias(r["column_name"]) if r["data_type"] != "string"
+                         else F.col(f"`{r['column_name']}`") for r in types])
+
+
 def write_csv(df: DataFrame, path: str, compression: str | None = None) -> None:
     w = (df.write.mode("overwrite").option("header", True).option("escape", '"')
          .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
