@@ -17,7 +17,6 @@ MIN_NIGHT_LABELS = ["1 night", "2 nights", "3–7 nights", "8–30 nights", "30+
 DEMAND_TIER_BINS = [-1, 0, 5, 15, 30, 9999]
 DEMAND_TIER_LABELS = ["Inactive (0)", "Low (1–5)", "Moderate (6–15)", "High (16–30)", "Very High (30+)"]
 HOST_TYPE_LABELS = ["Casual (1 listing)", "Semi-Pro (2–5)", "Commercial (6+)"]
-SUPERHOST_LABELS = ["Not Superhost", "Superhost"]
 EFFECT_D_CUTS = [0.2, 0.5, 0.8]
 EFFECT_ETA_CUTS = [0.01, 0.06, 0.14]
 EFFECT_WORDS = ["Negligible", "Small", "Medium", "Large"]

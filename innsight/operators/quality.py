@@ -244,7 +244,17 @@ def schema_listing(tables: dict[str, DataFrame]) -> DataFrame:
     return spark.createDataFrame(rows, "file string, ordinal int, column_name string, data_type string")
 
 
-def sample_row(df: DataFrame, order_col: str) -> DataFrame:
-    """SRC5: the first row (by ``order_col``) shown as (column_name, value)."""
-    first = df.orderBy(F.col(order_col).asc_nulls_last()).limit(1)
+def sample_row(df: DataFrame, *order_cols: str) -> DataFrame:
+    """SRC5: the first row (by ``order_cols``) shown as (column_name, value)."""
+    first = df.orderBy(*[F.col(c).asc_nulls_last() for c in order_cols]).limit(1)
     return _stack(first, df.columns)
+
+
+def sample_rows(tables: dict[str, tuple[DataFrame, list[str]]]) -> DataFrame:
+    """SRC5: (table_name, column_name, value) of a sample row of each table,
+    the first in the order of its columns given; a table without rows has none."""
+    parts = [sample_row(df, *order).select(F.lit(name).alias("table_name"), "column_name", "value") for name, (df, order) in tables.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

@@ -116,8 +116,3 @@ def flag_reviews(raw: DataFrame, min_len: int = MIN_COMMENT_LENGTH) -> DataFrame
     return (raw.withColumn("date", C.to_date_or_null("date"))
                .withColumn("comments", C.fill_text("comments"))
                .withColumn("is_low_quality", C.is_short_text("comments", min_len)))
-
-
-def clean_reviews(raw: DataFrame, min_len: int = MIN_COMMENT_LENGTH) -> DataFrame:
-    """JOB3: reviews with short comments removed (FLT3)."""
-    return flag_reviews(raw, min_len).where(~F.col("is_low_quality"))

@@ -313,10 +313,11 @@ def _inverse(s: np.ndarray) -> np.ndarray:
 
 
 def _solved(df: DataFrame, y: str, xs: list[str]) -> dict:
-    """The model's terms from the centred products of the complete rows."""
+    """The model's terms from the centred products of the complete rows; no
+    more than their number where it leaves no degree of freedom."""
     n, means, s = centred_products(df.dropna(subset=[y, *xs]), [*xs, y])
     if n <= len(xs) + 1:
-        raise ValueError(f"{n} complete rows are too few for {len(xs) + 1} terms")
+        return {"n": n}
     sxx, sxy, mx, my = s[:-1, :-1], s[:-1, -1], means[:-1], means[-1]
     inv = _inverse(sxx)
     slopes = inv @ sxy
@@ -325,6 +326,9 @@ def _solved(df: DataFrame, y: str, xs: list[str]) -> dict:
 
 
 def _coefficients(df: DataFrame, xs: list[str], m: dict) -> DataFrame:
+    schema = "term string, coef double, std_err double, t double, p_value double, ci_low double, ci_high double"
+    if "beta" not in m:
+        return df.sparkSession.createDataFrame([(term, *[None] * 6) for term in ["const", *xs]], schema)
     dfr = m["n"] - len(xs) - 1
     se = np.sqrt(np.maximum(m["unscaled"] * m["sse"] / dfr, 0.0))
     tcrit = dists.t_ppf(1 - ALPHA / 2, dfr)
@@ -332,19 +336,26 @@ def _coefficients(df: DataFrame, xs: list[str], m: dict) -> DataFrame:
     for term, b, e in zip(["const", *xs], m["beta"].tolist(), se.tolist()):
         t = b / e if e > 0 else float("nan")
         rows.append((term, b, e, t, dists.t_sf2(t, dfr), b - tcrit * e, b + tcrit * e))
-    return df.sparkSession.createDataFrame(rows, "term string, coef double, std_err double, t double, p_value double, "
-                                                 "ci_low double, ci_high double")
+    return df.sparkSession.createDataFrame(rows, schema)
 
 
 def _residuals(df: DataFrame, y: str, xs: list[str], beta: np.ndarray, *keep: str) -> DataFrame:
-    fitted = F.lit(float(beta[0]))
+    known = lambda b: F.lit(None if math.isnan(b) else b).cast("double")
+    fitted = known(float(beta[0]))
     for b, x in zip(beta[1:].tolist(), xs):
-        fitted = fitted + F.lit(b) * F.col(x).cast("double")
+        fitted = fitted + known(b) * F.col(x).cast("double")
     actual = F.col(y).cast("double")
     return df.dropna(subset=[y, *xs]).select(*keep, actual.alias("actual"), fitted.alias("fitted"), (actual - fitted).alias("residual"))
 
 
+FIT_METRICS = ["n", "df_model", "df_resid", "r_squared", "adj_r_squared", "f_stat", "f_p_value", "log_likelihood", "aic", "bic",
+               "durbin_watson", "jarque_bera", "jb_p_value", "skew", "kurtosis", "condition_number"]
+
+
 def _fit(df: DataFrame, y: str, xs: list[str], m: dict, order_col: str) -> DataFrame:
+    schema = "metric string, value double"
+    if "beta" not in m:
+        return df.sparkSession.createDataFrame([(k, float(m["n"]) if k == "n" else None) for k in FIT_METRICS], schema)
     res = _residuals(df, y, xs, m["beta"], order_col)
     n, p = m["n"], len(xs) + 1
     # with a constant the residuals' mean is zero up to rounding
@@ -359,18 +370,16 @@ def _fit(df: DataFrame, y: str, xs: list[str], m: dict, order_col: str) -> DataF
     jb = n / 6.0 * (skew ** 2 + (kurt - 3) ** 2 / 4.0)
     full = np.block([[np.array([[float(n)]]), n * m["mx"][None, :]], [n * m["mx"][:, None], m["sxx"] + n * np.outer(m["mx"], m["mx"])]])
     eig = np.linalg.eigvalsh(full)
-    stats = [("n", float(n)), ("df_model", float(dfm)), ("df_resid", float(dfr)), ("r_squared", r2),
-             ("adj_r_squared", 1 - (n - 1) / dfr * (1 - r2)), ("f_stat", fstat),
-             ("f_p_value", dists.f_sf(fstat, dfm, dfr)), ("log_likelihood", llf), ("aic", -2 * llf + 2 * p),
-             ("bic", -2 * llf + p * math.log(n)), ("durbin_watson", ratio(durbin_watson_numerator(res, order_col, "residual"), sse)), ("jarque_bera", jb),
-             ("jb_p_value", math.exp(-jb / 2)), ("skew", skew), ("kurtosis", kurt),
-             ("condition_number", math.sqrt(max(eig) / min(eig)) if min(eig) > 0 else float("inf"))]
-    return df.sparkSession.createDataFrame([(k, float(v)) for k, v in stats], "metric string, value double")
+    values = [n, dfm, dfr, r2, 1 - (n - 1) / dfr * (1 - r2), fstat, dists.f_sf(fstat, dfm, dfr), llf, -2 * llf + 2 * p, -2 * llf + p * math.log(n),
+              ratio(durbin_watson_numerator(res, order_col, "residual"), sse), jb, math.exp(-jb / 2), skew, kurt,
+              math.sqrt(max(eig) / min(eig)) if min(eig) > 0 else float("inf")]
+    return df.sparkSession.createDataFrame([(k, float(v)) for k, v in zip(FIT_METRICS, values, strict=True)], schema)
 
 
 def ols_coefficients(df: DataFrame, y: str, xs: list[str]) -> DataFrame:
     """STA14: OLS with a constant: coefficients, standard errors, t, p and
-    95 % interval, from the centred products (two passes)."""
+    95 % interval, from the centred products (two passes); null where the
+    complete rows are no more than the terms."""
     return _coefficients(df, xs, _solved(df, y, xs))
 
 
@@ -415,7 +424,7 @@ def fitted_residuals(df: DataFrame, y: str, coefs: DataFrame, id_col: str = "id"
     """STA15: fitted values and residuals from a coefficient table."""
     cs = {r["term"]: r["coef"] for r in coefs.collect()}  # one row per term (p rows)
     xs = [t for t in cs if t != "const"]
-    return _residuals(df, y, xs, np.array([cs.get("const", 0.0), *[cs[t] for t in xs]]), id_col)
+    return _residuals(df, y, xs, np.array([cs.get("const", 0.0), *[cs[t] for t in xs]], float), id_col)
 
 
 def qq_points(resid: DataFrame, col: str = "residual", points: int = 99) -> DataFrame:

@@ -347,3 +347,19 @@ def src4_columns(lk):
 def src5_sample_values(lk):
     """SRC5: one sample row shown as column: value."""
     return Q.sample_row(lk.reviews_raw, "id")
+
+
+# Each raw file and the columns that order it.
+_SAMPLED = {
+    "listings_raw": ["id"], "reviews_raw": ["id"], "neighbourhoods_raw": ["neighbourhood"],
+    "calendar_raw": ["listing_id", "date", "available", "price", "minimum_nights", "maximum_nights"],
+}
+
+
+@register("src5_sample_rows", O.with_ctes(" UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, column_name, value FROM (SELECT CAST(COLUMNS(*) AS VARCHAR) FROM (SELECT * FROM {t} "
+    f"ORDER BY {', '.join(f'{c} NULLS LAST' for c in order)} LIMIT 1) r) s UNPIVOT INCLUDE NULLS (value FOR column_name IN (*))"
+    for t, order in _SAMPLED.items())))
+def src5_sample_rows(lk):
+    """SRC5: a sample row of every raw file as column: value."""
+    return Q.sample_rows({t: (getattr(lk, t), order) for t, order in _SAMPLED.items()})

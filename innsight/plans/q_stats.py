@@ -12,12 +12,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import cleaning as C
 from ..functions import derived as D
 from ..operators import stats as S
 from . import oracle as O
 from .registry import register
 
 H1 = ("price_capped", "room_type", "1-URGENT", "2-HIGH")
+# The features of the correlations and the regression, the room levels.
 CORR_FEATURES = ["price_capped", "accommodates", "bedrooms", "bathrooms_final", "minimum_nights", "availability_365",
                  "number_of_reviews", "review_scores_rating", "amenities_count", "host_tenure_years",
                  "calculated_host_listings_count"]
@@ -310,7 +312,7 @@ _CORR_SQL = "\nUNION ALL\n".join(
 @register("sta12_correlation_matrix", O.rounded(_CORR_SQL, ["r"]))
 def sta12_correlation_matrix(lk):
     """STA12: pairwise-complete correlation matrix, long form."""
-    return S.correlation_pairs(lk.eda, CORR_FEATURES)
+    return S.correlation_pairs(lk.eda, C.existing_columns(lk.eda, CORR_FEATURES))
 
 
 _DRIVER_COLS = [c for c in CORR_FEATURES if c != "price_capped"]

@@ -113,3 +113,36 @@ def test_lowess_cells_of_many_values_keep_the_bound(spark):
     inner = got[got["x"] < 100]
     want = _lowess(x, y, inner["x"].to_numpy())
     assert np.abs(inner["smoothed"] - want).max() < 0.002 * (y.max() - y.min())
+
+
+def test_t_intervals_of_each_group(spark):
+    rng = np.random.default_rng(12)
+    v = np.round(rng.normal(100, 15, 10), 2)
+    got = S.t_intervals(spark.createDataFrame([("a", float(x)) for x in v] + [("b", 5.0), (None, 1.0), ("a", None)], "g string, v double"), "v", "g")
+    got = {r["g"]: r for r in got.collect()}
+    half = 2.2621571628 * v.std(ddof=1) / math.sqrt(10)
+    assert set(got) == {"a", "b"} and got["a"]["n"] == 10
+    assert abs(got["a"]["ci_low"] - (v.mean() - half)) < 1e-6 and abs(got["a"]["ci_high"] - (v.mean() + half)) < 1e-6
+    assert got["b"]["n"] == 1 and got["b"]["ci_low"] is None and got["b"]["ci_high"] is None
+
+
+def test_fitted_values_and_residuals(spark):
+    rng = np.random.default_rng(13)
+    x1, x2 = rng.normal(size=200), rng.normal(size=200)
+    y = 1 + 2 * x1 - 3 * x2 + rng.normal(size=200)
+    df = spark.createDataFrame(pd.DataFrame({"id": np.arange(200), "x1": x1, "x2": x2, "y": y})).withColumn("x1", F.when(F.col("id") != 7, F.col("x1")))
+    got = S.fitted_residuals(df, "y", S.ols_coefficients(df, "y", ["x1", "x2"])).toPandas().sort_values("id")
+    use = np.arange(200) != 7
+    X = np.c_[np.ones(199), x1[use], x2[use]]
+    want = X @ np.linalg.lstsq(X, y[use], rcond=None)[0]
+    assert got["id"].tolist() == np.arange(200)[use].tolist()
+    assert np.allclose(got["fitted"], want) and np.allclose(got["residual"], y[use] - want)
+
+
+def test_regression_of_too_few_rows_is_null(spark):
+    df = spark.createDataFrame([(1, 1.0, 2.0, 3.0), (2, 2.0, 1.0, 5.0), (3, 4.0, 4.0, 4.0)], "id long, x1 double, x2 double, y double")
+    coefs, fit = S.ols(df, "y", ["x1", "x2"])
+    assert [r["term"] for r in coefs.collect()] == ["const", "x1", "x2"] and all(r["coef"] is None and r["p_value"] is None for r in coefs.collect())
+    values = {r["metric"]: r["value"] for r in fit.collect()}
+    assert values.pop("n") == 3 and len(values) == 15 and set(values.values()) == {None}
+    assert {r["residual"] for r in S.fitted_residuals(df, "y", coefs).collect()} == {None}
