@@ -57,12 +57,16 @@ def t_crit_udf(df: pd.Series) -> pd.Series:
     return pd.Series(out)
 
 
-@F.pandas_udf(T.DoubleType())
-def tukey_pvalue_udf(q: pd.Series, k: pd.Series, df: pd.Series) -> pd.Series:
-    out = pd.Series(np.nan, index=q.index)
-    for (k_, df_), at in q.groupby([k, df]).groups.items():
-        out[at] = dists.tukey_sf_many(q[at].to_numpy(float), int(k_), float(df_))
-    return out
+def tukey_pvalue(q: F.Column, k: int, df: float) -> F.Column:
+    """Adjusted p of studentized ranges; the range's table is laid out once, on
+    the driver, and goes along (160 KB)."""
+    table = dists.range_table(k)
+
+    @F.pandas_udf(T.DoubleType())
+    def tail(q: pd.Series) -> pd.Series:
+        return pd.Series(dists.tukey_sf_many(q.to_numpy(float), k, df, table), index=q.index)
+
+    return tail(q)
 
 
 # ------------------------------------------------------------ two groups
@@ -194,7 +198,7 @@ def tukey_hsd(df: DataFrame, value: str, group: str, min_n: int = 0, alpha: floa
     st = gm.agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("n_total"),
                 F.sum((F.col("n") - 1) * F.coalesce(F.col("var"), F.lit(0.0))).alias("ssw"))
     row = st.first()
-    k, N, ssw = int(row["k"]), int(row["n_total"]), float(row["ssw"] or 0.0)
+    k, N, ssw = int(row["k"]), int(row["n_total"] or 0), float(row["ssw"] or 0.0)
     dfw = N - k
     msw = ssw / dfw if dfw > 0 else float("nan")
     qcrit = dists.qtukey(1 - alpha, k, dfw) if k >= 2 and dfw > 0 else float("nan")
@@ -206,24 +210,15 @@ def tukey_hsd(df: DataFrame, value: str, group: str, min_n: int = 0, alpha: floa
     b = gm.select(F.col(group).alias("group2"), F.col("n").alias("n2"),
                   F.col("mean").alias("mean2"))
     pairs = a.repartition("group1").crossJoin(b).where(F.col("group1") < F.col("group2"))
-    se = F.sqrt(F.lit(msw) / 2 * (1 / F.col("n1") + 1 / F.col("n2")))
+    diff, se = F.col("meandiff"), F.col("std_error")
+    q = F.when(se > 0, F.abs(diff) / se).when(diff != 0, math.inf).otherwise(0.0)
     out = (pairs.withColumn("meandiff", F.col("mean2") - F.col("mean1"))
-           .withColumn("_q", F.abs(F.col("meandiff")) / se)
-           .withColumn("p_adj", tukey_pvalue_udf("_q", F.lit(k), F.lit(float(dfw))))
-           .withColumn("lower", F.col("meandiff") - F.lit(qcrit) * se)
-           .withColumn("upper", F.col("meandiff") + F.lit(qcrit) * se)
+           .withColumn("std_error", F.sqrt(F.lit(msw) / 2 * (1 / F.col("n1") + 1 / F.col("n2"))))
+           .withColumn("p_adj", tukey_pvalue(q, k, float(dfw)) if k >= 2 and dfw > 0 else F.lit(None).cast("double"))
+           .withColumn("lower", diff - F.lit(qcrit) * se)
+           .withColumn("upper", diff + F.lit(qcrit) * se)
            .withColumn("reject", F.col("p_adj") < alpha))
-    return out.select("group1", "group2", "meandiff", "p_adj", "lower", "upper", "reject")
-
-
-def tukey_summary(pairs: DataFrame, top: int = 10) -> DataFrame:
-    """STA8: how many pairs are rejected, and the ``top`` largest significant
-    differences (a row each, by absolute difference; one row without a pair if
-    nothing is rejected)."""
-    n = pairs.agg(F.count(F.lit(1)).alias("pairs"), F.count_if("reject").alias("rejected"))
-    best = pairs.where("reject").orderBy(F.abs("meandiff").desc(), "group1", "group2").limit(top)
-    best = best.select("group1", "group2", "meandiff", "p_adj", F.lit(1).alias("_one"))
-    return n.withColumn("_one", F.lit(1)).join(best, "_one", "left").select("group1", "group2", "meandiff", "p_adj", "pairs", "rejected")
+    return out.select("group1", "group2", "meandiff", "std_error", "p_adj", "lower", "upper", "reject")
 
 
 def t_intervals(df: DataFrame, value: str, group: str) -> DataFrame:
@@ -436,54 +431,6 @@ def qq_points(resid: DataFrame, col: str = "residual", points: int = 99) -> Data
     return q.join(F.broadcast(theo), "p").select("p", "normal_quantile", F.col("q").alias("sample_quantile"))
 
 
-def binned_lowess(df: DataFrame, x: str, y: str, bins: int = 100, frac: float = 2 / 3, cells: int = 4096, fine: int = 200) -> DataFrame:
-    """STA18 (re-aimed): locally weighted linear fit with tricube weights over
-    cells of x; the bandwidth at each cell's mean covers ``frac`` of the rows.
-    No robustness iterations.  Up to ``cells`` (``bins``, if more) distinct
-    values are a cell each, and the fit is exact.  Beyond that, for ``frac``
-    from 1/2, every window holds the median m and the quantiles 1 - frac and
-    frac, 2s apart, so no bandwidth h is below s or the point's distance from
-    m: cells are cut at steps of sqrt((x - m)^2 + s^2) / ``fine``, at most
-    sqrt(5) h / fine wide inside a window.  A cell's moments are exact, only
-    its weight is the one at its mean: wrong by at most 2.01 sqrt(5) / fine of
-    the peak (2.3 %) for a row, and by second order only in a cell's sum.
-    There are at most 2 fine asinh(range / s) cells, fitted in one task (s is
-    held to 1e-9 of the range, where one value is both quantiles)."""
-    src = df.select(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")).dropna()
-    if src.select("x").distinct().count() <= max(cells, bins):
-        cut = src.withColumn("cell", F.col("x"))
-    else:
-        r = src.agg(F.percentile_approx("x", [1 - frac, 0.5, frac], 10000).alias("q"), F.min("x").alias("lo"), F.max("x").alias("hi")).first()
-        low, m, high = r["q"]
-        u = (F.col("x") - m) / max((high - low) / 2, 1e-9 * (r["hi"] - r["lo"]))
-        cut = src.withColumn("cell", F.round(F.signum(u) * F.asinh(F.abs(u)) * fine))
-    t = cut.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.avg("x").alias("mx"), F.avg("y").alias("my"),
-                                F.var_pop("x").alias("vx"), F.covar_pop("x", "y").alias("cxy"))
-
-    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("mx")
-        xc, my, vx, cxy, n = (pdf[c].to_numpy(dtype=float) for c in ("mx", "my", "vx", "cxy", "n"))
-        total = n.sum()
-        out = []
-        for x0 in xc:
-            u = xc - x0
-            d = np.abs(u)
-            order = np.argsort(d)
-            cum = np.cumsum(n[order])
-            h = d[order][min(np.searchsorted(cum, frac * total), len(d) - 1)]
-            if h > 0:
-                w = n * np.clip(1 - (d / (h * 1.0000001)) ** 3, 0, None) ** 3
-            else:  # one value holds ``frac`` of the rows
-                w = np.where(d == 0, n, 0.0)
-            sw, swx, swy = w.sum(), (w * u).sum(), (w * my).sum()
-            swxx, swxy = (w * (u * u + vx)).sum(), (w * (u * my + cxy)).sum()
-            den = sw * swxx - swx ** 2
-            out.append((swy * swxx - swx * swxy) / den if den > 1e-12 * sw * swxx else swy / sw)
-        return pd.DataFrame({"x": xc, "smoothed": out, "n": n.astype("int64")})
-
-    return t.withColumn("_one", F.lit(1)).groupBy("_one").applyInPandas(fit, "x double, smoothed double, n long")
-
-
 def kde_by_group(df: DataFrame, value: str, group: str, grid: int = 1000, fine: int = 50, reach: float = 8.0) -> DataFrame:
     """STA20: Gaussian KDE per group with Scott's bandwidth (s n^-1/5) on a
     grid of ``grid`` points over the range widened by half its width each

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import cleaning as C
 from ..functions import derived as D
+from ..operators import pairwise, smoothing
 from ..operators import stats as S
 from . import oracle as O
 from .registry import register
@@ -491,16 +492,29 @@ def sta17_vif(lk):
     return S.vif(_reg_frame(lk), _reg_terms())
 
 
-@register("sta18_binned_lowess")
+def _local_fit_sql(x: str, y: str, src: str = "eda") -> str:
+    """Local lines with tricube weights over two thirds of the rows, by all pairs of distinct values."""
+    return (f"WITH v AS (SELECT CAST({x} AS DOUBLE) AS x, count(*) AS n, sum({y}) AS sy FROM {src} WHERE {x} IS NOT NULL AND {y} IS NOT NULL GROUP BY 1),\n"
+            "d AS (SELECT a.x AS x0, b.x - a.x AS u, b.n AS n, b.sy AS sy, sum(b.n) OVER (PARTITION BY a.x ORDER BY abs(b.x - a.x)) AS held,\n"
+            "  (SELECT sum(n) FROM v) AS total FROM v a CROSS JOIN v b),\n"
+            "r AS (SELECT x0, min(abs(u)) FILTER (WHERE held >= 2e0 / 3e0 * total) AS h FROM d GROUP BY x0),\n"
+            "w AS (SELECT d.x0, d.n, d.sy, CASE WHEN h > 0 THEN u / h ELSE 0 END AS u,\n"
+            "  CASE WHEN h > 0 THEN pow(greatest(1 - pow(abs(u) / (h * 1.0000001), 3), 0), 3) WHEN u = 0 THEN 1 ELSE 0 END AS w FROM d JOIN r ON r.x0 = d.x0),\n"
+            "s AS (SELECT x0, sum(w * n) AS sw, sum(w * n * u) AS su, sum(w * n * u * u) AS suu, sum(w * sy) AS sy, sum(w * sy * u) AS suy FROM w GROUP BY x0)\n"
+            "SELECT v.x, CASE WHEN sw * suu - su * su > 1e-12 * sw * suu THEN (s.sy * suu - su * suy) / (sw * suu - su * su) ELSE s.sy / sw END AS smoothed, v.n\n"
+            "FROM s JOIN v ON v.x = s.x0")
+
+
+@register("sta18_binned_lowess", O.rounded(_local_fit_sql("accommodates", "price_capped"), ["x", "smoothed"]))
 def sta18_binned_lowess(lk):
-    """STA18 (re-aimed): binned LOWESS of price on accommodates."""
-    return S.binned_lowess(lk.eda, "accommodates", "price_capped", bins=16)
+    """STA18 (re-aimed): local line of price on accommodates."""
+    return smoothing.local_fit(lk.eda, "accommodates", "price_capped")
 
 
-@register("sta18_lowess_of_score")
+@register("sta18_lowess_of_score", O.rounded(_local_fit_sql("review_scores_rating", "price_capped"), ["x", "smoothed"]))
 def sta18_lowess_of_score(lk):
-    """STA18 (re-aimed): binned LOWESS of price on the review score."""
-    return S.binned_lowess(lk.eda, "review_scores_rating", "price_capped")
+    """STA18 (re-aimed): local line of price on the review score."""
+    return smoothing.local_fit(lk.eda, "review_scores_rating", "price_capped")
 
 
 @register("sta20_kde_by_host_type")
@@ -521,13 +535,25 @@ def sta21_seeded_sample(lk):
 @register("sta8_tukey_hsd")
 def sta8_tukey_hsd(lk):
     """STA8: Tukey HSD over neighbourhoods with n >= 20."""
-    return S.tukey_hsd(lk.eda, "price_capped", "neighbourhood_cleansed", min_n=20)
+    return S.tukey_hsd(lk.eda, "price_capped", "neighbourhood_cleansed", min_n=20).drop("std_error")
+
+
+@register("sta8_mean_differences", O.rounded(
+    "WITH m AS (SELECT neighbourhood_cleansed AS g, count(*) AS n, avg(price_capped) AS mean, var_samp(price_capped) AS var FROM eda\n"
+    "  WHERE price_capped IS NOT NULL AND neighbourhood_cleansed IS NOT NULL GROUP BY 1 HAVING count(*) >= 20),\n"
+    "p AS (SELECT sum((n - 1) * coalesce(var, 0)) / (sum(n) - count(*)) AS msw FROM m)\n"
+    "SELECT a.g AS group1, b.g AS group2, b.mean - a.mean AS meandiff, sqrt(msw / 2 * (1e0 / a.n + 1e0 / b.n)) AS std_error\n"
+    "FROM m a JOIN m b ON a.g < b.g CROSS JOIN p", ["meandiff", "std_error"]))
+def sta8_mean_differences(lk):
+    """STA8: the differences of means and their standard errors, which Tukey HSD tests."""
+    return S.tukey_hsd(lk.eda, "price_capped", "neighbourhood_cleansed", min_n=20).select("group1", "group2", "meandiff", "std_error")
 
 
 @register("sta8_tukey_summary")
 def sta8_tukey_summary(lk):
-    """STA8: pairs, rejected pairs and the 10 largest significant differences."""
-    return S.tukey_summary(S.tukey_hsd(lk.eda, "price_capped", "neighbourhood_cleansed", min_n=20))
+    """STA8: pairs, rejected pairs and the 10 largest rejected differences,
+    without a row for every pair."""
+    return pairwise.tukey_report(lk.eda, "price_capped", "neighbourhood_cleansed", min_n=20)
 
 
 @register("sta22_hypothesis_report")

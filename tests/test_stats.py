@@ -83,38 +83,6 @@ def test_seeded_sample_bounds(spark):
     assert sorted(r.id for r in s.collect()) == sorted(r.id for r in S.seeded_sample(df, "g", 100).collect())
 
 
-def _lowess(x, y, at, frac=2 / 3):
-    """Tricube local line over all rows at the points ``at``."""
-    out = []
-    for x0 in at:
-        d = np.abs(x - x0)
-        h = np.sort(d)[math.ceil(frac * len(d) - 1e-9) - 1] * 1.0000001
-        w = np.clip(1 - (d / h) ** 3, 0, None) ** 3
-        A = np.column_stack([np.ones(len(x)), x - x0]) * np.sqrt(w)[:, None]
-        out.append(np.linalg.lstsq(A, y * np.sqrt(w), rcond=None)[0][0])
-    return np.array(out)
-
-
-def test_lowess_is_exact_over_values_with_an_outlier(spark):
-    rng = np.random.default_rng(8)
-    x = np.r_[rng.integers(1, 17, 600).astype(float), 10000.0]
-    y = np.r_[np.sin(x[:-1] / 3) * 50 + rng.normal(0, 1, 600), 70.0]
-    got = S.binned_lowess(spark.createDataFrame(pd.DataFrame({"x": x, "y": y})), "x", "y", bins=16).toPandas().sort_values("x")
-    assert got["x"].tolist() == [*map(float, range(1, 17)), 10000.0] and got["n"].sum() == 601
-    assert np.allclose(got["smoothed"][:-1], _lowess(x, y, got["x"].to_numpy()[:-1]), atol=1e-6)
-
-
-def test_lowess_cells_of_many_values_keep_the_bound(spark):
-    rng = np.random.default_rng(9)
-    x = np.r_[rng.lognormal(0, 1, 4000), np.full(900, 0.5), 1e6]
-    y = np.sin(np.log(x)) * 50
-    got = S.binned_lowess(spark.createDataFrame(pd.DataFrame({"x": x, "y": y})), "x", "y", cells=1024).toPandas().sort_values("x")
-    assert len(got) <= 400 * math.asinh(1e6 / 0.2) and got["n"].sum() == len(x)
-    inner = got[got["x"] < 100]
-    want = _lowess(x, y, inner["x"].to_numpy())
-    assert np.abs(inner["smoothed"] - want).max() < 0.002 * (y.max() - y.min())
-
-
 def test_t_intervals_of_each_group(spark):
     rng = np.random.default_rng(12)
     v = np.round(rng.normal(100, 15, 10), 2)
