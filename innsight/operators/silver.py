@@ -62,10 +62,11 @@ def collapse_rare(df: DataFrame, col: str, out: str, min_pct: float = RARE_CATEG
               .drop("_cat", "_pct"))
 
 
-def priced_listings(raw: DataFrame) -> DataFrame:
+def priced_listings(raw: DataFrame, seen=None) -> DataFrame:
     """The price-filtered raw listings as a table: they feed the cap, the
-    duplicate search and the main path."""
-    return bucketed(valid_price(raw), "id", counted=raw)
+    duplicate search and the main path.  ``seen`` is called with the number of
+    raw rows."""
+    return bucketed(valid_price(raw), "id", counted=raw, seen=seen)
 
 
 def clean_listings(raw: DataFrame, city: str = CITY_NAME, duplicate_km: float = DUPLICATE_DISTANCE_KM) -> DataFrame:

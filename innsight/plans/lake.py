@@ -4,14 +4,18 @@
 share the same plans and the same eager scalars (price cap).  Silver and Gold
 are Parquet tables in the shared folder, so what reads them prunes columns and
 pushes filters down.  Silver tables are bucketed by the listing key, so the
-facts' summaries and the Gold join need no exchange.
+facts' summaries and the Gold join need no exchange.  With a ``root`` each
+layer is written there, once, and ``rows_in`` / ``rows_out`` tell how many
+rows went in and out: the former from the count of keys that goes before the
+buckets, the latter observed while writing.
 """
 
 from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import gold as G
 from ..operators import silver as S
@@ -23,8 +27,27 @@ _LAKES: dict[tuple[int, str], "Lake"] = {}
 
 
 class Lake:
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir = spark, sf_dir
+    def __init__(self, spark: SparkSession, sf_dir: str, root: str | None = None):
+        self.spark, self.sf_dir, self.root = spark, sf_dir, root
+        self.rows_in: dict[str, int] = {}
+        self.rows_out: dict[str, int] = {}
+
+    def _silver(self, name: str, df: DataFrame, key: str, counted: DataFrame, rows: Column) -> DataFrame:
+        if self.root is None:
+            return bucketed(df, key, counted=counted)
+        obs = Observation(name)
+        out = bucketed(df.observe(obs, rows.alias("rows")), key, counted=counted, path=f"{self.root}/silver/{name}",
+                       seen=lambda n: self.rows_in.update({name: n}))
+        self.rows_out[name] = int(obs.get["rows"])
+        return out
+
+    def _gold(self, name: str, df: DataFrame) -> DataFrame:
+        if self.root is None:
+            return materialize(df)
+        obs = Observation(name)
+        out = materialize(df.observe(obs, F.count(F.lit(1)).alias("rows")), f"{self.root}/gold/{name}")
+        self.rows_out[name] = int(obs.get["rows"])
+        return out
 
     # Bronze
     @cached_property
@@ -38,7 +61,6 @@ class Lake:
     @cached_property
     def calendar_typed(self) -> DataFrame:
         """Every calendar row with its date typed, before the Silver filter."""
-        from pyspark.sql import functions as F
         return self.calendar_raw.withColumn("date", F.col("date").try_cast("date"))
 
     @cached_property
@@ -53,23 +75,22 @@ class Lake:
     @cached_property
     def priced(self) -> DataFrame:
         """The listings with a valid price, every other column raw."""
-        return S.priced_listings(self.listings_raw)
+        return S.priced_listings(self.listings_raw, lambda n: self.rows_in.update(listings_raw=n))
 
     @cached_property
     def listings(self) -> DataFrame:
-        return bucketed(S.finish_listings(self.priced), "id", counted=self.priced)
+        return self._silver("listings", S.finish_listings(self.priced), "id", self.priced, F.count(F.lit(1)))
 
     @cached_property
     def calendar(self) -> DataFrame:
-        return bucketed(S.clean_calendar(self.calendar_raw), "listing_id", counted=self.calendar_raw)
+        return self._silver("calendar", S.clean_calendar(self.calendar_raw), "listing_id", self.calendar_raw, F.count(F.lit(1)))
 
     @cached_property
     def reviews_flagged(self) -> DataFrame:
-        return bucketed(S.flag_reviews(self.reviews_raw), "listing_id", counted=self.reviews_raw)
+        return self._silver("reviews", S.flag_reviews(self.reviews_raw), "listing_id", self.reviews_raw, F.count_if(~F.col("is_low_quality")))
 
     @cached_property
     def reviews(self) -> DataFrame:
-        from pyspark.sql import functions as F
         return self.reviews_flagged.where(~F.col("is_low_quality"))
 
     # Gold
@@ -83,11 +104,11 @@ class Lake:
 
     @cached_property
     def neighbourhoods(self) -> DataFrame:
-        return materialize(G.neighbourhood_aggregates(self.listings))
+        return self._gold("neighbourhood_aggregates", G.neighbourhood_aggregates(self.listings))
 
     @cached_property
     def gold(self) -> DataFrame:
-        return materialize(G.build_master(self.listings, self.review_summary, self.calendar_summary, self.neighbourhoods))
+        return self._gold("listing_master", G.build_master(self.listings, self.review_summary, self.calendar_summary, self.neighbourhoods))
 
     @cached_property
     def dim_date(self) -> DataFrame:
@@ -96,7 +117,6 @@ class Lake:
     @cached_property
     def eda(self) -> DataFrame:
         """Gold without price outliers (FLT4), the base of the EDA notebooks."""
-        from pyspark.sql import functions as F
         return self.gold.where(~F.col("is_price_outlier"))
 
     def warehouse(self) -> dict[str, DataFrame]:

@@ -61,19 +61,21 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(ensure_checkpoint_dir(spark), name)
 
 
-def materialize(df):
-    """Cut lineage: a Parquet table in the shared checkpoint folder.
+def materialize(df, path: str | None = None):
+    """Cut lineage: a Parquet table in the shared checkpoint folder, or one at
+    ``path`` in place of what is there.
 
     Used where one intermediate feeds several branches (value-count tables,
     Silver/Gold layers) so the branches read files instead of recomputing the
     whole upstream plan, prune columns and push filters down; survives executor
     loss."""
-    path = scratch_path(df.sparkSession, f"table-{uuid.uuid4().hex}")
-    df.write.parquet(path)
+    fresh = path is None
+    path = path or scratch_path(df.sparkSession, f"table-{uuid.uuid4().hex}")
+    df.write.mode("errorifexists" if fresh else "overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def bucketed(df, key: str, counted=None, buckets: int | None = None):
+def bucketed(df, key: str, counted=None, buckets: int | None = None, path: str | None = None, seen=None):
     """``df`` as a Parquet table in the shared folder, hashed by ``key`` into
     as many buckets as there are shuffle partitions and sorted by it, so that
     joins and groupings of such tables by the key need no exchange.
@@ -81,15 +83,20 @@ def bucketed(df, key: str, counted=None, buckets: int | None = None):
     A key that alone holds more than two buckets' share of the rows would
     make one long bucket; then the table is written as it comes, and what
     reads it shuffles as usual.  ``counted`` is a cheaper frame with the same
-    keys (``df``'s rows or more)."""
+    keys (``df``'s rows or more); ``seen``, if given, is called with its number
+    of rows, which is known then.  ``path``: as of ``materialize``."""
     spark = df.sparkSession
     n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     most, rows = (df if counted is None else counted).groupBy(f"`{key}`").count().selectExpr("max(count)", "sum(count)").first()
+    if seen is not None:
+        seen(rows or 0)
     if rows and most > max(2 * rows / n, 10_000):
-        return materialize(df)
+        return materialize(df, path)
     name = f"innsight_{uuid.uuid4().hex}"
     out = df.repartition(n, df[key]).write.format("parquet").bucketBy(n, key).sortBy(key)
-    out.option("path", scratch_path(spark, name)).saveAsTable(name)
+    if path:
+        out = out.mode("overwrite")
+    out.option("path", path or scratch_path(spark, name)).saveAsTable(name)
     return spark.table(name)
 
 
