@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from innsight.llm import lines, mixing, packing, quality, simhash
-from innsight.llm.common import table, written
+from innsight.llm.common import fresh, table, written
 from innsight.llm.queries import KNOTS
 
 
@@ -36,8 +36,10 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of the mixed documents with their token ids and places."""
-    return packing.pack(docs)
+    """The pieces of the mixed documents with their token ids and places, and
+    the position of their sequence in training, sorted by it."""
+    (at,) = fresh(docs, "position")
+    return packing.pack(mixing.positions(docs, KNOTS, at), order=at)
 
 
 STAGES = [

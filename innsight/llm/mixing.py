@@ -135,3 +135,33 @@ def mix(docs: DataFrame, knots: list[list[tuple[float, float]]], cap: int = 3) -
     placed = plan(flat, knots, cap, cut_last=False).select(*names, F.explode("copies").alias("at"))
     tie = F.xxhash64(*[col(n) for c, n in zip(docs.columns, names) if c in ("doc_id", "text")])
     return placed.orderBy(F.col("at")["time"], tie).select(*[col(n).alias(c) for c, n in zip(docs.columns, names)])
+
+
+def positions(mixed: DataFrame, knots: list[list[tuple[float, float]]], name: str, cap: int = 3) -> DataFrame:
+    """The rows of a mix with a column ``name``: their time 0..1 in training.
+    All of a source's words are its demand: its first copies stand one after
+    the other in the order of the hash, then the second ones, and a row's time
+    is where the integral of the source's schedule has come to the place at
+    which it begins.  Copies are equal rows, numbered in turn up to ``cap``.
+    Sources in order of code points, null last, take the schedules in turn, as
+    in the mix.  A row without words stands where the next one begins; a
+    source of no words or no weight stands at 0."""
+    names = fresh(mixed, *[f"c{i}" for i in range(len(mixed.columns))])
+    d = mixed.select(col("doc_id").alias("doc_id"), col("source").alias("source"), col("text").alias("text"), *[col(c).alias(n) for c, n in zip(mixed.columns, names)])
+    d = d.withColumn("size", words(col("text"))).withColumn("place", order_hash(F.col("doc_id"))).withColumn("same", F.xxhash64("doc_id", "text")).drop("doc_id", "text")
+    d = d.withColumn("bucket", F.substring("place", 1, DIGITS))
+    d = d.withColumn("copy", F.pmod(F.row_number().over(W.partitionBy("source", "bucket", "place", "same").orderBy("size")), F.lit(cap)))
+    keys = ["source", "copy", "bucket"]
+    buckets = written(d.groupBy(*keys).agg(F.sum("size").alias("bucket_size")), "copies")
+    # a source has at most cap * 4096 buckets
+    ahead = W.partitionBy("source").orderBy(F.pmod(F.col("copy") - 1, F.lit(cap)), "bucket").rowsBetween(W.unboundedPreceding, -1)
+    sizes = buckets.groupBy("source").agg(F.sum("bucket_size").alias("source_size"))
+    t = targets(sizes, ranked_schedules(sizes, knots)).select(F.col("source").alias("_s"), "source_size", "weight", "segs")
+    b = buckets.withColumn("ahead", F.coalesce(F.sum("bucket_size").over(ahead), F.lit(0)))
+    b = written(b.join(t, F.col("source").eqNullSafe(F.col("_s"))).select("_s", F.col("copy").alias("_c"), F.col("bucket").alias("_b"), "ahead", "source_size", "weight", "segs"), "places")
+    d = d.join(b, F.col("source").eqNullSafe(F.col("_s")) & (F.col("copy") == F.col("_c")) & (F.col("bucket") == F.col("_b")))
+    inside = W.partitionBy(*keys).orderBy("place", "same", "size").rowsBetween(W.unboundedPreceding, -1)
+    begin = F.col("ahead") + F.coalesce(F.sum("size").over(inside), F.lit(0))
+    d = d.withColumn("share", F.least(F.coalesce(F.try_divide(begin.cast("double"), F.col("source_size")), F.lit(0.0)), F.lit(1.0)))
+    time = F.coalesce(time_of(F.col("segs"), F.col("weight"), F.col("share")), F.lit(0.0))
+    return d.select(*[col(n).alias(c) for c, n in zip(mixed.columns, names)], time.alias(name))
