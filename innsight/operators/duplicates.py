@@ -5,9 +5,13 @@ Flags and counts come from the occupancy of cubes, without pair rows
 under the threshold.  Blocking is by host and a cube of the sphere's 3-d
 coordinates as wide as the threshold's chord: points within the threshold lie
 in the same or in neighbouring cubes, at the poles and across +-180 degrees
-too.  One side goes to its own and half of the neighbouring cubes, so each
-pair of cubes meets once, and a host with thousands of listings is spread over
-many cubes instead of pairing all of them.
+too.  One side goes to its own block of cubes and, of half of the neighbouring
+blocks, to those that it could reach within the threshold (``_reached``), so
+each pair meets once, few rows go to more than one block, and a host with
+thousands of listings is spread over many blocks instead of pairing all of
+them.  The joins by block are merge joins: what a row's coordinates take is
+far more than the compressed files let the optimizer guess, and a broadcast
+of them is as large as the table.
 """
 
 from __future__ import annotations
@@ -23,8 +27,27 @@ from ..session import materialize
 DUPLICATE_DISTANCE_KM = 0.05  # fixed value: 50 m
 
 
-#: Half of the 27 neighbour cells and the cell itself: each unordered pair of cells once.
+#: Half of the 27 neighbour blocks and the block itself: each unordered pair of blocks once.
 _AHEAD = [(dx, dy, dz) for dx in (-1, 0, 1) for dy in (-1, 0, 1) for dz in (-1, 0, 1) if (dx, dy, dz) >= (0, 0, 0)]
+#: Cubes along the edge of a block, as a power of two; a block is wider than the threshold.
+_BLOCK = 3
+
+
+def _reached(frame: DataFrame, side: float, reach: float) -> DataFrame:
+    """``frame(..., x, y, z, u0, u1, v0, v1, w0, w1)``, of things that lie in
+    a cube of ``side`` and stretch between the given coordinates, once for
+    its own block ``a, b, c`` (``same``) and each block ahead that holds a
+    point less than ``reach`` away along every axis."""
+    own = {b: F.shiftright(F.col(c), _BLOCK) for b, c in zip("abc", "xyz")}
+    block = lambda x: F.shiftright(F.floor(x / side).cast("long"), _BLOCK)
+    low = [block(F.col(f"{c}0") - reach) - own[b] for b, c in zip("abc", "uvw")]
+    high = [block(F.col(f"{c}1") + reach) - own[b] for b, c in zip("abc", "uvw")]
+    held = frame.withColumns({**own, **{f"_l{b}": x for b, x in zip("abc", low)}, **{f"_h{b}": x for b, x in zip("abc", high)}})
+    to = [F.when(F.lit(True) if o == (0, 0, 0) else F.greatest(*[F.col(f"_l{b}") for b, d in zip("abc", o) if d < 0], *[-F.col(f"_h{b}") for b, d in zip("abc", o) if d > 0], F.lit(-2), F.lit(-3)) < 0,
+                 F.struct(*[F.lit(d).alias(b) for b, d in zip("abc", o)])) for o in _AHEAD]
+    met = held.select(*frame.columns, *"abc", F.explode(F.array_compact(F.array(*to))).alias("o"))
+    same = (F.col("o.a") == 0) & (F.col("o.b") == 0) & (F.col("o.c") == 0)
+    return met.select(*frame.columns, *[(F.col(b) + F.col(f"o.{b}")).alias(b) for b in "abc"], same.alias("same"))
 
 
 def duplicate_pairs(df: DataFrame, threshold_km: float = DUPLICATE_DISTANCE_KM, id_col: str = "id",
@@ -33,18 +56,14 @@ def duplicate_pairs(df: DataFrame, threshold_km: float = DUPLICATE_DISTANCE_KM,
     pts = df.select(F.col(host_col).alias("host_id"), F.col(id_col).alias("id"),
                     F.col(lat).alias("lat"), F.col(lon).alias("lon")).where(
         F.col("host_id").isNotNull() & F.col("lat").isNotNull() & F.col("lon").isNotNull())
-    # a little slack against rounding at the cell edges
-    size = 2 * EARTH_RADIUS_KM * math.sin(min(threshold_km / (2 * EARTH_RADIUS_KM), math.pi / 2)) * 1.001
-    phi, lam = F.radians("lat"), F.radians("lon")
-    at = [F.cos(phi) * F.cos(lam), F.cos(phi) * F.sin(lam), F.sin(phi)]
-    cells = pts.select("*", *[F.floor(x * EARTH_RADIUS_KM / size).cast("long").alias(c) for x, c in zip(at, "xyz")])
-    offs = F.array(*[F.struct(*[F.lit(v).alias(c) for v, c in zip(o, "xyz")]) for o in _AHEAD])
-    side = lambda s, frame: frame.select("host_id", *[F.col(c).alias(f"{c}_{s}") for c in ("id", "lat", "lon")], "x", "y", "z", *(["own"] if s == "q" else []))
-    near = cells.select("*", F.explode(offs).alias("o"))
-    own = (F.col("o.x") == 0) & (F.col("o.y") == 0) & (F.col("o.z") == 0)
-    near = near.select("host_id", "id", "lat", "lon", *[(F.col(c) + F.col(f"o.{c}")).alias(c) for c in "xyz"], own.alias("own"))
-    j = side("p", cells).join(side("q", near), ["host_id", "x", "y", "z"])
-    j = j.where(F.when(F.col("own"), F.col("id_p") < F.col("id_q")).otherwise(F.col("id_p") != F.col("id_q")))
+    side, phi, lam = _side(threshold_km), F.radians("lat"), F.radians("lon")
+    at = dict(zip("uvw", [F.cos(phi) * F.cos(lam) * EARTH_RADIUS_KM, F.cos(phi) * F.sin(lam) * EARTH_RADIUS_KM, F.sin(phi) * EARTH_RADIUS_KM]))
+    pts = pts.select("host_id", "id", "lat", "lon", *[F.floor(x / side).cast("long").alias(c) for c, x in zip("xyz", at.values())], *[x.alias(f"{c}{e}") for c, x in at.items() for e in "01"])
+    # a little slack against rounding at the edges
+    near = _reached(pts, side, _chord(threshold_km) * 1.001).select("host_id", *"abc", "same", *[F.col(c).alias(f"{c}_q") for c in ("id", "lat", "lon")])
+    cells = pts.select("host_id", *[F.shiftright(F.col(c), _BLOCK).alias(b) for b, c in zip("abc", "xyz")], *[F.col(c).alias(f"{c}_p") for c in ("id", "lat", "lon")])
+    j = cells.join(near.hint("merge"), ["host_id", "a", "b", "c"])
+    j = j.where(F.when(F.col("same"), F.col("id_p") < F.col("id_q")).otherwise(F.col("id_p") != F.col("id_q")))
     first = F.col("id_p") < F.col("id_q")
     pick = lambda c, a, b: F.when(first, F.col(f"{c}_{a}")).otherwise(F.col(f"{c}_{b}"))
     d = haversine_km(pick("lat", "p", "q"), pick("lon", "p", "q"), pick("lat", "q", "p"), pick("lon", "q", "p"))
@@ -60,7 +79,7 @@ def located(df: DataFrame, threshold_km: float = DUPLICATE_DISTANCE_KM, id_col:
     pts = pts.where(F.col("host_id").isNotNull() & F.col("lat").isNotNull() & F.col("lon").isNotNull() & ~F.isnan("lat") & ~F.isnan("lon"))
     phi, lam, r = F.radians("lat"), F.radians("lon"), EARTH_RADIUS_KM
     pts = pts.select("*", (F.cos(phi) * F.cos(lam) * r).alias("u"), (F.cos(phi) * F.sin(lam) * r).alias("v"), (F.sin(phi) * r).alias("w"))
-    side = _chord(threshold_km) / math.sqrt(3) * 0.999
+    side = _side(threshold_km)
     return pts.select("*", *[F.floor(F.col(c) / side).cast("long").alias(n) for c, n in zip("uvw", "xyz")])
 
 
@@ -68,6 +87,11 @@ def _chord(threshold_km: float) -> float:
     return 2 * EARTH_RADIUS_KM * math.sin(min(threshold_km / (2 * EARTH_RADIUS_KM), math.pi / 2))
 
 
+def _side(threshold_km: float) -> float:
+    """Of a cube whose diagonal is under the threshold."""
+    return _chord(threshold_km) / math.sqrt(3) * 0.999
+
+
 def occupancy(points: DataFrame, threshold_km: float = DUPLICATE_DISTANCE_KM) -> tuple[DataFrame, DataFrame, DataFrame]:
     """What ``located`` points pair with, without a row for a pair: cubes
     ``(host_id, x, y, z, n)``; pairs of cubes all of whose points are near,
@@ -78,14 +102,9 @@ def occupancy(points: DataFrame, threshold_km: float = DUPLICATE_DISTANCE_KM) ->
     spots = points.groupBy(*place, "lat", "lon").agg(F.count(F.lit(1)).alias("m"), *[F.first(c).alias(c) for c in "uvw"])
     cubes = spots.groupBy(*place).agg(F.sum("m").alias("n"), *[f(c).alias(f"{c}{e}") for c in "uvw" for f, e in ((F.min, 0), (F.max, 1))])
     cubes = materialize(cubes)
-    # blocks of 2 x 2 x 2 cubes are wider than the threshold: near cubes lie in the same or in neighbouring blocks
-    offs = F.array(*[F.struct(*[F.lit(d).alias(c) for c, d in zip("abc", o)]) for o in _AHEAD])
-    block = {b: F.shiftright(F.col(c), 1) for b, c in zip("abc", "xyz")}
-    second = cubes.withColumns(block).toDF("host_id", *[f"{c}2" for c in cubes.columns[1:]], *"abc")
-    ahead = cubes.withColumns(block).select("*", F.explode(offs).alias("o"))
-    same = (F.col("o.a") == 0) & (F.col("o.b") == 0) & (F.col("o.c") == 0)
-    ahead = ahead.select(*cubes.columns, *[(F.col(b) + F.col(f"o.{b}")).alias(b) for b in "abc"], same.alias("same"))
-    met = ahead.join(second, ["host_id", "a", "b", "c"])
+    second = cubes.select(*[F.col(c).alias("host_id" if c == "host_id" else f"{c}2") for c in cubes.columns], *[F.shiftright(F.col(c), _BLOCK).alias(b) for b, c in zip("abc", "xyz")])
+    ahead = _reached(cubes, _side(threshold_km), _chord(threshold_km) * 1.001)
+    met = ahead.join(second.hint("merge"), ["host_id", "a", "b", "c"])
     met = met.where(~F.col("same") | (F.struct("x", "y", "z") < F.struct("x2", "y2", "z2")))
     far = sum((F.greatest(F.col(f"{c}1") - F.col(f"{c}02"), F.col(f"{c}12") - F.col(f"{c}0")) ** 2 for c in "uvw"), F.lit(0.0))
     gap = sum((F.greatest(F.col(f"{c}0") - F.col(f"{c}12"), F.col(f"{c}02") - F.col(f"{c}1"), F.lit(0.0)) ** 2 for c in "uvw"), F.lit(0.0))
@@ -94,7 +113,7 @@ def occupancy(points: DataFrame, threshold_km: float = DUPLICATE_DISTANCE_KM) ->
     open_ = met.where("not near").select(*place, "x2", "y2", "z2")
     mine = spots.select(*place, "lat", "lon", "m")
     theirs = spots.select("host_id", *[F.col(c).alias(f"{c}2") for c in ("x", "y", "z", "lat", "lon", "m")])
-    pairs = open_.join(mine, place).join(theirs, ["host_id", "x2", "y2", "z2"])
+    pairs = open_.join(mine.hint("merge"), place).join(theirs.hint("merge"), ["host_id", "x2", "y2", "z2"])
     pairs = pairs.where(haversine_km(F.col("lat"), F.col("lon"), F.col("lat2"), F.col("lon2")) < threshold_km)
     return cubes, met.where("near").drop("near"), pairs.select("host_id", "lat", "lon", "m", "lat2", "lon2", "m2")
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from innsight.operators import duplicates as DUP
 from innsight.operators import gold as G
 from innsight.operators import ranking as R
+from innsight.operators import silver as SV
 from innsight.plans.lake import lake
 from innsight.session import bucketed
 
@@ -96,6 +97,33 @@ def test_many_listings_in_one_spot_make_no_pair_rows(spark):
     assert d.pairs.count() == 0 and d.cubes.count() <= 8
 
 
+def _listings(spark, n):
+    return spark.range(n).selectExpr("id", "id % 50 AS host_id", "-33.9 + rand(3) * 0.05 AS latitude", "18.4 + rand(4) * 0.05 AS longitude")
+
+
+def test_pairs_broadcast_no_listings(spark, tmp_path):
+    _listings(spark, 2000).write.parquet(f"{tmp_path}/listings")
+    df = spark.read.parquet(f"{tmp_path}/listings")
+    plans = [DUP.duplicate_pairs(df), DUP.Duplicates(df).pairs]
+    assert all("Broadcast" not in p._jdf.queryExecution().executedPlan().toString() for p in plans)
+
+
+def test_listings_go_to_few_blocks(spark):
+    df = _listings(spark, 20_000)
+    near = DUP.duplicate_pairs(df)._jdf.queryExecution().optimizedPlan().toString()
+    d = DUP.Duplicates(df)
+    sent = DUP._reached(d.cubes, DUP._side(0.05), DUP._chord(0.05) * 1.001).count()
+    assert "Generate" in near and d.cubes.count() <= sent < 3 * d.cubes.count()  # 14 to a cube before
+
+
+def test_rare_categories_shuffle_no_row(spark):
+    df = spark.range(1000).selectExpr("id", "CASE WHEN id % 10 = 0 THEN null WHEN id < 8 THEN 'rare' WHEN id < 17 THEN 'under one percent' WHEN id < 28 THEN 'one percent' ELSE 'most' END AS c")
+    out = SV.collapse_rare(df, "c", "g")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan.split("BroadcastExchange")[0] and "BroadcastHashJoin" in plan
+    assert {(r["c"], r["g"]) for r in out.collect()} == {(None, None), ("rare", "Other"), ("under one percent", "Other"), ("one percent", "one percent"), ("most", "most")}
+
+
 def test_the_gold_join_needs_no_exchange_of_its_inputs(spark):
     lk = lake(spark, SF001)
     tables = lk.listings, lk.review_summary, lk.calendar_summary, lk.neighbourhoods
