@@ -50,16 +50,17 @@ def cap_prices(df: DataFrame, cap: float) -> DataFrame:
 def collapse_rare(df: DataFrame, col: str, out: str, min_pct: float = RARE_CATEGORY_PCT,
                   other: str = "Other") -> DataFrame:
     """AGG14: categories under ``min_pct`` % of the non-null rows -> 'Other';
-    null stays null.  The share table has one row per category; it is joined
-    back (AQE broadcasts it when its runtime size is small)."""
+    null stays null.  Only the categories that stay are joined back, at most
+    100 / ``min_pct`` rows, so they are broadcast and no row is shuffled by its
+    category."""
     counts = df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("_cnt"))
     total = counts.agg(F.sum("_cnt").alias("_tot")).withColumn("_one", F.lit(1))
-    shares = (counts.withColumn("_one", F.lit(1)).join(total, "_one")
-              .select(F.col(col).alias("_cat"), (F.col("_cnt") * 100.0 / F.col("_tot")).alias("_pct")))
-    return (df.join(shares, F.col(col) == F.col("_cat"), "left")
+    kept = (counts.withColumn("_one", F.lit(1)).join(total, "_one")
+            .where(F.col("_cnt") * 100.0 / F.col("_tot") >= min_pct).select(F.col(col).alias("_cat")))
+    return (df.join(F.broadcast(kept) if min_pct >= 0.1 else kept, F.col(col) == F.col("_cat"), "left")
               .withColumn(out, F.when(F.col(col).isNull(), F.lit(None).cast("string"))
-                          .when(F.col("_pct") < min_pct, F.lit(other)).otherwise(F.col(col)))
-              .drop("_cat", "_pct"))
+                          .when(F.col("_cat").isNull(), F.lit(other)).otherwise(F.col(col)))
+              .drop("_cat"))
 
 
 def priced_listings(raw: DataFrame, seen=None) -> DataFrame:
