@@ -1,11 +1,17 @@
 """Hashed maximum-entropy language model, class-factored.
 
-P(word | history) = P(class | history) * P(word | class).  The most frequent
-words have a class each, the others share hashed classes.  The class model is
-a softmax over hashed features of the history: the last word (n-gram), the
-last two words (n-gram), and the word before the last (skip), added to the
-classes' prior.  A word within a shared class goes by its count plus one, with
-one place for all words never seen, so a history's probabilities sum to one.
+P(word | history) = P(class | history) * P(word | class, history).  The most
+frequent words have a class each, the others share classes.  Both factors are
+trained: the class is a softmax, and within a class three softmaxes of 16
+branches lead to one of 4,096 leaves, so history chooses among all 32,768
+leaves (seen as two factors, 128 classes of 256 leaves each) at the cost of
+four times 16 scores.  The 32,768 most frequent words after those with a class
+of their own have a leaf each, which the rarer ones, dealt by hash, share.
+Each softmax has hashed features of the history and the branch that is already
+chosen: the last word (n-gram), the last two words (n-gram), and the word
+before the last (skip), added to the branches' prior.  A word within a leaf
+goes by its count plus one, with one place for all words never seen, so a
+history's probabilities sum to one.
 
 Training is in rounds over disjoint shards of the training documents: each
 task takes gradient steps (AdaGrad by row) through its share from the round's
@@ -38,6 +44,9 @@ from .common import col, texts, written
 #: Broadcast words, classes (words with a class of their own, shared ones), rows of a feature's table, tokens of a gradient step, rounds.
 FREQUENT, OWN, SHARED, ROWS, STEP, ROUNDS = 65536, 8, 8, 1 << 15, 8192, 2
 CLASSES, FEATURES, CUT = OWN + SHARED, 3, 1024
+#: Softmaxes on a word's way (the class and the branches within it), leaves, tables (a feature's at each softmax).
+LEVELS = 4
+LEAVES, TABLES = SHARED * 16 ** (LEVELS - 1), LEVELS * FEATURES
 RATE = 0.2
 _FLAT = 1 << 16
 
@@ -57,16 +66,32 @@ class Codes(dict):
         return code
 
 
-def classes(codes: np.ndarray) -> np.ndarray:
+def leaves(codes: np.ndarray) -> np.ndarray:
+    """The leaves of words without a class of their own: the low bits are the
+    shared class, four more bits each the branch within."""
+    rank = (codes >> 32) - 1 - OWN
+    return np.where((rank >= 0) & (rank < LEAVES), rank, codes & LEAVES - 1)
+
+
+def classes(codes: np.ndarray, leaf: np.ndarray | None = None) -> np.ndarray:
     rank = (codes >> 32) - 1
-    return np.where((rank >= 0) & (rank < OWN), rank, OWN + (codes & 0xFFFFFFFF) % SHARED)
+    return np.where((rank >= 0) & (rank < OWN), rank, OWN + ((leaves(codes) if leaf is None else leaf) & SHARED - 1))
+
 
+def branch(leaf: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
+    """The nodes that the leaves' way has reached at a level within the class
+    (1 and up), and the branch that it takes there."""
+    reached = SHARED.bit_length() - 1 + 4 * (level - 1)
+    return leaf & (1 << reached) - 1, leaf >> reached & 15
 
-def histories(crc: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
-    """The feature rows of the tokens at ``at``, a family each."""
+
+def histories(crc: np.ndarray, at: np.ndarray, node: np.ndarray | None = None) -> list[np.ndarray]:
+    """The feature rows of the tokens at ``at``, a family each, for the class
+    or, within it, for the nodes reached."""
     a, b = crc[at - 1].astype(np.uint64), crc[at - 2].astype(np.uint64)
     with np.errstate(over="ignore"):
-        row = lambda x: ((x * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - 15)).astype(np.uint16)
+        n = np.uint64(0) if node is None else (node.astype(np.uint64) + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93)
+        row = lambda x: (((x + n) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - 15)).astype(np.uint16)
         return [row(a + np.uint64(1)), row(a * np.uint64(0xC2B2AE3D27D4EB4F) + b + np.uint64(2)), row(b + np.uint64(3))]
 
 
@@ -74,8 +99,8 @@ _ONES = np.ones(CLASSES, np.float32)
 
 
 def class_scores(weights: np.ndarray, prior: np.ndarray, rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of P(class | history) for all classes: the scores, their exponentials,
-    and the sums of these."""
+    """Of P(class | history) for all classes, or of the branches of the nodes
+    whose priors are given: the scores, their exponentials, and the sums of these."""
     z = weights[0].take(rows[0], axis=0)
     z += weights[1].take(rows[1], axis=0)
     z += weights[2].take(rows[2], axis=0)
@@ -105,7 +130,23 @@ class Flat:
         self.at = np.flatnonzero(target)
         self.doc = np.repeat(np.arange(len(docs)), sizes - 2)
         self.crc = self.codes & 0xFFFFFFFF
-        self.classes = classes(self.codes[self.at])
+        own = self.codes[self.at]
+        self.leaves = leaves(own)
+        self.classes = classes(own, self.leaves)
+
+    def ways(self, level: int, prior: list[np.ndarray]):
+        """The steps of tokens that choose at a level: their places, choices,
+        feature rows and priors.  A level has its own tables, so a walk level
+        by level finds them in the processor's cache."""
+        on = None if level == 0 else np.flatnonzero(self.classes >= OWN)
+        for i in range(0, len(self.at) if on is None else len(on), STEP):
+            if on is None:
+                place = slice(i, i + STEP)
+                yield place, self.classes[place], histories(self.crc, self.at[place]), prior[0]
+            else:
+                place = on[i:i + STEP]
+                node, k = branch(self.leaves[place], level)
+                yield place, k, histories(self.crc, self.at[place], node), prior[level].take(node, axis=0)
 
 
 def groups(docs: list[list[bytes]]):
@@ -120,28 +161,51 @@ def groups(docs: list[list[bytes]]):
         yield at, len(docs)
 
 
-def train_share(weights: np.ndarray, prior: np.ndarray, docs_of, codes: Codes) -> tuple[np.ndarray, np.ndarray]:
+def row_sums(g: np.ndarray, r: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct of ``r``, how often each occurs, and the sums of ``g``'s
+    rows by it: neighbours in the order of ``r`` are added pairwise."""
+    order = np.argsort(r, kind="stable")
+    own = r[order]
+    new = np.append(True, own[1:] != own[:-1])
+    first = np.flatnonzero(new)
+    n = np.diff(np.append(first, len(own)))
+    sums = g.take(order[first], axis=0)
+    many = np.flatnonzero(n > 1)
+    size = n[many] - 1
+    rest = g.take(order[~new], axis=0)  # what comes after a value's first row, added up at the first of these
+    start = np.cumsum(size) - size
+    place = np.arange(len(rest), dtype=np.int32) - np.repeat(start.astype(np.int32), size)
+    at, left, step = np.arange(len(rest)), np.repeat(size, size) - place, 1
+    while len(at):
+        here = np.flatnonzero((place & 2 * step - 1 == 0) & (left > step))
+        at, place, left = at[here], place[here], left[here]
+        rest[at] = rest.take(at, axis=0) + rest.take(at + step, axis=0)
+        step *= 2
+    sums[many] += rest.take(start, axis=0)
+    return own[first].astype(np.intp), n, sums
+
+
+def train_share(weights: np.ndarray, prior: list[np.ndarray], docs_of, codes: Codes) -> tuple[np.ndarray, np.ndarray]:
     """Gradient steps through lists of documents: the weights, and how often
     each row was met."""
-    w, seen, power = weights.copy(), np.zeros((FEATURES, ROWS), np.float32), np.full((FEATURES, ROWS), 1.0, np.float32)
+    w, seen, power = weights.copy(), np.zeros((TABLES, ROWS), np.float32), np.full((TABLES, ROWS), 1.0, np.float32)
     for docs in docs_of:
         for a, z in groups(docs):
             f = Flat(docs[a:z], codes)
-            for i in range(0, len(f.at), STEP):
-                at, k = f.at[i:i + STEP], f.classes[i:i + STEP]
-                rows = histories(f.crc, at)
-                _, g, total = class_scores(w, prior, rows)
-                g /= total[:, None]
-                g[np.arange(len(k)), k] -= 1
-                for j, r in enumerate(rows):
-                    order = np.argsort(r, kind="stable")
-                    own = r[order]
-                    first = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
-                    u = own[first]
-                    sums = np.add.reduceat(g.take(order, axis=0), first, axis=0)
-                    seen[j, u] += np.diff(np.append(first, len(own)))
-                    power[j, u] += np.einsum("ij,ij->i", sums, sums)
-                    w[j, u] -= (RATE / np.sqrt(power[j, u]))[:, None] * sums
+            for level in range(LEVELS):
+                own = level * FEATURES
+                for _, k, rows, known in f.ways(level, prior):
+                    _, g, total = class_scores(w[own:own + FEATURES], known, rows)
+                    g /= total[:, None]
+                    g[np.arange(len(k)), k] -= 1
+                    for r, wj, seen_j, power_j in zip(rows, w[own:], seen[own:], power[own:]):
+                        u, n, sums = row_sums(g, r)
+                        seen_j[u] += n
+                        power_u = power_j.take(u) + np.einsum("ij,ij->i", sums, sums)
+                        power_j[u] = power_u
+                        sums *= (-RATE / np.sqrt(power_u))[:, None]
+                        sums += wj.take(u, axis=0)
+                        wj[u] = sums
     return w, seen
 
 
@@ -178,16 +242,28 @@ def fit(training: DataFrame, counts: DataFrame, rounds: int = ROUNDS):
     top = counts.orderBy(F.desc("c"), "word").limit(FREQUENT).collect()
     frequent, c = [r["word"].encode() for r in top], np.array([r["c"] for r in top], np.int64)
     total, distinct = (x or 0 for x in counts.agg(F.sum("c"), F.count(F.lit(1))).first())
-    own = {w: i for i, w in enumerate(frequent[:OWN])}
-    shared = counts.groupBy((OWN + F.crc32(F.col("word").cast("binary")) % SHARED).cast("int").alias("k")).agg(F.sum("c"), F.count(F.lit(1))).collect()
-    size, kinds = np.zeros(CLASSES), np.zeros(CLASSES)
-    for k, n, v in shared:
+    dealt = counts.groupBy((F.crc32(F.col("word").cast("binary")) % LEAVES).cast("int").alias("k")).agg(F.sum("c"), F.count(F.lit(1))).collect()
+    size, kinds = np.zeros(LEAVES), np.zeros(LEAVES)
+    for k, n, v in dealt:
         size[k], kinds[k] = n, v
-    for w, i in own.items():  # those with a class of their own leave the shared one
-        k = OWN + zlib.crc32(w) % SHARED
-        size[k], kinds[k], size[i] = size[k] - c[i], kinds[k] - 1, c[i]
-    prior = np.log((size + 1) / (size.sum() + CLASSES)).astype(np.float32)
-    weights = np.zeros((FEATURES, ROWS, CLASSES), np.float32)
+    # the frequent words leave the leaves of their hashes for those of their ranks
+    crc = np.array([zlib.crc32(w) for w in frequent], np.int64)
+    to = leaves(crc | np.arange(1, len(frequent) + 1) << 32)
+    for x, of in ((size, c), (kinds, np.ones(len(c)))):
+        np.subtract.at(x, crc % LEAVES, of)
+        np.add.at(x, to[OWN:], of[OWN:])
+    own = np.zeros(OWN)
+    own[:len(c)] = c[:OWN]
+    class_size = np.append(own, size.reshape(-1, SHARED).sum(0))
+    class_kinds = np.append(np.zeros(OWN), kinds.reshape(-1, SHARED).sum(0))
+    held = size + kinds + 1
+    prior = [np.log((class_size + 1) / (class_size.sum() + CLASSES))]
+    for level in range(1, LEVELS):  # what the nodes' branches hold: the low bits of a leaf are the node
+        reached = SHARED * 16 ** (level - 1)
+        part = held.reshape(-1, 16, reached).sum(0)
+        prior.append(np.log(part / part.sum(0)).T)
+    prior = [np.ascontiguousarray(p, np.float32) for p in prior]
+    weights = np.zeros((TABLES, ROWS, CLASSES), np.float32)
     cuts = ROWS // CUT
     for r in range(rounds):
         sent = spark.sparkContext.broadcast((frequent, prior, weights))
@@ -195,7 +271,7 @@ def fit(training: DataFrame, counts: DataFrame, rounds: int = ROUNDS):
         def share(batches):
             words, prior_, w = sent.value
             w, seen = train_share(w, prior_, (_words(b.slice(i, 128).column(0)) for b in batches for i in range(0, b.num_rows, 128)), Codes(words))
-            blocks = [(j * cuts + i, np.s_[j, i * CUT:(i + 1) * CUT]) for j in range(FEATURES) for i in range(cuts)]
+            blocks = [(j * cuts + i, np.s_[j, i * CUT:(i + 1) * CUT]) for j in range(TABLES) for i in range(cuts)]
             blocks = [(n, s) for n, s in blocks if seen[s].any()]
             yield pa.RecordBatch.from_arrays([
                 pa.array([n for n, _ in blocks], pa.int32()), pa.array([w[s].astype(np.float16).tobytes() for _, s in blocks], pa.binary()), pa.array([seen[s].tobytes() for _, s in blocks], pa.binary())],
@@ -223,8 +299,19 @@ def fit(training: DataFrame, counts: DataFrame, rounds: int = ROUNDS):
             part = new[j, i * CUT:(i + 1) * CUT]
             part[:] = np.where(np.isnan(met), part, met)
         weights = new
-    logs = np.where(np.arange(CLASSES) < OWN, 0.0, np.log10(size + kinds + 1))
-    return {"frequent": frequent, "c": c, "total": total, "distinct": distinct, "prior": prior, "weights": weights, "class_logs": logs}
+    logs = np.where(np.arange(CLASSES) < OWN, 0.0, np.log10(class_size + class_kinds + 1))  # of the classes' words and one place for all others
+    return {"frequent": frequent, "c": c, "total": total, "distinct": distinct, "prior": prior[0], "priors": prior, "weights": weights, "class_logs": logs, "leaf_logs": np.log10(held)}
+
+
+def way_logs(f: Flat, m: dict) -> np.ndarray:
+    """ln P(class, leaf | history) of each token."""
+    logs = np.zeros(len(f.at))
+    for level in range(LEVELS):
+        own = level * FEATURES
+        for place, k, rows, known in f.ways(level, m["priors"]):
+            scores, _, sums = class_scores(m["weights"][own:own + FEATURES], known, rows)
+            logs[place] += scores[np.arange(len(k)), k] - np.log(sums)
+    return logs
 
 
 def score(docs: DataFrame, held_out_of: int = 7, held_out: int = 2, rounds: int = ROUNDS) -> DataFrame:
@@ -252,11 +339,7 @@ def score(docs: DataFrame, held_out_of: int = 7, held_out: int = 2, rounds: int
         for a, z in groups(docs_):
             f = Flat(docs_[a:z], codes)
             n, own, k = z - a, f.codes[f.at] >> 32, f.classes
-            logs = np.empty(len(f.at))
-            for i in range(0, len(f.at), STEP):
-                at = f.at[i:i + STEP]
-                scores, _, sums = class_scores(m["weights"], m["prior"], histories(f.crc, at))
-                logs[i:i + STEP] = scores[np.arange(len(at)), k[i:i + STEP]] - np.log(sums)
+            logs = way_logs(f, m)
             count = seen[own]  # log10(c + 1); 0 for words that meet their count later
             total = lambda x: np.bincount(f.doc, x, minlength=n)
             outside = (own == 0).tobytes()
@@ -268,7 +351,7 @@ def score(docs: DataFrame, held_out_of: int = 7, held_out: int = 2, rounds: int
                 pa.StructArray.from_arrays([pa.array([x[0] for x in flat], pa.string()), pa.array([x[1] for x in flat], pa.int64())], ["word", "tf"]))
             yield pa.RecordBatch.from_arrays([
                 b.column(0).slice(a, n), b.column(2).slice(a, n), pa.array(np.bincount(f.doc, minlength=n)), pa.array(total(own > 0).astype(np.int64)),
-                pa.array(total(count)), pa.array(total(logs / math.log(10) + np.where(k < OWN, 0.0, count - m["class_logs"][k]))), rare],
+                pa.array(total(count)), pa.array(total(logs / math.log(10) + np.where(k < OWN, 0.0, count - m["leaf_logs"][f.leaves]))), rare],
                 ["doc_id", "held_out", "n_tokens", "known", "counted", "modelled", "rare"])
 
     id_type = dict(d.dtypes)["doc_id"]

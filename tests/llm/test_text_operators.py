@@ -2,6 +2,7 @@
 
 import collections
 import math
+import random
 import re
 import zlib
 
@@ -410,3 +411,35 @@ def test_model_sums_to_one(spark):
         within[k] += 1.0 if k < lm.OWN else (c + 1) / 10 ** m["class_logs"][k]
     for k in range(lm.OWN, lm.CLASSES):  # and one place for all unseen words
         assert math.isclose(within[k] + 10 ** -m["class_logs"][k], 1, rel_tol=1e-9)
+
+
+def test_model_within_classes(spark):
+    rng = random.Random(3)
+    follow = {f"x{i}": f"y{i}" for i in range(60)}
+    d = spark.createDataFrame([(i, " ".join(f"{x} {follow[x]}" for x in rng.sample(sorted(follow), 30))) for i in range(200)], "doc_id long, text string")
+    counts = lm.word_counts(d)
+    m = lm.fit(d, counts)
+    codes = lm.Codes(m["frequent"])
+
+    def logs(docs, codes=codes):
+        f = lm.Flat(docs, codes)
+        return f, lm.way_logs(f, m)
+
+    # all leaves and own classes after one history sum to one, and so do the words of a leaf with one place for all unseen ones
+    leaves = [b"%d" % i for i in range(lm.LEAVES)]
+    each = {b"": codes[b""], b"x1": codes[b"x1"], b"y1": codes[b"y1"]} | {w: i for i, w in enumerate(leaves)} | {b"own%d" % i: i + 1 << 32 for i in range(lm.OWN)}
+    f, p = logs([[b"x1", b"y1", w] for w in [*leaves, *(b"own%d" % i for i in range(lm.OWN))]], each)
+    assert math.isclose(np.exp(p[2::4]).sum(), 1, rel_tol=1e-4)
+    within = np.zeros(lm.LEAVES)
+    for r in counts.collect():
+        code = np.array([codes[r["word"].encode()]])
+        if lm.classes(code)[0] >= lm.OWN:
+            within[lm.leaves(code)[0]] += (r["c"] + 1) / 10 ** m["leaf_logs"][lm.leaves(code)[0]]
+    assert np.allclose(within + 10 ** -m["leaf_logs"], 1)
+    # history chooses among the words of one shared class
+    kind = lambda w: int(lm.classes(np.array([codes[w.encode()]]))[0])
+    pairs = [(x, y, z) for x, y in follow.items() for z in follow.values() if z != y and kind(z) == kind(y) >= lm.OWN]
+    assert len(pairs) > 100
+    _, right = logs([[x.encode(), y.encode()] for x, y, _ in pairs])
+    _, wrong = logs([[x.encode(), z.encode()] for x, _, z in pairs])
+    assert (right[1::3] - wrong[1::3]).mean() > 0.5
