@@ -30,16 +30,15 @@ from __future__ import annotations
 
 import math
 import zlib
-from collections import Counter
-from itertools import compress
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ship_package
-from .common import col, texts, written
+from .common import col, written
 
 #: Broadcast words, classes (words with a class of their own, shared ones), rows of a feature's table, tokens of a gradient step, rounds.
 FREQUENT, OWN, SHARED, ROWS, STEP, ROUNDS = 65536, 8, 8, 1 << 15, 8192, 2
@@ -111,24 +110,69 @@ def class_scores(weights: np.ndarray, prior: np.ndarray, rows: list[np.ndarray])
     return z, e, e @ _ONES
 
 
+def split(column: pa.Array) -> pa.ListArray:
+    """The words of the texts, A-Z in lower case (null: no text, or none)."""
+    text = pc.ascii_trim_whitespace(pc.ascii_lower(column.cast(pa.string())))
+    return pc.ascii_split_whitespace(pc.if_else(pc.equal(text, ""), pa.scalar(None, pa.string()), text))
+
+
+class Words:
+    """The words of a batch of texts: the distinct ones, the place of each
+    token among them, its code, and how many there are in each text.  A
+    distinct word is looked up once."""
+
+    def __init__(self, column: pa.Array, codes: Codes):
+        lists = split(column)
+        self.sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        found = lists.flatten().dictionary_encode()
+        self.distinct, self.place = found.dictionary, found.indices.to_numpy(zero_copy_only=False)
+        # joined and cut again at once, as no word holds a space
+        row = pc.binary_join(pa.ListArray.from_arrays([0, len(self.distinct)], self.distinct.cast(pa.binary())), b" ")[0].as_py()
+        known = np.fromiter(map(codes.__getitem__, row.split()), np.int64, len(self.distinct))
+        self.codes = known.take(self.place)
+        self.start = np.append(0, np.cumsum(self.sizes))
+
+    def groups(self, slices: int = 128):
+        """Slices of texts of about 2**16 tokens (or one text), and of no more
+        than ``slices`` texts."""
+        for i in range(0, len(self.sizes), slices):
+            at, held, last = i, 0, min(i + slices, len(self.sizes))
+            for j in range(i, last):
+                held += self.sizes[j] + 1
+                if held >= _FLAT:
+                    yield at, j + 1
+                    at, held = j + 1, 0
+            if at < last:
+                yield at, last
+
+    def own(self, a: int, z: int) -> slice:
+        """The tokens of the texts from ``a`` to ``z``."""
+        return slice(self.start[a], self.start[z])
+
+
 class Flat:
     """Documents as one row of codes, each with two ends before it."""
 
     def __init__(self, docs: list[list[bytes]], codes: Codes):
-        end = codes[b""]
-        parts = []
-        for words in docs:
-            x = np.empty(len(words) + 3, np.int64)
-            x[:2] = x[-1] = end
-            x[2:-1] = np.fromiter(map(codes.__getitem__, words), np.int64, len(words))
-            parts.append(x)
-        self.codes = np.concatenate(parts)
-        sizes = np.array([len(p) for p in parts])
-        target = np.ones(len(self.codes), bool)
-        first = np.cumsum(sizes) - sizes
+        self._lay(np.array([codes[w] for d in docs for w in d], np.int64), np.array([len(d) for d in docs]), codes[b""])
+
+    @classmethod
+    def of(cls, words: Words, a: int, z: int, codes: Codes) -> Flat:
+        f = cls.__new__(cls)
+        f._lay(words.codes[words.own(a, z)], words.sizes[a:z], codes[b""])
+        return f
+
+    def _lay(self, own: np.ndarray, n: np.ndarray, end: int) -> None:
+        sizes = n + 3
+        last = np.cumsum(sizes) - 1
+        first = last - sizes + 1
+        target = np.ones(sizes.sum(), bool)
         target[first] = target[first + 1] = False
         self.at = np.flatnonzero(target)
-        self.doc = np.repeat(np.arange(len(docs)), sizes - 2)
+        self.doc = np.repeat(np.arange(len(n)), sizes - 2)
+        target[last] = False
+        self.codes = np.full(len(target), end, np.int64)
+        self.codes[target] = own
         self.crc = self.codes & 0xFFFFFFFF
         own = self.codes[self.at]
         self.leaves = leaves(own)
@@ -149,18 +193,6 @@ class Flat:
                 yield place, k, histories(self.crc, self.at[place], node), prior[level].take(node, axis=0)
 
 
-def groups(docs: list[list[bytes]]):
-    """Slices of documents of about 2**16 tokens (or one document)."""
-    at, held = 0, 0
-    for i, d in enumerate(docs):
-        held += len(d) + 1
-        if held >= _FLAT:
-            yield at, i + 1
-            at, held = i + 1, 0
-    if at < len(docs):
-        yield at, len(docs)
-
-
 def row_sums(g: np.ndarray, r: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The distinct of ``r``, how often each occurs, and the sums of ``g``'s
     rows by it: neighbours in the order of ``r`` are added pairwise."""
@@ -185,19 +217,20 @@ def row_sums(g: np.ndarray, r: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.n
     return own[first].astype(np.intp), n, sums
 
 
-def train_share(weights: np.ndarray, prior: list[np.ndarray], docs_of, codes: Codes) -> tuple[np.ndarray, np.ndarray]:
-    """Gradient steps through lists of documents: the weights, and how often
-    each row was met."""
+def train_share(weights: np.ndarray, prior: list[np.ndarray], texts, codes: Codes) -> tuple[np.ndarray, np.ndarray]:
+    """Gradient steps through arrays of texts: the weights, and how often each
+    row was met."""
     w, seen, power = weights.copy(), np.zeros((TABLES, ROWS), np.float32), np.full((TABLES, ROWS), 1.0, np.float32)
-    for docs in docs_of:
-        for a, z in groups(docs):
-            f = Flat(docs[a:z], codes)
+    for column in texts:
+        words = Words(column, codes)
+        for a, z in words.groups():
+            f = Flat.of(words, a, z, codes)
             for level in range(LEVELS):
                 own = level * FEATURES
                 for _, k, rows, known in f.ways(level, prior):
                     _, g, total = class_scores(w[own:own + FEATURES], known, rows)
-                    g /= total[:, None]
-                    g[np.arange(len(k)), k] -= 1
+                    g *= np.reciprocal(total)[:, None]
+                    g.ravel()[np.arange(0, g.size, CLASSES) + k] -= 1
                     for r, wj, seen_j, power_j in zip(rows, w[own:], seen[own:], power[own:]):
                         u, n, sums = row_sums(g, r)
                         seen_j[u] += n
@@ -209,28 +242,20 @@ def train_share(weights: np.ndarray, prior: list[np.ndarray], docs_of, codes: Co
     return w, seen
 
 
-def _words(column: pa.Array) -> list[list[bytes]]:
-    return [t.lower().split() for t in texts(column)]
+def _parts(b: pa.RecordBatch, rows: int = 2048):
+    """A batch in slices, so that what a task holds is bounded."""
+    return (b.slice(i, rows) for i in range(0, b.num_rows, rows))
 
 
 def word_counts(training: DataFrame) -> DataFrame:
     """``(word, c)``: all tokens of the training texts, the end as the empty
     word; each task sums up before the shuffle, in bounded memory."""
     def count(batches):
-        def out():
-            return pa.RecordBatch.from_arrays([pa.array([w.decode() for w in held], pa.string()), pa.array(list(held.values()), pa.int64())], ["word", "n"])
-
-        held: Counter = Counter()
         for b in batches:
-            for i in range(0, b.num_rows, 256):
-                part = _words(b.slice(i, 256).column(0))
-                for words in part:
-                    held.update(words)
-                held[b""] += len(part)
-                if len(held) > 150_000:
-                    yield out()
-                    held.clear()
-        yield out()
+            for part in _parts(b):
+                found = split(part.column(0)).flatten().value_counts()
+                yield pa.RecordBatch.from_arrays([found.field(0), found.field(1)], ["word", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array([""]), pa.array([part.num_rows])], ["word", "n"])
 
     return training.select(col("text").alias("text")).mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("c"))
 
@@ -270,7 +295,7 @@ def fit(training: DataFrame, counts: DataFrame, rounds: int = ROUNDS):
 
         def share(batches):
             words, prior_, w = sent.value
-            w, seen = train_share(w, prior_, (_words(b.slice(i, 128).column(0)) for b in batches for i in range(0, b.num_rows, 128)), Codes(words))
+            w, seen = train_share(w, prior_, (part.column(0) for b in batches for part in _parts(b)), Codes(words))
             blocks = [(j * cuts + i, np.s_[j, i * CUT:(i + 1) * CUT]) for j in range(TABLES) for i in range(cuts)]
             blocks = [(n, s) for n, s in blocks if seen[s].any()]
             yield pa.RecordBatch.from_arrays([
@@ -331,24 +356,24 @@ def score(docs: DataFrame, held_out_of: int = 7, held_out: int = 2, rounds: int
         m = sent.value
         codes, seen = Codes(m["frequent"]), np.log10(np.append(1.0, m["c"] + 1.0))
         for b in batches:
-            for i in range(0, b.num_rows, 128):
-                yield from part(b.slice(i, 128), m, codes, seen)
+            for p in _parts(b):
+                yield from part(p, m, codes, seen)
 
     def part(b, m, codes, seen):
-        docs_ = _words(b.column(1))
-        for a, z in groups(docs_):
-            f = Flat(docs_[a:z], codes)
+        words = Words(b.column(1), codes)
+        for a, z in words.groups():
+            f = Flat.of(words, a, z, codes)
             n, own, k = z - a, f.codes[f.at] >> 32, f.classes
             logs = way_logs(f, m)
             count = seen[own]  # log10(c + 1); 0 for words that meet their count later
             total = lambda x: np.bincount(f.doc, x, minlength=n)
-            outside = (own == 0).tobytes()
-            ends = np.cumsum([len(words) + 1 for words in docs_[a:z]]).tolist()
-            rest = [Counter(compress(words, outside[e - len(words) - 1:e - 1])) for words, e in zip(docs_[a:z], ends)]
-            flat = [(w.decode(), c) for r in rest for w, c in r.items()]
+            # the words outside the frequent ones, and how often each is in its text
+            here, kinds = words.own(a, z), max(len(words.distinct), 1)
+            outside = np.flatnonzero(words.codes[here] >> 32 == 0)
+            met, tf = np.unique(np.repeat(np.arange(n), words.sizes[a:z])[outside] * kinds + words.place[here][outside], return_counts=True)
             rare = pa.ListArray.from_arrays(
-                pa.array(np.concatenate(([0], np.cumsum([len(r) for r in rest]))), pa.int32()),
-                pa.StructArray.from_arrays([pa.array([x[0] for x in flat], pa.string()), pa.array([x[1] for x in flat], pa.int64())], ["word", "tf"]))
+                pa.array(np.append(0, np.cumsum(np.bincount(met // kinds, minlength=n))), pa.int32()),
+                pa.StructArray.from_arrays([words.distinct.take(pa.array(met % kinds)), pa.array(tf, pa.int64())], ["word", "tf"]))
             yield pa.RecordBatch.from_arrays([
                 b.column(0).slice(a, n), b.column(2).slice(a, n), pa.array(np.bincount(f.doc, minlength=n)), pa.array(total(own > 0).astype(np.int64)),
                 pa.array(total(count)), pa.array(total(logs / math.log(10) + np.where(k < OWN, 0.0, count - m["leaf_logs"][f.leaves]))), rare],

@@ -7,6 +7,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -413,6 +414,25 @@ def test_model_sums_to_one(spark):
         assert math.isclose(within[k] + 10 ** -m["class_logs"][k], 1, rel_tol=1e-9)
 
 
+def test_model_words_are_looked_up_once():
+    t = pa.array([None, "", " \t", " A b\t\nc\x0bD\x0ce \r", "b a b \u00c9 \u00e9 a\x1cb x\x85y"] * 50)
+    looked = []
+
+    class Seen(dict):
+        def __missing__(self, word):
+            looked.append(word)
+            return zlib.crc32(word)
+
+    words = lm.Words(t, Seen())
+    want = [(x or "").encode().lower().split() for x in t.to_pylist()]
+    assert words.sizes.tolist() == [len(w) for w in want] and words.codes.tolist() == [zlib.crc32(w) for x in want for w in x]
+    assert sorted(looked) == sorted({w for x in want for w in x})
+    whole, parts = lm.Flat(want, lm.Codes([])), [lm.Flat.of(words, a, z, lm.Codes([])) for a, z in words.groups(7)]
+    assert np.concatenate([f.codes for f in parts]).tolist() == whole.codes.tolist() and sum(len(f.at) for f in parts) == len(whole.at)
+    none = lm.Words(t.slice(0, 3), Seen())
+    assert len(none.codes) == 0 and [f for f in none.groups()] == [(0, 3)] and len(lm.Flat.of(none, 0, 3, lm.Codes([])).at) == 3
+
+
 def test_model_within_classes(spark):
     rng = random.Random(3)
     follow = {f"x{i}": f"y{i}" for i in range(60)}
