@@ -229,7 +229,7 @@ def train_share(weights: np.ndarray, prior: list[np.ndarray], texts, codes: Code
                 own = level * FEATURES
                 for _, k, rows, known in f.ways(level, prior):
                     _, g, total = class_scores(w[own:own + FEATURES], known, rows)
-                    g *= np.reciprocal(total)[:, None]
+                    g /= total[:, None]
                     g.ravel()[np.arange(0, g.size, CLASSES) + k] -= 1
                     for r, wj, seen_j, power_j in zip(rows, w[own:], seen[own:], power[own:]):
                         u, n, sums = row_sums(g, r)
