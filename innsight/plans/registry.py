@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import ship_package
+from ..session import compiled, ship_package
 from .lake import lake
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -36,7 +36,8 @@ def register(name: str, oracle: str | None = None):
     def deco(fn):
         def builder(spark: SparkSession, sf_dir: str) -> DataFrame:
             ship_package(spark)
-            return finish(fn(lake(spark, sf_dir)))
+            with compiled(spark):  # layers and whatever else is written or looked up on the way
+                return finish(fn(lake(spark, sf_dir)))
         builder.__name__ = f"q_{name}"
         builder.__doc__ = fn.__doc__
         REGISTRY[name] = (builder, oracle)

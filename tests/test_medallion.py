@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from innsight.plans.lake import Lake
 from innsight.plans.medallion import run_pipeline
+from innsight.session import LONGEST_COMPILED, materialize
 
 SF001 = "/root/testdata/sf0.001"
 
@@ -36,3 +38,23 @@ def test_a_failed_stage_ends_the_run(spark, tmp_path):
     (tmp_path / "run" / "gold").write_text("a file where a folder should be")
     log = [(r["stage"], r["status"].split(":")[0]) for r in run_pipeline(spark, SF001, str(tmp_path / "run")).collect()]
     assert log == [("silver", "success"), ("gold", "failed")]
+
+
+def test_layers_are_written_by_methods_that_the_jvm_compiles(spark, monkeypatch):
+    limit, seen = "spark.sql.codegen.hugeMethodLimit", []
+    assert spark.conf.get(limit, None) is None
+    for name in ("parquet", "saveAsTable"):
+        def write(self, *a, own=getattr(DataFrameWriter, name), **k):
+            seen.append(spark.conf.get(limit, None))
+            return own(self, *a, **k)
+        monkeypatch.setattr(DataFrameWriter, name, write)
+    lk = Lake(spark, SF001)
+    assert lk.gold.count() == lk.listings.count()
+    assert len(seen) > 5 and {int(x) for x in seen} == {LONGEST_COMPILED}
+    assert spark.conf.get(limit, None) is None
+    spark.conf.set(limit, "20000")
+    try:
+        materialize(spark.range(3))
+        assert seen[-1] == spark.conf.get(limit) == "20000"
+    finally:
+        spark.conf.unset(limit)
