@@ -8,8 +8,6 @@ header, multi-line records and ``"`` as escape.  Landing reads compressed
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -51,41 +49,54 @@ def read_text_csv(spark: SparkSession, path: str, multi_line: bool = True) -> Da
             .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
 
 
-#: Types from narrow to wide; a column takes the first that all its values fit.
+#: Types and the kinds of values that each holds; a column takes the first that holds all its values.
+_HOLDS = {"int": ["int"], "bigint": ["int", "bigint"], "double": ["int", "bigint", "double"],
+          "date": ["date"], "timestamp": ["date", "timestamp"], "boolean": ["boolean"]}
+_KINDS = ["int", "bigint", "double", "date", "timestamp", "boolean", "string"]
+_BIT = {k: 1 << i for i, k in enumerate(_KINDS)}
+_WHOLE = "^[+-]?[0-9]+$"
 _NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
-_LADDER: list[tuple[str, Callable[[Column], Column]]] = [
-    ("int", lambda v: v.rlike("^[+-]?[0-9]+$") & v.try_cast("int").isNotNull()),
-    ("bigint", lambda v: v.rlike("^[+-]?[0-9]+$") & v.try_cast("bigint").isNotNull()),
-    ("double", lambda v: v.rlike(_NUMBER) | v.isin("NaN", "Infinity", "-Infinity")),
-    ("date", lambda v: v.rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2}$") & v.try_cast("date").isNotNull()),
-    ("timestamp", lambda v: v.rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2}([ T][0-9]{2}:[0-9]{2}|$)") & v.try_cast("timestamp").isNotNull()),
-    ("boolean", lambda v: F.lower(v).isin("true", "false")),
-]
+_MOMENT = "^[0-9]{4}-[0-9]{2}-[0-9]{2}([ T][0-9]{2}:[0-9]{2}|$)"
+
+
+def _kind(v: Column) -> Column:
+    """The bit of a value's kind, its narrowest type.  What a value begins
+    with rules out most patterns: figures, signs and points sort before a
+    colon, words after it, and a day has a dash in the fifth place."""
+    bit = {k: F.lit(b) for k, b in _BIT.items()}
+    whole = F.when(v.try_cast("int").isNotNull(), bit["int"]).when(v.try_cast("bigint").isNotNull(), bit["bigint"]).otherwise(bit["double"])
+    moment = (F.when((F.length(v) < len("2025-01-01 00:00")) & v.try_cast("date").isNotNull(), bit["date"])
+              .when(v.try_cast("timestamp").isNotNull(), bit["timestamp"]).otherwise(bit["string"]))
+    figures = (F.when((F.substring(v, 5, 1) == "-") & v.rlike(_MOMENT), moment).when(v.rlike(_WHOLE), whole)
+               .when(v.rlike(_NUMBER) | (v == "-Infinity"), bit["double"]).otherwise(bit["string"]))
+    words = F.when(v.isin("NaN", "Infinity"), bit["double"]).when(F.lower(v).isin("true", "false"), bit["boolean"]).otherwise(bit["string"])
+    return F.when(v < ":", figures).otherwise(words)
 
 
 def inferred_types(df: DataFrame) -> DataFrame:
     """SRC1: ``(position, column_name, data_type)`` of the text columns of
     ``df``, from one aggregate over all rows: a column's type is the narrowest
     that holds every value that is neither null nor empty (int, bigint,
-    double; date, timestamp; boolean), else string.  The outcomes are counts,
-    so neither the order of the rows nor their partitions matter, and a bad
-    value in the last row is seen like one in the first.  A column without a
+    double; date, timestamp; boolean), else string.  The outcomes are the
+    kinds of values met, so neither the order of the rows nor their partitions
+    matter, and a bad value in the last row is seen like one in the first.
+    The rows are taken apart into values first, so that one short expression
+    meets them all, however many columns there are.  A column without a
     value is a string, as are integers mixed with dates.  Integers beyond a
     bigint are doubles (the reader's own inference makes them decimals)."""
     if not df.columns:
         return df.sparkSession.createDataFrame([], "position int, column_name string, data_type string")
-    texts = df.select(*[F.nullif(F.col(f"`{c}`"), F.lit("")).alias(f"v{i}") for i, c in enumerate(df.columns)])
-    row = texts.agg(*[f for i in range(len(df.columns)) for f in (
-        F.count(f"v{i}").alias(f"n{i}"), *[F.count_if(fits(F.col(f"v{i}"))).alias(f"{t}{i}") for t, fits in _LADDER])])
-
-    def narrowest(i: int) -> Column:
-        out = F.when(F.col(f"n{i}") == 0, "string")
-        for t, _ in _LADDER:
-            out = out.when(F.col(f"{t}{i}") == F.col(f"n{i}"), t)
-        return out.otherwise("string")
-
-    return row.select(F.inline(F.array(*[F.struct(F.lit(i).alias("position"), F.lit(c).alias("column_name"), narrowest(i).alias("data_type"))
-                                         for i, c in enumerate(df.columns)])))
+    names = df.columns
+    rows = df.select(F.array(*[F.col(f"`{c}`") for c in names]).alias("row"))
+    # and a row without values, so that a table without rows has its columns
+    rows = rows.union(df.sparkSession.range(1).select(F.array_repeat(F.lit(None).cast("string"), len(names))))
+    values = rows.select(F.posexplode("row").alias("position", "v"))
+    met = values.groupBy("position").agg(F.coalesce(F.bit_or(F.when(F.col("v") != "", _kind(F.col("v")))), F.lit(0)).alias("met"))
+    narrowest = F.when(F.col("met") == 0, "string")
+    for t, kinds in _HOLDS.items():
+        narrowest = narrowest.when(F.col("met").bitwiseAND(F.lit(sum(b for k, b in _BIT.items() if k not in kinds))) == 0, t)
+    return met.select("position", F.element_at(F.array(*map(F.lit, names)), F.col("position") + 1).alias("column_name"),
+                      narrowest.otherwise("string").alias("data_type"))
 
 
 def read_inferred_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:

@@ -50,6 +50,26 @@ def test_inference_is_one_scan(spark, tmp_path):
     assert plan.count("FileScan csv") == 1 and plan.count("Exchange") == 1
 
 
+def test_inference_meets_values_with_one_expression(spark):
+    def tests(columns):
+        df = spark.range(3).selectExpr(*[f"string(id) AS c{i}" for i in range(columns)])
+        return FS.inferred_types(df)._jdf.queryExecution().optimizedPlan().toString().count("RLIKE")
+
+    assert tests(1) == tests(5) > 0
+
+
+def test_inferred_types_of_odd_values(spark):
+    want = {"+5": "int", "-0": "int", "7\n": "int", "3000000000": "bigint", "99999999999999999999": "double", ".5": "double", "1.": "double", "-1e5": "double", "1.0e-5": "double",
+            "NaN": "double", "Infinity": "double", "-Infinity": "double", "nan": "string", "+Infinity": "string", "2025-09-28": "date", "2025-09-28\n": "date", "2025-13-01": "string",
+            "2025-09-28 10:30": "timestamp", "2025-09-28T10:30:00Z": "timestamp", "2025-09-28 x": "string", "2025-09": "string", "TRUE": "boolean", "t": "string",
+            " 5": "string", "$5": "string", "-": "string", ":": "string", "\u0665": "string", "": "string", None: "string"}
+    df = spark.createDataFrame([tuple(want), (None,) * len(want)], ", ".join(f"c{i} string" for i in range(len(want))))
+    got = FS.inferred_types(df).orderBy("position").collect()
+    assert [r["data_type"] for r in got] == list(want.values()) and [r["column_name"] for r in got] == df.columns
+    mixed = spark.createDataFrame([("1", "1", "2025-09-28", "1", "true"), ("3000000000", "1.5", "2025-09-28 10:30", "2025-09-28", "1")], "a string, b string, c string, d string, e string")
+    assert [r["data_type"] for r in FS.inferred_types(mixed).orderBy("position").collect()] == ["bigint", "double", "timestamp", "string", "string"]
+
+
 def test_value_profile_of_few_values(spark):
     n = 4000
     rows = [("hot" if i % 3 == 0 else f"v{i % 14}", f"v{i % 14}", f"v{i % 15}", f"v{i % 70}", str(i), None, "x" if i == 7 else None, "one" if i % 500 else str(i))
