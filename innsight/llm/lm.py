@@ -57,6 +57,14 @@ class Codes(dict):
     def __init__(self, frequent: list[bytes], room: int = 50_000):
         super().__init__((w, zlib.crc32(w) | (i + 1) << 32) for i, w in enumerate(frequent))
         self.most = len(self) + room
+        self.frequent = pa.array(frequent, pa.binary())
+
+    def of(self, words: pa.Array) -> np.ndarray:
+        """The codes of an array of words, without a Python step for each."""
+        # joined and cut again at once, as no word holds a space
+        row = pc.binary_join(pa.ListArray.from_arrays([0, len(words)], words), b" ")[0].as_py()
+        place = pc.fill_null(pc.index_in(words, value_set=self.frequent), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+        return np.fromiter(map(zlib.crc32, row.split()), np.int64, len(words)) | place + 1 << 32
 
     def __missing__(self, word: bytes) -> int:
         code = zlib.crc32(word)
@@ -121,14 +129,13 @@ class Words:
     token among them, its code, and how many there are in each text.  A
     distinct word is looked up once."""
 
-    def __init__(self, column: pa.Array, codes: Codes):
+    def __init__(self, column: pa.Array, codes: Codes | dict[bytes, int]):
         lists = split(column)
         self.sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
         found = lists.flatten().dictionary_encode()
         self.distinct, self.place = found.dictionary, found.indices.to_numpy(zero_copy_only=False)
-        # joined and cut again at once, as no word holds a space
-        row = pc.binary_join(pa.ListArray.from_arrays([0, len(self.distinct)], self.distinct.cast(pa.binary())), b" ")[0].as_py()
-        known = np.fromiter(map(codes.__getitem__, row.split()), np.int64, len(self.distinct))
+        words = self.distinct.cast(pa.binary())
+        known = codes.of(words) if isinstance(codes, Codes) else np.array([codes[w] for w in words.to_pylist()], np.int64)
         self.codes = known.take(self.place)
         self.start = np.append(0, np.cumsum(self.sizes))
 
@@ -193,11 +200,17 @@ class Flat:
                 yield place, k, histories(self.crc, self.at[place], node), prior[level].take(node, axis=0)
 
 
+def whole_rows(x: np.ndarray) -> np.ndarray:
+    """The rows of a table as single values, which are written much faster by
+    their places than a row of numbers each."""
+    return x.view(np.dtype((np.void, x.strides[0]))).ravel()
+
+
 def row_sums(g: np.ndarray, r: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The distinct of ``r``, how often each occurs, and the sums of ``g``'s
     rows by it: neighbours in the order of ``r`` are added pairwise."""
     order = np.argsort(r, kind="stable")
-    own = r[order]
+    own = r.take(order)
     new = np.append(True, own[1:] != own[:-1])
     first = np.flatnonzero(new)
     n = np.diff(np.append(first, len(own)))
@@ -207,11 +220,11 @@ def row_sums(g: np.ndarray, r: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.n
     rest = g.take(order[~new], axis=0)  # what comes after a value's first row, added up at the first of these
     start = np.cumsum(size) - size
     place = np.arange(len(rest), dtype=np.int32) - np.repeat(start.astype(np.int32), size)
-    at, left, step = np.arange(len(rest)), np.repeat(size, size) - place, 1
+    at, left, step, cells = np.arange(len(rest)), np.repeat(size, size) - place, 1, whole_rows(rest)
     while len(at):
         here = np.flatnonzero((place & 2 * step - 1 == 0) & (left > step))
-        at, place, left = at[here], place[here], left[here]
-        rest[at] = rest.take(at, axis=0) + rest.take(at + step, axis=0)
+        at, place, left = at.take(here), place.take(here), left.take(here)
+        cells[at] = whole_rows(rest.take(at, axis=0) + rest.take(at + step, axis=0))
         step *= 2
     sums[many] += rest.take(start, axis=0)
     return own[first].astype(np.intp), n, sums
@@ -238,7 +251,7 @@ def train_share(weights: np.ndarray, prior: list[np.ndarray], texts, codes: Code
                         power_j[u] = power_u
                         sums *= (-RATE / np.sqrt(power_u))[:, None]
                         sums += wj.take(u, axis=0)
-                        wj[u] = sums
+                        whole_rows(wj)[u] = whole_rows(sums)
     return w, seen
 
 
@@ -335,7 +348,7 @@ def way_logs(f: Flat, m: dict) -> np.ndarray:
         own = level * FEATURES
         for place, k, rows, known in f.ways(level, m["priors"]):
             scores, _, sums = class_scores(m["weights"][own:own + FEATURES], known, rows)
-            logs[place] += scores[np.arange(len(k)), k] - np.log(sums)
+            logs[place] += scores.ravel().take(np.arange(0, scores.size, CLASSES) + k) - np.log(sums)
     return logs
 
 

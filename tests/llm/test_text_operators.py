@@ -433,6 +433,31 @@ def test_model_words_are_looked_up_once():
     assert len(none.codes) == 0 and [f for f in none.groups()] == [(0, 3)] and len(lm.Flat.of(none, 0, 3, lm.Codes([])).at) == 3
 
 
+@pytest.mark.parametrize("frequent", [[], [b"", b"a", b"\xc3\xa9"], [b"%d" % i for i in range(300)]])
+def test_model_codes_without_a_step_a_word(monkeypatch, frequent):
+    t = pa.array([None, "", "a B \u00e9 b", " ".join(map(str, range(500))), "x\x85y z\u2003w"])
+    want = [lm.Codes(frequent)[w] for x in t.to_pylist() for w in (x or "").encode().lower().split()]
+
+    def missing(codes, word):
+        raise AssertionError(f"{word} was looked up alone")
+
+    monkeypatch.setattr(lm.Codes, "__missing__", missing)
+    assert lm.Words(t, lm.Codes(frequent)).codes.tolist() == want
+    assert len(lm.Words(t.slice(0, 2), lm.Codes(frequent)).codes) == 0
+
+
+def test_model_row_sums():
+    rng = np.random.default_rng(5)
+    for r in (rng.integers(0, 40, 500), np.arange(9), np.zeros(7)):
+        g, r = rng.normal(size=(len(r), lm.CLASSES)).astype(np.float32), r.astype(np.uint16)
+        u, n, sums = lm.row_sums(g, r)
+        assert u.tolist() == sorted(set(r.tolist())) and n.tolist() == [int((r == x).sum()) for x in u]
+        assert np.allclose(sums, [g[r == x].astype(float).sum(0) for x in u], atol=1e-4)
+    w = np.zeros((6, lm.CLASSES), np.float32)
+    lm.whole_rows(w)[np.array([4, 1])] = lm.whole_rows(g[:2].copy())
+    assert np.array_equal(w[[4, 1]], g[:2]) and not w[[0, 2, 3, 5]].any()
+
+
 def test_model_within_classes(spark):
     rng = random.Random(3)
     follow = {f"x{i}": f"y{i}" for i in range(60)}
