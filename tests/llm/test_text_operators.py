@@ -12,8 +12,8 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from innsight.llm import lines, lm, mixing, packing, quality, secrets, simhash, substring
-from innsight.llm.common import components, least_labels, table
+from innsight.llm import common, lines, lm, mixing, packing, quality, secrets, simhash, substring
+from innsight.llm.common import components, least_labels, table, written
 from innsight.llm.queries import KNOTS
 
 from .data import SF, edge_docs
@@ -344,6 +344,78 @@ def test_short_lines_wrapped_paragraphs_and_short_texts(spark):
     assert 7 not in {r["doc_id"] for r in out}
 
 
+def test_shingles_without_a_step_a_word(monkeypatch):
+    rng = np.random.default_rng(8)
+    data = rng.integers(0, 256, 5000).astype(np.uint8).tobytes()
+    starts = rng.integers(0, 4000, 600)
+    stops = starts + np.arange(600) % 200
+    for seed in (0, 1, 3):
+        assert substring.hashes(data, starts, stops, seed).tolist() == [xxhash.xxh3_64_intdigest(data[a:z], seed) for a, z in zip(starts.tolist(), stops.tolist())]
+    word = lambda: "x" * int(rng.choice([1, 2, 9, 60])) + str(rng.integers(0, 30))
+    some = ["", " \n\t", "a b c d", "\x0bÉ\x1cb  c\r\nd\x0ce\n", *["".join(word() + str(rng.choice([" ", " ", "\t ", "\n", "\n \n"])) for _ in range(n)) for n in (5, 6, 14, 33, 34, 35, 400)]]
+    held = [x.encode().lower() for x in some]
+    t = substring.Texts(held)
+    h, many = t.shingles()
+    for i, x in enumerate(held):
+        words, own = x.split(), h[t.first[i]:t.first[i] + many[i]]
+        want = [xxhash.xxh3_64_intdigest(b" ".join(words[j:j + 5])) for j in range(max(1, len(words) - 4))] if words else []
+        assert own.tolist() == want and t.first[i + 1] - t.first[i] == len(words)
+        assert [n for text, n in zip(t.text, t.n) if text == i] == [len(y.split()) for y in x.split(b"\n")]
+        if words:
+            places = {max(k for k in range(j, min(j + 30, len(want))) if want[k] == min(want[j:j + 30])) for j in range(max(1, len(want) - 29))}
+            assert (substring.anchors(h, t.first[i:i + 1], many[i:i + 1], 30) - t.first[i]).tolist() == sorted(places)
+    same = np.array([3, 1, 1, 5, 1, 7], np.uint64)
+    assert substring.anchors(same, np.array([0]), np.array([6]), 3).tolist() == [2, 4] and substring.anchors(same, np.array([0, 3]), np.array([3, 3]), 30).tolist() == [2, 4]
+
+    steps, digest = [], xxhash.xxh3_64_intdigest
+    monkeypatch.setattr(xxhash, "xxh3_64_intdigest", lambda *a: steps.append(1) or digest(*a))
+    line = lambda: " ".join(f"word{i}" for i in rng.integers(0, 10**6, 30))
+    text = pa.array(["\n".join(line() for _ in range(20)) for _ in range(20)])
+    ids = pa.array(range(20), pa.int64())
+    out = list(substring._paragraphs(11, 2, 5, 15, 30)(pa.RecordBatch.from_arrays([ids, ids, ids, text], ["k1", "k2", "doc_id", "text"])))
+    assert sum(b.num_rows for b in out) > 800 and len(steps) < 500  # of 12,000 words: the lines' classes
+
+
+def test_classes_that_collide_in_several_bands_are_compared_once(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    rows = []
+    for i in range(30):
+        w = [f"x{k}" for k in rng.integers(0, 10**6, 60)]
+        rows += [(2 * i, " ".join(w)), (2 * i + 1, " ".join([*w[:-1], "other"]))]
+    seen = {}
+    monkeypatch.setattr(substring, "written", lambda df, name: seen.setdefault(name, written(df, name)))
+    out = substring.repeated(spark.createDataFrame(rows, "doc_id long, text string")).filter("kind = 'line'").collect()
+    pairs = collections.defaultdict(set)
+    for r in out:
+        pairs[r["cluster"]].add(r["doc_id"])
+    assert sorted(map(sorted, pairs.values())) == [[2 * i, 2 * i + 1] for i in range(30)]
+    assert seen["collisions"].count() == 60
+
+
+@pytest.mark.parametrize("few", [0, 8])
+def test_links_of_few_and_many(monkeypatch, few):
+    monkeypatch.setattr(substring, "FEW", few)
+    rng = np.random.default_rng(10)
+    for n in (1, 2, 3, 8, 9):
+        for _ in range(40):
+            sets = [np.unique(rng.integers(0, 12, rng.integers(1, 12))).astype(np.uint64) for _ in range(n)]
+            close = [(i, j) for i in range(n) for j in range(i) if 5 * len(np.intersect1d(sets[i], sets[j])) >= 4 * len(np.union1d(sets[i], sets[j]))]
+            edges = substring.link_sets(list(range(n)), sets, 0.8)
+            label = lambda e: least_labels(np.array([x[0] for x in e], int), np.array([x[1] for x in e], int), n).tolist()
+            assert label(edges) == label(close) and len(edges) == n - len(set(label(close)))
+
+
+@pytest.mark.parametrize("shares", [3, 10_000])
+def test_counted_join_of_a_hot_key(spark, monkeypatch, shares):
+    monkeypatch.setattr(common, "SHARES", shares)
+    big = spark.createDataFrame([(7 if i % 2 else i, i, i % 5) for i in range(400)] + [(None, 1, 1)], "k long, uid long, _salt long")
+    small = big.filter("k is not null and (k = 7 or k % 3 = 0)").groupBy("k").count().selectExpr("k", "k + 1 as `_Salts`", "count")
+    got = common.join_counted(big, small, "k", big["uid"])
+    assert got.columns == ["k", "uid", "_salt", "_Salts"]
+    assert sorted(map(tuple, got.collect())) == sorted((k, i, s, k + 1) for k, i, s in map(tuple, big.collect()) if k is not None and (k == 7 or k % 3 == 0))
+    assert common.join_counted(big, small.limit(0), "k", big["uid"]).count() == 0
+
+
 # packing
 
 def test_packing(spark, docs):
